@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripartite.functions import days_between, money_total, null_text
-from tripartite.schemas import BREAK_SCHEMA
 
 SLA_DAYS = 14
 HIGH_AFTER_DAYS = 30
@@ -55,19 +54,18 @@ def _break(
     merchant: str | None = None,
     servicer: str | None = None,
 ) -> list[Column]:
-    """The columns of a break, in schema order and type."""
-    by_name = {
-        "break_type": F.lit(break_type),
-        "severity": F.lit(severity) if isinstance(severity, str) else severity,
-        "entity_id": F.col(entity_id),
-        "entity_type": F.lit(entity_type),
-        "merchant_id": F.col(merchant) if merchant else null_text(),
-        "servicer_id": F.col(servicer) if servicer else null_text(),
-        "opened_at": F.col(opened_at),
-        "amount_at_risk": money_total(amount),
-        "description": _describe(break_type, *values),
-    }
-    return [by_name[f.name].cast(f.dataType).alias(f.name) for f in BREAK_SCHEMA]
+    """The columns of a break, in the order and types of ``BREAK_SCHEMA``."""
+    return [
+        F.lit(break_type).alias("break_type"),
+        (F.lit(severity) if isinstance(severity, str) else severity).alias("severity"),
+        F.col(entity_id).alias("entity_id"),
+        F.lit(entity_type).alias("entity_type"),
+        (F.col(merchant) if merchant else null_text()).alias("merchant_id"),
+        (F.col(servicer) if servicer else null_text()).alias("servicer_id"),
+        F.col(opened_at).alias("opened_at"),
+        money_total(amount).alias("amount_at_risk"),
+        _describe(break_type, *values).alias("description"),
+    ]
 
 
 @dataclass(frozen=True)

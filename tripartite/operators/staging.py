@@ -58,12 +58,14 @@ def stage_servicer_reimbursements(raw: DataFrame) -> DataFrame:
     )
 
 
+_STAGES = {
+    "merchant_sales": stage_merchant_sales,
+    "contracts": stage_contracts,
+    "claims": stage_claims,
+    "servicer_reimbursements": stage_servicer_reimbursements,
+}
+
+
 def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "stg_merchant_sales": stage_merchant_sales(raw["merchant_sales"]),
-        "stg_contracts": stage_contracts(raw["contracts"]),
-        "stg_claims": stage_claims(raw["claims"]),
-        "stg_servicer_reimbursements": stage_servicer_reimbursements(
-            raw["servicer_reimbursements"]
-        ),
-    }
+    """The staged form of every feed given that has one, named ``stg_<feed>``."""
+    return {f"stg_{feed}": stage(raw[feed]) for feed, stage in _STAGES.items() if feed in raw}

@@ -1,6 +1,13 @@
 """Whole-pipeline plans: reports, data-quality checks and the pipeline itself."""
 
-from tripartite.plans.pipeline import PipelineRun, build_breaks, build_fact, run_pipeline
+from tripartite.plans.pipeline import (
+    PipelineRun,
+    build_breaks,
+    build_fact,
+    lifecycles,
+    run_pipeline,
+    write_lifecycles,
+)
 from tripartite.plans.quality import (
     QualityError,
     accepted_values,
@@ -52,6 +59,7 @@ __all__ = [
     "detected_counts",
     "dq_summary",
     "kpi_summary",
+    "lifecycles",
     "merchant_breaks",
     "merchant_sales_range",
     "merchant_scorecard",
@@ -67,4 +75,5 @@ __all__ = [
     "truth_regressions",
     "truth_validation",
     "unique",
+    "write_lifecycles",
 ]

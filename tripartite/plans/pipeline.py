@@ -42,32 +42,34 @@ def lifecycles(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def build_breaks(
-    staged: dict[str, DataFrame],
-    as_of: date,
-    sla_days: int = SLA_DAYS,
-    high_after_days: int = HIGH_AFTER_DAYS,
-    work: str | None = None,
-) -> DataFrame:
-    """Every break with its age, not numbered.
+def write_lifecycles(staged: dict[str, DataFrame], work: str | None = None) -> dict[str, DataFrame]:
+    """Both lifecycles, joined once and written below ``work`` or in the shared folder.
 
-    The detectors read each lifecycle several times and different columns of it,
-    so the joins are done once and written (below ``work``, or in the shared
-    folder); each detector then scans the columns it needs.
+    The detectors read each lifecycle several times and different columns of it;
+    over open joins every one of them would repeat the joins.
     """
-    written = {
+    return {
         name: write_through(df, name, f"{work}/{name}" if work else None)
         for name, df in lifecycles(staged).items()
     }
+
+
+def build_breaks(
+    lifecycle: dict[str, DataFrame],
+    as_of: date,
+    sla_days: int = SLA_DAYS,
+    high_after_days: int = HIGH_AFTER_DAYS,
+) -> DataFrame:
+    """Every break with its age, not numbered. Lazy over the lifecycles given."""
     found = all_breaks(
-        written["int_contract_lifecycle"], written["int_claim_lifecycle"],
+        lifecycle["int_contract_lifecycle"], lifecycle["int_claim_lifecycle"],
         as_of, sla_days, high_after_days,
     )
     return finish_breaks(found, as_of)
 
 
 def build_fact(
-    staged: dict[str, DataFrame],
+    lifecycle: dict[str, DataFrame],
     as_of: date,
     sla_days: int = SLA_DAYS,
     high_after_days: int = HIGH_AFTER_DAYS,
@@ -76,7 +78,7 @@ def build_fact(
     """The numbered fact. The sort for the numbering reads its input twice (once to
     choose the ranges), so the breaks are written before they are sorted."""
     breaks = write_through(
-        build_breaks(staged, as_of, sla_days, high_after_days, work),
+        build_breaks(lifecycle, as_of, sla_days, high_after_days),
         "breaks", f"{work}/breaks" if work else None,
     )
     return with_break_key(breaks, f"{work}/ordered" if work else None)
@@ -107,8 +109,10 @@ def run_pipeline(
 
     work = f"{output}/work"
     spark = raw["contracts"].sparkSession
+    lifecycle = write_lifecycles(staged, work)
     write_fact(
-        build_fact(staged, as_of, sla_days, high_after_days, work), f"{output}/fct_recon_breaks"
+        build_fact(lifecycle, as_of, sla_days, high_after_days, work),
+        f"{output}/fct_recon_breaks",
     )
     fact = read_fact(spark, f"{output}/fct_recon_breaks")
 
@@ -128,7 +132,7 @@ def run_pipeline(
         for status in input_checks | output_checks
     }
     tables = (
-        raw | staged | lifecycles(staged) | marts
+        raw | staged | lifecycle | marts
         | {"break_aging": aging, "merchant_scorecard": scorecard}
     )
     return PipelineRun(tables, written, checks)

@@ -6,12 +6,12 @@ staging cast instead of being nulled by the file reader.
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(12, 2)
+MONEY = "decimal(12,2)"
 # Differences and sums of money. Twelve digits above a single amount leave room
 # for the total of one very large claim or contract.
-MONEY_TOTAL = T.DecimalType(24, 2)
+MONEY_TOTAL = "decimal(24,2)"
 # Totals over the whole fact: sum() widens by ten digits.
-MONEY_REPORT = T.DecimalType(34, 2)
+MONEY_REPORT = "decimal(34,2)"
 
 
 def _text(*names: str) -> T.StructType:
@@ -41,40 +41,21 @@ TRUTH_SCHEMA = _text(
     "break_type", "sale_id", "contract_id", "claim_id", "reimbursement_id", "detail",
 )
 
-BREAK_SCHEMA = T.StructType([
-    T.StructField("break_type", T.StringType()),
-    T.StructField("severity", T.StringType()),
-    T.StructField("entity_id", T.StringType()),
-    T.StructField("entity_type", T.StringType()),
-    T.StructField("merchant_id", T.StringType()),
-    T.StructField("servicer_id", T.StringType()),
-    T.StructField("opened_at", T.DateType()),
-    T.StructField("amount_at_risk", MONEY_TOTAL),
-    T.StructField("description", T.StringType()),
-])
-BREAK_COLUMNS = BREAK_SCHEMA.names
+BREAK_SCHEMA = T.StructType.fromDDL(
+    "break_type string, severity string, entity_id string, entity_type string,"
+    " merchant_id string, servicer_id string, opened_at date,"
+    f" amount_at_risk {MONEY_TOTAL}, description string"
+)
 
-FACT_SCHEMA = T.StructType([
-    T.StructField("break_key", T.LongType()),
-    T.StructField("break_type", T.StringType()),
-    T.StructField("severity", T.StringType()),
-    T.StructField("entity_type", T.StringType()),
-    T.StructField("entity_id", T.StringType()),
-    T.StructField("merchant_id", T.StringType()),
-    T.StructField("servicer_id", T.StringType()),
-    T.StructField("opened_at", T.DateType()),
-    T.StructField("days_open", T.IntegerType()),
-    T.StructField("amount_at_risk", MONEY_TOTAL),
-    T.StructField("description", T.StringType()),
-    T.StructField("as_of_date", T.DateType()),
-])
+FACT_SCHEMA = T.StructType.fromDDL(
+    "break_key bigint, break_type string, severity string, entity_type string,"
+    " entity_id string, merchant_id string, servicer_id string, opened_at date,"
+    f" days_open int, amount_at_risk {MONEY_TOTAL}, description string, as_of_date date"
+)
 FACT_COLUMNS = FACT_SCHEMA.names
 
-SNAPSHOT_SCHEMA = T.StructType(
-    [T.StructField("snapshot_date", T.DateType())]
-    + [field for field in FACT_SCHEMA if field.name != "as_of_date"]
-)
-SNAPSHOT_COLUMNS = SNAPSHOT_SCHEMA.names
+# The history keeps the fact's columns under a date of its own.
+SNAPSHOT_COLUMNS = ["snapshot_date", *[c for c in FACT_COLUMNS if c != "as_of_date"]]
 SNAPSHOT_KEY = ["snapshot_date", "break_key"]
 
 # The closed vocabularies the fact is checked against.

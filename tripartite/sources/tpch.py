@@ -8,13 +8,13 @@ or falsify some records; they are what plants the known breaks of
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from datetime import date
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripartite.schemas import RAW_SCHEMAS
-
 AS_OF = date(2001, 8, 1)
 
 # One order in so many is affected.
@@ -25,8 +25,12 @@ NO_CONTRACT = 71
 NO_REIMBURSEMENT = 43
 
 
-def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+Reader = Callable[[str], DataFrame]
+
+
+def _reader(spark: SparkSession, root: str) -> Reader:
+    """Opens each table once, when a feed first asks for it."""
+    return cache(lambda name: spark.read.parquet(f"{root}/{name}.parquet"))
 
 
 def _hits(key: str, modulus: int):
@@ -37,9 +41,9 @@ def _share(share: str):
     return f"cast(round(tp * cast({share} as decimal(3,2)), 2) as decimal(12,2))"
 
 
-def _orders(spark: SparkSession, root: str) -> DataFrame:
-    customer = _table(spark, root, "customer").select("c_custkey", "c_nationkey")
-    orders = _table(spark, root, "orders").selectExpr(
+def _orders(table: Reader) -> DataFrame:
+    customer = table("customer").select("c_custkey", "c_nationkey")
+    orders = table("orders").selectExpr(
         "o_orderkey", "o_custkey", "cast(o_orderdate as date) as day",
         "cast(o_totalprice as decimal(12,2)) as tp",
     )
@@ -54,27 +58,27 @@ def _claim_id():
     return F.concat_ws("-", "l_orderkey", "l_linenumber")
 
 
-def _returns(spark: SparkSession, root: str) -> DataFrame:
-    return _table(spark, root, "lineitem").where(F.col("l_returnflag") == "R")
+def _returns(table: Reader) -> DataFrame:
+    return table("lineitem").where(F.col("l_returnflag") == "R")
 
 
-def merchants(spark: SparkSession, root: str) -> DataFrame:
-    return _table(spark, root, "nation").select(
+def merchants(table: Reader) -> DataFrame:
+    return table("nation").select(
         _merchant_id("n_nationkey").alias("merchant_id"),
         F.col("n_name").alias("merchant_name"),
         F.concat(F.lit("region-"), F.col("n_regionkey").cast("string")).alias("category"),
     )
 
 
-def servicers(spark: SparkSession, root: str) -> DataFrame:
-    return _table(spark, root, "supplier").select(
+def servicers(table: Reader) -> DataFrame:
+    return table("supplier").select(
         F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("servicer_id"),
         F.col("s_name").alias("servicer_name"),
     )
 
 
-def contracts(spark: SparkSession, root: str) -> DataFrame:
-    return _orders(spark, root).select(
+def contracts(table: Reader) -> DataFrame:
+    return _orders(table).select(
         F.col("o_orderkey").cast("string").alias("contract_id"),
         F.col("o_orderkey").cast("string").alias("sale_id"),
         _merchant_id("c_nationkey").alias("merchant_id"),
@@ -86,8 +90,8 @@ def contracts(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def merchant_sales(spark: SparkSession, root: str) -> DataFrame:
-    return _orders(spark, root).where(~_hits("o_orderkey", NO_SALE)).select(
+def merchant_sales(table: Reader) -> DataFrame:
+    return _orders(table).where(~_hits("o_orderkey", NO_SALE)).select(
         F.col("o_orderkey").cast("string").alias("sale_id"),
         _merchant_id("c_nationkey").alias("merchant_id"),
         F.col("day").cast("string").alias("sale_date"),
@@ -105,8 +109,8 @@ def merchant_sales(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def claims(spark: SparkSession, root: str) -> DataFrame:
-    lines = _returns(spark, root).groupBy("l_orderkey", "l_linenumber").agg(
+def claims(table: Reader) -> DataFrame:
+    lines = _returns(table).groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_suppkey").alias("suppkey"),
         F.min("l_shipdate").alias("shipped"),
         F.min("l_extendedprice").alias("price"),
@@ -124,9 +128,9 @@ def claims(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def servicer_reimbursements(spark: SparkSession, root: str) -> DataFrame:
+def servicer_reimbursements(table: Reader) -> DataFrame:
     shipped = F.col("l_shipdate").cast("date")
-    return _returns(spark, root).where(~_hits("l_orderkey", NO_REIMBURSEMENT)).select(
+    return _returns(table).where(~_hits("l_orderkey", NO_REIMBURSEMENT)).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shipped)
         .alias("reimbursement_id"),
         _claim_id().alias("claim_id"),
@@ -136,17 +140,30 @@ def servicer_reimbursements(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def raw_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The six raw feeds over the parquet tables in ``root``."""
-    feeds = [merchants, servicers, merchant_sales, contracts, claims, servicer_reimbursements]
-    return {name: feed(spark, root) for name, feed in zip(RAW_SCHEMAS, feeds, strict=True)}
+_FEEDS = {
+    "merchants": merchants,
+    "servicers": servicers,
+    "merchant_sales": merchant_sales,
+    "contracts": contracts,
+    "claims": claims,
+    "servicer_reimbursements": servicer_reimbursements,
+}
+
+
+def raw_sources(
+    spark: SparkSession, root: str, names: Sequence[str] = tuple(_FEEDS)
+) -> dict[str, DataFrame]:
+    """The raw feeds (all six, or those named) over the parquet tables in ``root``."""
+    table = _reader(spark, root)
+    return {name: _FEEDS[name](table) for name in names}
 
 
 def planted_breaks(spark: SparkSession, root: str) -> DataFrame:
     """The breaks the modulus rules plant, as records of the truth log."""
+    table = _reader(spark, root)
     key = "o_orderkey"
     order = F.col(key).cast("string")
-    ordered = _orders(spark, root)
+    ordered = _orders(table)
     kind = (
         F.when(_hits(key, NO_SALE), "orphan_contract")
         .when(_hits(key, UNPAID), "timing_break")
@@ -162,7 +179,7 @@ def planted_breaks(spark: SparkSession, root: str) -> DataFrame:
         F.when(on_contract, F.col("id")).alias("contract_id"),
         F.lit(None).cast("string").alias("claim_id"),
     )
-    no_contract = _returns(spark, root).where(_hits("l_orderkey", NO_CONTRACT))
+    no_contract = _returns(table).where(_hits("l_orderkey", NO_CONTRACT))
     by_claim = no_contract.select(_claim_id().alias("claim_id")).distinct().select(
         F.lit("orphan_claim").alias("break_type"),
         F.lit(None).cast("string").alias("sale_id"),
