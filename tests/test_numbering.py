@@ -1,0 +1,55 @@
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tripartite.operators.detect import finish_breaks
+from tripartite.operators.numbering import BREAK_ORDER, number_rows, with_break_key
+from tripartite.schemas import FACT_COLUMNS
+
+from conftest import AS_OF, conf
+
+
+def breaks(spark, n):
+    """A third of the breaks on one day; some undated; timing and amount breaks paired."""
+    found = spark.range(n).selectExpr(
+        "if(id % 2 = 0, 'timing_break', 'amount_break') as break_type",
+        "'high' as severity",
+        "concat('C', cast(id div 2 as string)) as entity_id",
+        "'contract' as entity_type",
+        "'M1' as merchant_id",
+        "cast(null as string) as servicer_id",
+        "case when id div 2 % 3 = 0 then date'2025-01-01' when id div 2 % 50 = 1 then null"
+        " else date_add(date'2024-01-01', cast(id div 2 % 400 as int)) end as opened_at",
+        "cast(1 as decimal(24,2)) as amount_at_risk",
+        "'x' as description",
+    )
+    return found
+
+
+def test_keys_equal_a_global_row_number(spark, tmp_path):
+    finished = finish_breaks(breaks(spark, 6000).repartition(7), AS_OF)
+    with conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        fact = with_break_key(finished, str(tmp_path / "ordered"))
+        assert fact.columns == FACT_COLUMNS
+        placed = spark.read.parquet(str(tmp_path / "ordered"))
+        parts = placed.groupBy(F.shiftright("_place", 33)).count().collect()
+    whole = Window.orderBy(*[F.col(c).asc_nulls_last() for c in BREAK_ORDER])
+    expected = finished.withColumn("break_key", F.row_number().over(whole).cast("bigint"))
+    identity = ["break_key", *BREAK_ORDER]
+    assert fact.select(identity).exceptAll(expected.select(identity)).isEmpty()
+    assert fact.count() == 6000
+    # The hot day did not pull its third of the rows into one partition.
+    assert len(parts) == 4
+    assert max(r["count"] for r in parts) < 2200
+
+
+def test_tied_breaks_are_neighbours_in_a_fixed_order(spark):
+    fact = with_break_key(finish_breaks(breaks(spark, 400), AS_OF))
+    keys = {(r["entity_id"], r["break_type"]): r["break_key"] for r in fact.collect()}
+    for (entity, kind), key in keys.items():
+        if kind == "timing_break":
+            assert keys[entity, "amount_break"] == key - 1
+
+
+def test_numbering_an_empty_table(spark):
+    empty = spark.range(0).withColumnRenamed("id", "x")
+    assert number_rows(empty, ["x"]).count() == 0

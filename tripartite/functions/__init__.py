@@ -1,27 +1,29 @@
-"""Column expressions shared by the operators. All of them run JVM-side."""
+"""SQL expressions shared by the operators. All of them run JVM-side."""
 
 from tripartite.functions.expressions import (
     aging_bucket,
+    day,
     days_between,
+    describe,
     holds,
-    money,
     money_total,
-    null_text,
     parse_date,
     percent_text,
     ratio,
     severity_rank,
+    text,
 )
 
 __all__ = [
     "aging_bucket",
+    "day",
     "days_between",
+    "describe",
     "holds",
-    "money",
     "money_total",
-    "null_text",
     "parse_date",
     "percent_text",
     "ratio",
     "severity_rank",
+    "text",
 ]

@@ -1,72 +1,83 @@
-"""Scalar expressions: casts, dates, buckets and display text."""
+"""Scalar expressions as SQL text: casts, dates, buckets and display text.
+
+Each function takes and returns SQL, for ``selectExpr`` and ``expr``. A select list
+given as text reaches the JVM in one call, where the same list built from Column
+objects takes a call per operator.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from datetime import date
 
-from tripartite.schemas import MONEY, MONEY_TOTAL
+from tripartite.schemas import MONEY_TOTAL
 
 # A calendar day, optionally followed by a time of day.
-_DAY_TEXT = r"^\d{4,}-\d{1,2}-\d{1,2}([ T]\d{1,2}:[0-9:.]+)?$"
+_DAY_TEXT = "^[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9:.]+)?$"
+_SLASHED = "^([0-9]+)/([0-9]+)/([0-9]+)"
 
 
-def money(col: Column | str) -> Column:
-    """Exact two-decimal amount."""
-    return F.col(col).cast(MONEY) if isinstance(col, str) else col.cast(MONEY)
+def day(value: date) -> str:
+    return f"date'{value.isoformat()}'"
 
 
-def money_total(col: Column) -> Column:
-    return col.cast(MONEY_TOTAL)
+def text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
-def null_text() -> Column:
-    return F.lit(None).cast("string")
+def money_total(amount: str) -> str:
+    return f"cast({amount} as {MONEY_TOTAL})"
 
 
-def parse_date(text: Column) -> Column:
+def parse_date(dirty: str) -> str:
     """Date from dirty text; null where the text is no full calendar day.
 
     ``try_cast`` alone would read the bare year ``2025`` as 1 January, which
     turns an unpaid sale into a paid one, so the shape is checked first.
     """
-    day = F.regexp_replace(F.trim(text), r"^(\d+)/(\d+)/(\d+)", "$1-$2-$3")
-    return F.when(day.rlike(_DAY_TEXT), day.try_cast("date"))
+    cleaned = f"regexp_replace(trim({dirty}), '{_SLASHED}', '$1-$2-$3')"
+    return f"if({cleaned} rlike '{_DAY_TEXT}', try_cast({cleaned} as date), null)"
 
 
-def days_between(start: Column, end: Column) -> Column:
+def days_between(start: str, end: str) -> str:
     """Whole days from ``start`` to ``end``; negative when ``end`` is earlier."""
-    return F.datediff(end, start)
+    return f"datediff({end}, {start})"
 
 
-def holds(condition: Column) -> Column:
+def holds(condition: str) -> str:
     """Two-valued truth of a condition: a null comparison counts as false."""
-    return F.coalesce(condition, F.lit(False))
+    return f"coalesce({condition}, false)"
+
+
+def describe(pattern: str, *values: str) -> str:
+    """``pattern`` with its {} filled in; null when one of the values is null."""
+    pieces = pattern.split("{}")
+    parts = [text(pieces[0])]
+    for value, piece in zip(values, pieces[1:], strict=True):
+        parts.append(f"cast({value} as string)")
+        if piece:
+            parts.append(text(piece))
+    return f"concat({', '.join(parts)})"
 
 
-def aging_bucket(days: Column) -> Column:
+def aging_bucket(days: str) -> str:
     return (
-        F.when(days <= 7, "0-7 days")
-        .when(days <= 30, "8-30 days")
-        .when(days <= 60, "31-60 days")
-        .otherwise("60+ days")
+        f"case when {days} <= 7 then '0-7 days' when {days} <= 30 then '8-30 days'"
+        f" when {days} <= 60 then '31-60 days' else '60+ days' end"
     )
 
 
-def severity_rank(severity: Column) -> Column:
-    return F.when(severity == "high", 1).when(severity == "medium", 2).otherwise(3)
+def severity_rank(severity: str) -> str:
+    return f"case {severity} when 'high' then 1 when 'medium' then 2 else 3 end"
 
 
-def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+def ratio(numerator: str, denominator: str, digits: int) -> str:
     """Rounded quotient, 0 where the denominator is 0."""
-    return F.when(denominator == 0, F.lit(0.0)).otherwise(
-        F.round(numerator.cast("double") / denominator.cast("double"), digits)
-    )
+    quotient = f"round(double({numerator}) / double({denominator}), {digits})"
+    return f"if({denominator} = 0, 0d, {quotient})"
 
 
-def percent_text(part: Column, whole: Column) -> Column:
+def percent_text(part: str, whole: str) -> str:
     """``part`` of ``whole`` as a whole percentage (half to even), or N/A."""
-    percent = F.bround(part.cast("double") / whole.cast("double") * 100, 0)
-    return F.when(whole == 0, "N/A").otherwise(
-        F.concat(percent.cast("bigint").cast("string"), F.lit("%"))
-    )
+    percent = f"bround(double({part}) / double({whole}) * 100, 0)"
+    return f"if({whole} = 0, 'N/A', concat(cast(bigint({percent}) as string), '%'))"

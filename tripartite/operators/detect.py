@@ -1,10 +1,9 @@
 """The seven break detectors and the fact built from them.
 
-Five detectors look at one lifecycle row at a time. Each of those is a
-:class:`RowRule`, used alone by its ``detect_*`` function and together, in a
-single pass over the lifecycle, by :func:`contract_breaks` and
-:func:`claim_breaks`. The other two, duplicate claims and exceeded coverage,
-aggregate per claim and per contract.
+Each break type is a :class:`BreakRule`: when a row is a break, and what is reported
+of it. Five rules look at a single lifecycle row, so several of them can share one
+read of the lifecycle (:func:`contract_breaks`). The rules for duplicate claims and
+exceeded coverage look at a row per claim and per contract, formed by aggregation.
 """
 
 from __future__ import annotations
@@ -12,10 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripartite.functions import days_between, money_total, null_text
+from tripartite.functions import day, days_between, describe, money_total, text
+from tripartite.schemas import MONEY_TOTAL
 
 SLA_DAYS = 14
 HIGH_AFTER_DAYS = 30
@@ -32,120 +32,125 @@ DESCRIPTIONS = {
 }
 
 
-def _describe(break_type: str, *values: Column) -> Column:
-    """Description text; null when one of its values is null."""
-    pieces = DESCRIPTIONS[break_type].split("{}")
-    parts = [F.lit(pieces[0])]
-    for value, text in zip(values, pieces[1:], strict=True):
-        parts.append(value.cast("string"))
-        if text:
-            parts.append(F.lit(text))
-    return F.concat(*parts)
-
-
-def _break(
-    break_type: str,
-    severity: Column | str,
-    entity_type: str,
-    entity_id: str,
-    opened_at: str,
-    amount: Column,
-    *values: Column,
-    merchant: str | None = None,
-    servicer: str | None = None,
-) -> list[Column]:
-    """The columns of a break, in the order and types of ``BREAK_SCHEMA``."""
-    return [
-        F.lit(break_type).alias("break_type"),
-        (F.lit(severity) if isinstance(severity, str) else severity).alias("severity"),
-        F.col(entity_id).alias("entity_id"),
-        F.lit(entity_type).alias("entity_type"),
-        (F.col(merchant) if merchant else null_text()).alias("merchant_id"),
-        (F.col(servicer) if servicer else null_text()).alias("servicer_id"),
-        F.col(opened_at).alias("opened_at"),
-        money_total(amount).alias("amount_at_risk"),
-        _describe(break_type, *values).alias("description"),
-    ]
-
-
 @dataclass(frozen=True)
-class RowRule:
-    """A break that one lifecycle row decides: when it holds, and what it reports."""
-
-    condition: Column
-    columns: list[Column]
-
-    def detect(self, lifecycle: DataFrame) -> DataFrame:
-        return lifecycle.where(self.condition).select(*self.columns)
-
-
-def _first_pass(lifecycle: DataFrame, rules: list[RowRule]) -> DataFrame:
-    """All breaks of several rules from one read of the lifecycle."""
-    found = [F.when(rule.condition, F.struct(*rule.columns)) for rule in rules]
-    any_rule = rules[0].condition
-    for rule in rules[1:]:
-        any_rule = any_rule | rule.condition
-    return lifecycle.where(any_rule).select(F.inline(F.array_compact(F.array(*found))))
-
-
-def _orphan_contract() -> RowRule:
-    return RowRule(
-        F.col("is_orphan_contract"),
-        _break(
-            "orphan_contract", "high", "contract", "contract_id", "issued_date",
-            F.col("contract_premium"), merchant="contract_merchant_id",
-        ),
-    )
-
-
-def _timing_break(as_of: date, sla_days: int, high_after_days: int) -> RowRule:
-    age = days_between(F.col("issued_date"), F.lit(as_of))
-    return RowRule(
-        ~F.col("is_orphan_contract") & F.col("is_unpaid") & (age > sla_days),
-        _break(
-            "timing_break", F.when(age > high_after_days, "high").otherwise("medium"),
-            "contract", "contract_id", "issued_date", F.col("contract_premium"),
-            F.lit(sla_days), merchant="contract_merchant_id",
-        ),
+class BreakRule:
+    """One break type over rows of one shape; the fields are SQL expressions."""
+
+    break_type: str
+    condition: str
+    entity_type: str
+    opened_at: str
+    amount: str
+    severity: str = "'high'"
+    merchant: str = "null"
+    servicer: str = "null"
+    measured: tuple[str, ...] = ()
+
+    def columns(self) -> list[str]:
+        """The select list of a break, in the order and types of ``BREAK_SCHEMA``."""
+        return [
+            f"{text(self.break_type)} as break_type",
+            f"{self.severity} as severity",
+            f"{self.entity_type}_id as entity_id",
+            f"{text(self.entity_type)} as entity_type",
+            f"cast({self.merchant} as string) as merchant_id",
+            f"cast({self.servicer} as string) as servicer_id",
+            f"{self.opened_at} as opened_at",
+            f"{money_total(self.amount)} as amount_at_risk",
+            f"{describe(DESCRIPTIONS[self.break_type], *self.measured)} as description",
+        ]
+
+    def detect(self, rows: DataFrame) -> DataFrame:
+        return rows.where(self.condition).selectExpr(*self.columns())
+
+
+def _one_pass(rows: DataFrame, rules: list[BreakRule]) -> DataFrame:
+    """The breaks of several rules from one read of the rows they share."""
+    found = [f"if({r.condition}, struct({', '.join(r.columns())}), null)" for r in rules]
+    return rows.where(" or ".join(f"({r.condition})" for r in rules)).selectExpr(
+        f"inline(array_compact(array({', '.join(found)})))"
     )
 
 
-def _amount_break() -> RowRule:
-    remitted, premium = F.col("sale_remittance_amount"), F.col("contract_premium")
-    return RowRule(
-        F.col("has_amount_break"),
-        _break(
-            "amount_break", "medium", "contract", "contract_id", "issued_date",
-            F.abs(F.coalesce(remitted, F.lit(0)) - premium),
-            remitted, premium, merchant="contract_merchant_id",
-        ),
+ORPHAN_CONTRACT = BreakRule(
+    "orphan_contract",
+    condition="is_orphan_contract",
+    entity_type="contract",
+    opened_at="issued_date",
+    amount="contract_premium",
+    merchant="contract_merchant_id",
+)
+
+
+def timing_rule(as_of: date, sla_days: int, high_after_days: int) -> BreakRule:
+    age = days_between("issued_date", day(as_of))
+    return BreakRule(
+        "timing_break",
+        condition=f"not is_orphan_contract and is_unpaid and {age} > {sla_days}",
+        severity=f"if({age} > {high_after_days}, 'high', 'medium')",
+        entity_type="contract",
+        opened_at="issued_date",
+        amount="contract_premium",
+        merchant="contract_merchant_id",
+        measured=(str(sla_days),),
     )
 
 
-def _orphan_claim() -> RowRule:
-    return RowRule(
-        F.col("is_orphan_claim"),
-        _break(
-            "orphan_claim", "high", "claim", "claim_id", "claim_date",
-            F.col("claim_amount"), servicer="claim_servicer_id",
-        ),
-    )
-
-
-def _overpayment() -> RowRule:
-    paid, claimed = F.col("paid_amount"), F.col("claim_amount")
-    return RowRule(
-        F.col("is_overpayment"),
-        _break(
-            "overpayment", "medium", "reimbursement", "reimbursement_id", "paid_date",
-            paid - claimed, paid, claimed, servicer="claim_servicer_id",
-        ),
-    )
+AMOUNT_BREAK = BreakRule(
+    "amount_break",
+    condition="has_amount_break",
+    severity="'medium'",
+    entity_type="contract",
+    opened_at="issued_date",
+    amount="abs(coalesce(sale_remittance_amount, 0) - contract_premium)",
+    merchant="contract_merchant_id",
+    measured=("sale_remittance_amount", "contract_premium"),
+)
+
+ORPHAN_CLAIM = BreakRule(
+    "orphan_claim",
+    condition="is_orphan_claim",
+    entity_type="claim",
+    opened_at="claim_date",
+    amount="claim_amount",
+    servicer="claim_servicer_id",
+)
+
+DUPLICATE_CLAIM = BreakRule(
+    "duplicate_claim",
+    condition="payments > 1",
+    entity_type="claim",
+    opened_at="claim_date",
+    amount="total_paid - claim_amount",
+    servicer="claim_servicer_id",
+    measured=("payments", "total_paid"),
+)
+
+OVERPAYMENT = BreakRule(
+    "overpayment",
+    condition="is_overpayment",
+    severity="'medium'",
+    entity_type="reimbursement",
+    opened_at="paid_date",
+    amount="paid_amount - claim_amount",
+    servicer="claim_servicer_id",
+    measured=("paid_amount", "claim_amount"),
+)
+
+COVERAGE_EXCEEDED = BreakRule(
+    "coverage_exceeded",
+    condition="total_paid > coverage_limit",
+    entity_type="contract",
+    opened_at="issued_date",
+    amount="total_paid - coverage_limit",
+    merchant="contract_merchant_id",
+    measured=("total_paid", "coverage_limit"),
+)
 
 
 def detect_orphan_contract(contract_lifecycle: DataFrame) -> DataFrame:
     """Contracts without a sale."""
-    return _orphan_contract().detect(contract_lifecycle)
+    return ORPHAN_CONTRACT.detect(contract_lifecycle)
 
 
 def detect_timing_break(
@@ -155,12 +160,12 @@ def detect_timing_break(
     high_after_days: int = HIGH_AFTER_DAYS,
 ) -> DataFrame:
     """Sales still unpaid more than ``sla_days`` after the contract was issued."""
-    return _timing_break(as_of, sla_days, high_after_days).detect(contract_lifecycle)
+    return timing_rule(as_of, sla_days, high_after_days).detect(contract_lifecycle)
 
 
 def detect_amount_break(contract_lifecycle: DataFrame) -> DataFrame:
     """Remittances that differ from the premium; an unpaid one counts as 0."""
-    return _amount_break().detect(contract_lifecycle)
+    return AMOUNT_BREAK.detect(contract_lifecycle)
 
 
 def detect_orphan_claim(claims: DataFrame) -> DataFrame:
@@ -169,68 +174,51 @@ def detect_orphan_claim(claims: DataFrame) -> DataFrame:
     Takes the claim lifecycle, or :func:`claims_with_contract`, which answers the
     same without touching the payments.
     """
-    return _orphan_claim().detect(claims).distinct()
+    return ORPHAN_CLAIM.detect(claims).distinct()
 
 
 def detect_duplicate_claim(claim_lifecycle: DataFrame) -> DataFrame:
-    """Claims reimbursed more than once."""
+    """Claims reimbursed more than once; the amount is what exceeds one claim."""
     per_claim = (
-        claim_lifecycle.where(F.col("reimbursement_id").isNotNull())
+        claim_lifecycle.where("reimbursement_id is not null")
         .groupBy("claim_id")
         .agg(
             F.min("claim_servicer_id").alias("claim_servicer_id"),
             F.min("claim_date").alias("claim_date"),
             F.max("claim_amount").alias("claim_amount"),
             F.sum("paid_amount").alias("total_paid"),
-            F.count(F.lit(1)).alias("payments"),
-        )
-        .where(F.col("payments") > 1)
-    )
-    return per_claim.select(
-        *_break(
-            "duplicate_claim", "high", "claim", "claim_id", "claim_date",
-            F.col("total_paid") - F.col("claim_amount"),
-            F.col("payments"), F.col("total_paid"), servicer="claim_servicer_id",
+            F.count("*").alias("payments"),
         )
     )
+    return DUPLICATE_CLAIM.detect(per_claim)
 
 
 def detect_overpayment(claim_lifecycle: DataFrame) -> DataFrame:
     """Payments above the amount claimed, reported against the claim's servicer."""
-    return _overpayment().detect(claim_lifecycle)
+    return OVERPAYMENT.detect(claim_lifecycle)
 
 
 def contract_payouts(claim_lifecycle: DataFrame) -> DataFrame:
     """Everything paid so far on each contract named by a claim."""
+    total = f"cast(sum(coalesce(paid_amount, 0)) as {MONEY_TOTAL}) as total_paid"
     return (
-        claim_lifecycle.where(
-            F.col("claim_contract_id").isNotNull() & F.col("reimbursement_id").isNotNull()
-        )
+        claim_lifecycle.where("claim_contract_id is not null and reimbursement_id is not null")
         .groupBy(F.col("claim_contract_id").alias("contract_id"))
-        .agg(money_total(F.sum(F.coalesce("paid_amount", F.lit(0)))).alias("total_paid"))
+        .agg(F.expr(total))
     )
 
 
 def detect_coverage_exceeded(
     contract_lifecycle: DataFrame, claim_lifecycle: DataFrame
 ) -> DataFrame:
-    """Contracts whose payouts add up to more than their coverage limit."""
-    payouts = contract_payouts(claim_lifecycle)
-    limits = contract_lifecycle.select(
-        F.col("contract_id").alias("covered_contract_id"),
-        "contract_merchant_id", "issued_date", "coverage_limit",
-    )
-    paid, limit = F.col("total_paid"), F.col("coverage_limit")
-    return (
-        payouts.join(limits, F.col("contract_id") == F.col("covered_contract_id"), "inner")
-        .where(paid > limit)
-        .select(
-            *_break(
-                "coverage_exceeded", "high", "contract", "contract_id", "issued_date",
-                paid - limit, paid, limit, merchant="contract_merchant_id",
-            )
-        )
+    """Contracts whose payouts add up to more than their coverage limit.
+
+    Payouts are one row per contract before they meet the contracts.
+    """
+    terms = contract_lifecycle.select(
+        "contract_id", "contract_merchant_id", "issued_date", "coverage_limit"
     )
+    return COVERAGE_EXCEEDED.detect(contract_payouts(claim_lifecycle).join(terms, "contract_id"))
 
 
 def contract_breaks(
@@ -240,8 +228,8 @@ def contract_breaks(
     high_after_days: int = HIGH_AFTER_DAYS,
 ) -> DataFrame:
     """Orphan contracts, timing and amount breaks from one read."""
-    rules = [_orphan_contract(), _timing_break(as_of, sla_days, high_after_days), _amount_break()]
-    return _first_pass(contract_lifecycle, rules)
+    rules = [ORPHAN_CONTRACT, timing_rule(as_of, sla_days, high_after_days), AMOUNT_BREAK]
+    return _one_pass(contract_lifecycle, rules)
 
 
 def claim_breaks(claim_lifecycle: DataFrame) -> DataFrame:
@@ -271,7 +259,7 @@ def all_breaks(
 
 def finish_breaks(breaks: DataFrame, as_of: date) -> DataFrame:
     """Adds age and as-of date: the fact without its key."""
-    return breaks.select(
+    return breaks.selectExpr(
         "break_type",
         "severity",
         "entity_type",
@@ -279,8 +267,8 @@ def finish_breaks(breaks: DataFrame, as_of: date) -> DataFrame:
         "merchant_id",
         "servicer_id",
         "opened_at",
-        days_between(F.col("opened_at"), F.lit(as_of)).alias("days_open"),
-        money_total(F.round("amount_at_risk", 2)).alias("amount_at_risk"),
+        f"{days_between('opened_at', day(as_of))} as days_open",
+        f"{money_total('round(amount_at_risk, 2)')} as amount_at_risk",
         "description",
-        F.lit(as_of).alias("as_of_date"),
+        f"{day(as_of)} as as_of_date",
     )

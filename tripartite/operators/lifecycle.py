@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripartite.functions import holds
-from tripartite.schemas import MONEY
 
 TOLERANCE = Decimal("0.01")
 
@@ -27,51 +26,49 @@ def contract_lifecycle(
 
     The flags are null, not false, where there is no sale to judge by.
     """
-    issued = contracts.select(
+    issued = contracts.selectExpr(
         "contract_id",
-        F.col("sale_id").alias("contract_sale_id"),
-        F.col("merchant_id").alias("contract_merchant_id"),
+        "sale_id as contract_sale_id",
+        "merchant_id as contract_merchant_id",
         "issued_date",
-        F.col("premium").alias("contract_premium"),
+        "premium as contract_premium",
         "coverage_limit",
         "term_months",
-        F.col("status").alias("contract_status"),
+        "status as contract_status",
     )
-    sold = sales.select(
-        F.col("sale_id").alias("matched_sale_id"),
-        F.col("merchant_id").alias("sale_merchant_id"),
+    sold = sales.selectExpr(
+        "sale_id as matched_sale_id",
+        "merchant_id as sale_merchant_id",
         "sale_date",
         "product_price",
-        F.col("premium_charged").alias("sale_premium_charged"),
-        F.col("remittance_amount").alias("sale_remittance_amount"),
-        F.col("remittance_date").alias("sale_remittance_date"),
+        "premium_charged as sale_premium_charged",
+        "remittance_amount as sale_remittance_amount",
+        "remittance_date as sale_remittance_date",
     )
-    has_sale = F.col("matched_sale_id").isNotNull()
-    remitted = F.coalesce("sale_remittance_amount", F.lit(Decimal(0)).cast(MONEY))
-    shortfall = F.abs(remitted - F.col("contract_premium"))
-    return (
-        issued.join(sold, F.col("contract_sale_id") == F.col("matched_sale_id"), "left")
-        .withColumns({
-            "is_orphan_contract": ~has_sale,
-            "is_unpaid": F.when(has_sale, F.col("sale_remittance_date").isNull()),
-            "has_amount_break": F.when(has_sale, holds(shortfall > F.lit(tolerance))),
-        })
+    off = f"abs(coalesce(sale_remittance_amount, 0) - contract_premium) > {tolerance}"
+    return issued.join(
+        sold, F.col("contract_sale_id") == F.col("matched_sale_id"), "left"
+    ).selectExpr(
+        "*",
+        "matched_sale_id is null as is_orphan_contract",
+        "if(matched_sale_id is null, null, sale_remittance_date is null) as is_unpaid",
+        f"if(matched_sale_id is null, null, {holds(off)}) as has_amount_break",
     )
 
 
 def claims_with_contract(claims: DataFrame, contracts: DataFrame) -> DataFrame:
     """Each claim with the contract it was filed against, if that exists."""
-    filed = claims.select(
+    filed = claims.selectExpr(
         "claim_id",
-        F.col("contract_id").alias("claim_contract_id"),
-        F.col("servicer_id").alias("claim_servicer_id"),
+        "contract_id as claim_contract_id",
+        "servicer_id as claim_servicer_id",
         "claim_date",
         "claim_amount",
     )
-    covered = contracts.select(F.col("contract_id").alias("matched_contract_id"), "coverage_limit")
+    covered = contracts.selectExpr("contract_id as matched_contract_id", "coverage_limit")
     return filed.join(
         covered, F.col("claim_contract_id") == F.col("matched_contract_id"), "left"
-    ).withColumn("is_orphan_claim", F.col("matched_contract_id").isNull())
+    ).selectExpr("*", "matched_contract_id is null as is_orphan_claim")
 
 
 def claim_lifecycle(
@@ -82,36 +79,29 @@ def claim_lifecycle(
 ) -> DataFrame:
     """One row per claim and payment; a claim without payment keeps one row."""
     filed = claims_with_contract(claims, contracts)
-    payments = reimbursements.select(
-        F.col("claim_id").alias("paid_claim_id"), "reimbursement_id", "paid_date", "paid_amount"
+    payments = reimbursements.selectExpr(
+        "claim_id as paid_claim_id", "reimbursement_id", "paid_date", "paid_amount"
     )
-    # Counting per claim shrinks a hot claim to one row per map task before the shuffle.
-    paid_claims = payments.groupBy("paid_claim_id").agg(F.count(F.lit(1)).alias("payments"))
+    # One row per claim and map task goes into the shuffle, however hot the claim.
+    paid_claims = payments.select("paid_claim_id").distinct()
 
-    paid = filed.join(payments, F.col("claim_id") == F.col("paid_claim_id"), "inner")
-    unpaid = filed.join(paid_claims, F.col("claim_id") == F.col("paid_claim_id"), "left_anti")
-    nothing = {
-        field.name: F.lit(None).cast(field.dataType)
-        for field in payments.schema
-        if field.name != "paid_claim_id"
-    }
-    overpaid = F.col("paid_amount") > F.col("claim_amount") + F.lit(tolerance)
-    return (
-        paid.drop("paid_claim_id")
-        .unionByName(unpaid.withColumns(nothing))
-        .select(
-            "claim_id",
-            "claim_contract_id",
-            "claim_servicer_id",
-            "claim_date",
-            "claim_amount",
-            "reimbursement_id",
-            "paid_date",
-            "paid_amount",
-            "matched_contract_id",
-            "coverage_limit",
-            "is_orphan_claim",
-            F.col("reimbursement_id").isNull().alias("is_unpaid_claim"),
-            F.when(F.col("paid_amount").isNotNull(), holds(overpaid)).alias("is_overpayment"),
-        )
+    same_claim = F.col("claim_id") == F.col("paid_claim_id")
+    paid = filed.join(payments, same_claim, "inner").drop("paid_claim_id")
+    unpaid = filed.join(paid_claims, same_claim, "left_anti")
+    nothing = [f"cast(null as {kind}) as {c}" for c, kind in payments.dtypes[1:]]
+    over = f"paid_amount > claim_amount + {tolerance}"
+    return paid.unionByName(unpaid.selectExpr("*", *nothing)).selectExpr(
+        "claim_id",
+        "claim_contract_id",
+        "claim_servicer_id",
+        "claim_date",
+        "claim_amount",
+        "reimbursement_id",
+        "paid_date",
+        "paid_amount",
+        "matched_contract_id",
+        "coverage_limit",
+        "is_orphan_claim",
+        "reimbursement_id is null as is_unpaid_claim",
+        f"if(paid_amount is null, null, {holds(over)}) as is_overpayment",
     )

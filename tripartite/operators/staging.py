@@ -3,69 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tripartite.functions import money, parse_date
+from tripartite.functions import parse_date
+from tripartite.schemas import STAGED_TYPES
+
+STAGED_FEEDS = ["merchant_sales", "contracts", "claims", "servicer_reimbursements"]
+
+
+def _typed(feed: str) -> dict[str, str]:
+    """The cast of each column; text columns pass as they are."""
+    return {
+        column: column if kind == "string" else f"cast({column} as {kind}) as {column}"
+        for column, kind in STAGED_TYPES[feed].items()
+    }
 
 
 def stage_merchant_sales(raw: DataFrame) -> DataFrame:
-    """A null ``remittance_date`` means the merchant has not paid yet."""
-    remitted = F.nullif(F.col("remittance_date"), F.lit(""))
-    return raw.select(
-        "sale_id",
-        "merchant_id",
-        F.col("sale_date").cast("date").alias("sale_date"),
-        money("product_price").alias("product_price"),
-        money("premium_charged").alias("premium_charged"),
-        money("remittance_amount").alias("remittance_amount"),
-        remitted.alias("remittance_date_raw"),
-        parse_date(remitted).alias("remittance_date"),
-        "customer_email",
-    )
+    """A null ``remittance_date`` means the merchant has not paid yet.
+
+    It is the one dirty column, so it is parsed, and also kept as it came.
+    """
+    given = "nullif(remittance_date, '')"
+    columns = _typed("merchant_sales")
+    columns["remittance_date"] = f"{parse_date(given)} as remittance_date"
+    selected = list(columns.values())
+    selected.insert(list(columns).index("remittance_date"), f"{given} as remittance_date_raw")
+    return raw.selectExpr(*selected)
 
 
 def stage_contracts(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "contract_id",
-        "sale_id",
-        "merchant_id",
-        F.col("issued_date").cast("date").alias("issued_date"),
-        money("premium").alias("premium"),
-        money("coverage_limit").alias("coverage_limit"),
-        F.col("term_months").cast("int").alias("term_months"),
-        "status",
-    )
+    return raw.selectExpr(*_typed("contracts").values())
 
 
 def stage_claims(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "claim_id",
-        "contract_id",
-        "servicer_id",
-        F.col("claim_date").cast("date").alias("claim_date"),
-        money("claim_amount").alias("claim_amount"),
-        "status",
-    )
+    return raw.selectExpr(*_typed("claims").values())
 
 
 def stage_servicer_reimbursements(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "reimbursement_id",
-        "claim_id",
-        "servicer_id",
-        F.col("paid_date").cast("date").alias("paid_date"),
-        money("paid_amount").alias("paid_amount"),
-    )
-
-
-_STAGES = {
-    "merchant_sales": stage_merchant_sales,
-    "contracts": stage_contracts,
-    "claims": stage_claims,
-    "servicer_reimbursements": stage_servicer_reimbursements,
-}
+    return raw.selectExpr(*_typed("servicer_reimbursements").values())
 
 
 def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The staged form of every feed given that has one, named ``stg_<feed>``."""
-    return {f"stg_{feed}": stage(raw[feed]) for feed, stage in _STAGES.items() if feed in raw}
+    stages = [
+        stage_merchant_sales, stage_contracts, stage_claims, stage_servicer_reimbursements,
+    ]
+    return {
+        f"stg_{feed}": stage(raw[feed])
+        for feed, stage in zip(STAGED_FEEDS, stages, strict=True)
+        if feed in raw
+    }

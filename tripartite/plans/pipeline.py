@@ -17,8 +17,15 @@ from tripartite.operators import (
 )
 from tripartite.operators.detect import HIGH_AFTER_DAYS, SLA_DAYS
 from tripartite.plans import quality, reports
+from tripartite.session import tune
 from tripartite.sources.scratch import write_through
-from tripartite.sources.tables import read_fact, read_snapshot, snapshot_breaks, write_fact
+from tripartite.sources.tables import (
+    read_fact,
+    read_snapshot,
+    snapshot_breaks,
+    snapshot_rows,
+    write_fact,
+)
 
 
 @dataclass
@@ -103,12 +110,12 @@ def run_pipeline(
     keys would multiply rows, and the remaining checks at the end. Without it the
     failures are only counted.
     """
+    spark = tune(raw["contracts"].sparkSession)
     staged = stage_all(raw)
     inputs = quality.run_checks(raw | staged)
     input_checks = quality.assert_quality(inputs) if gate else _counts(inputs)
 
     work = f"{output}/work"
-    spark = raw["contracts"].sparkSession
     lifecycle = write_lifecycles(staged, work)
     write_fact(
         build_fact(lifecycle, as_of, sla_days, high_after_days, work),
@@ -124,7 +131,12 @@ def run_pipeline(
         "merchant_scorecard", f"{output}/merchant_scorecard",
     )
 
-    marts = {"fct_recon_breaks": fact, "fct_daily_break_snapshot": read_snapshot(spark, history)}
+    # Today's columns are known, so the footers of a long history need not be merged.
+    columns = snapshot_rows(fact, as_of).schema
+    marts = {
+        "fct_recon_breaks": fact,
+        "fct_daily_break_snapshot": read_snapshot(spark, history, columns),
+    }
     outputs = quality.run_checks(marts).unionByName(quality.coverage_check(staged))
     output_checks = quality.assert_quality(outputs) if gate else _counts(outputs)
     checks = {

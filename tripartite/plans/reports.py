@@ -36,14 +36,14 @@ def _mean_days(name: str) -> Column:
 def break_aging(fact: DataFrame) -> DataFrame:
     """Breaks per type, severity and age bucket, most severe first."""
     return (
-        fact.groupBy("break_type", "severity", aging_bucket(F.col("days_open")).alias("aging_bucket"))
+        fact.groupBy("break_type", "severity", F.expr(f"{aging_bucket('days_open')} as aging_bucket"))
         .agg(
             _rows("break_count"),
             _total("amount_at_risk", "total_amount_at_risk"),
             _mean_days("avg_days_open"),
             F.max("days_open").alias("max_days_open"),
         )
-        .orderBy(severity_rank(F.col("severity")), "break_type", "aging_bucket")
+        .orderBy(F.expr(severity_rank("severity")), "break_type", "aging_bucket")
     )
 
 
@@ -150,26 +150,24 @@ def merchant_scorecard(fact: DataFrame, merchants: DataFrame, contracts: DataFra
     joined = merchants.join(merchant_totals(contracts), "merchant_id", "left").join(
         merchant_breaks(fact), "merchant_id", "left"
     )
-
-    def or_zero(name: str) -> Column:
-        return F.coalesce(name, F.lit(0))
-
-    def amount(name: str) -> Column:
-        return F.round(or_zero(name), 2).cast(MONEY_REPORT).alias(name)
-
-    return joined.select(
-        "merchant_id",
-        "merchant_name",
-        "category",
-        or_zero("total_contracts").alias("total_contracts"),
-        amount("total_premium_expected"),
-        or_zero("total_breaks").alias("total_breaks"),
-        amount("total_amount_at_risk"),
-        or_zero("timing_breaks").alias("timing_breaks"),
-        or_zero("amount_breaks").alias("amount_breaks"),
-        or_zero("orphan_contracts").alias("orphan_contracts"),
-        ratio(or_zero("total_breaks"), or_zero("total_contracts"), 3).alias("break_rate"),
-    ).orderBy(F.col("total_breaks").desc(), "merchant_id")
+    rate = ratio("total_breaks", "total_contracts", 3)
+    return (
+        joined.na.fill(0, [c for c in joined.columns if c not in merchants.columns])
+        .selectExpr(
+            "merchant_id",
+            "merchant_name",
+            "category",
+            "total_contracts",
+            "total_premium_expected",
+            "total_breaks",
+            "total_amount_at_risk",
+            "timing_breaks",
+            "amount_breaks",
+            "orphan_contracts",
+            f"{rate} as break_rate",
+        )
+        .orderBy(F.col("total_breaks").desc(), "merchant_id")
+    )
 
 
 # ---- ground truth ----------------------------------------------------------------
@@ -190,15 +188,15 @@ def truth_log_totals(truth: DataFrame) -> DataFrame:
 
 def truth_validation(fact: DataFrame, truth: DataFrame) -> DataFrame:
     """Planted against detected per type, with the share that was caught."""
-    planted, detected = F.coalesce("planted", F.lit(0)), F.coalesce("detected", F.lit(0))
     return (
         planted_counts(truth)
         .join(detected_counts(fact), "break_type", "full")
-        .select(
+        .na.fill(0, ["planted", "detected"])
+        .selectExpr(
             "break_type",
-            planted.alias("planted"),
-            detected.alias("detected"),
-            percent_text(detected, planted).alias("catch_rate"),
+            "planted",
+            "detected",
+            f"{percent_text('detected', 'planted')} as catch_rate",
         )
         .orderBy("break_type")
     )

@@ -4,8 +4,6 @@ Raw feeds are read as text, column by column, so a bad value surfaces in the
 staging cast instead of being nulled by the file reader.
 """
 
-from pyspark.sql import types as T
-
 MONEY = "decimal(12,2)"
 # Differences and sums of money. Twelve digits above a single amount leave room
 # for the total of one very large claim or contract.
@@ -14,45 +12,90 @@ MONEY_TOTAL = "decimal(24,2)"
 MONEY_REPORT = "decimal(34,2)"
 
 
-def _text(*names: str) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+# Column types after staging, in column order.
+STAGED_TYPES: dict[str, dict[str, str]] = {
+    "merchants": dict.fromkeys(["merchant_id", "merchant_name", "category"], "string"),
+    "servicers": dict.fromkeys(["servicer_id", "servicer_name"], "string"),
+    "merchant_sales": {
+        "sale_id": "string",
+        "merchant_id": "string",
+        "sale_date": "date",
+        "product_price": MONEY,
+        "premium_charged": MONEY,
+        "remittance_amount": MONEY,
+        "remittance_date": "date",
+        "customer_email": "string",
+    },
+    "contracts": {
+        "contract_id": "string",
+        "sale_id": "string",
+        "merchant_id": "string",
+        "issued_date": "date",
+        "premium": MONEY,
+        "coverage_limit": MONEY,
+        "term_months": "int",
+        "status": "string",
+    },
+    "claims": {
+        "claim_id": "string",
+        "contract_id": "string",
+        "servicer_id": "string",
+        "claim_date": "date",
+        "claim_amount": MONEY,
+        "status": "string",
+    },
+    "servicer_reimbursements": {
+        "reimbursement_id": "string",
+        "claim_id": "string",
+        "servicer_id": "string",
+        "paid_date": "date",
+        "paid_amount": MONEY,
+    },
+}
 
 
-RAW_SCHEMAS: dict[str, T.StructType] = {
-    "merchants": _text("merchant_id", "merchant_name", "category"),
-    "servicers": _text("servicer_id", "servicer_name"),
-    "merchant_sales": _text(
-        "sale_id", "merchant_id", "sale_date", "product_price", "premium_charged",
-        "remittance_amount", "remittance_date", "customer_email",
-    ),
-    "contracts": _text(
-        "contract_id", "sale_id", "merchant_id", "issued_date", "premium",
-        "coverage_limit", "term_months", "status",
-    ),
-    "claims": _text(
-        "claim_id", "contract_id", "servicer_id", "claim_date", "claim_amount", "status",
-    ),
-    "servicer_reimbursements": _text(
-        "reimbursement_id", "claim_id", "servicer_id", "paid_date", "paid_amount",
-    ),
+# Columns of a detected break, and of the fact, in order.
+BREAK_FIELDS = {
+    "break_type": "string",
+    "severity": "string",
+    "entity_id": "string",
+    "entity_type": "string",
+    "merchant_id": "string",
+    "servicer_id": "string",
+    "opened_at": "date",
+    "amount_at_risk": MONEY_TOTAL,
+    "description": "string",
+}
+FACT_FIELDS = {
+    "break_key": "bigint",
+    "break_type": "string",
+    "severity": "string",
+    "entity_type": "string",
+    "entity_id": "string",
+    "merchant_id": "string",
+    "servicer_id": "string",
+    "opened_at": "date",
+    "days_open": "int",
+    "amount_at_risk": MONEY_TOTAL,
+    "description": "string",
+    "as_of_date": "date",
 }
 
-TRUTH_SCHEMA = _text(
-    "break_type", "sale_id", "contract_id", "claim_id", "reimbursement_id", "detail",
-)
 
-BREAK_SCHEMA = T.StructType.fromDDL(
-    "break_type string, severity string, entity_id string, entity_type string,"
-    " merchant_id string, servicer_id string, opened_at date,"
-    f" amount_at_risk {MONEY_TOTAL}, description string"
-)
+def ddl(fields: dict[str, str]) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in fields.items())
+
 
-FACT_SCHEMA = T.StructType.fromDDL(
-    "break_key bigint, break_type string, severity string, entity_type string,"
-    " entity_id string, merchant_id string, servicer_id string, opened_at date,"
-    f" days_open int, amount_at_risk {MONEY_TOTAL}, description string, as_of_date date"
+RAW_SCHEMAS = {feed: ddl(dict.fromkeys(columns, "string")) for feed, columns in STAGED_TYPES.items()}
+TRUTH_SCHEMA = ddl(
+    dict.fromkeys(
+        ["break_type", "sale_id", "contract_id", "claim_id", "reimbursement_id", "detail"],
+        "string",
+    )
 )
-FACT_COLUMNS = FACT_SCHEMA.names
+BREAK_SCHEMA = ddl(BREAK_FIELDS)
+FACT_SCHEMA = ddl(FACT_FIELDS)
+FACT_COLUMNS = list(FACT_FIELDS)
 
 # The history keeps the fact's columns under a date of its own.
 SNAPSHOT_COLUMNS = ["snapshot_date", *[c for c in FACT_COLUMNS if c != "as_of_date"]]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 from tripartite.schemas import RAW_SCHEMAS, TRUTH_SCHEMA
 
@@ -25,7 +24,7 @@ def read_raw_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def read_truth(
-    spark: SparkSession, path: str, array: bool = True, schema: StructType = TRUTH_SCHEMA
+    spark: SparkSession, path: str, array: bool = True, schema: str = TRUTH_SCHEMA
 ) -> DataFrame:
     """Log of planted breaks. Keys a record lacks become null columns.
 

@@ -33,79 +33,74 @@ def _reader(spark: SparkSession, root: str) -> Reader:
     return cache(lambda name: spark.read.parquet(f"{root}/{name}.parquet"))
 
 
-def _hits(key: str, modulus: int):
-    return F.col(key) % modulus == 0
+def _share(share: str) -> str:
+    return f"cast(round(tp * cast({share} as decimal(3,2)), 2) as decimal(12,2))"
 
 
-def _share(share: str):
-    return f"cast(round(tp * cast({share} as decimal(3,2)), 2) as decimal(12,2))"
+_MERCHANT = "concat('M', lpad(cast({} as string), 3, '0')) as merchant_id"
+_CLAIM = "concat_ws('-', l_orderkey, l_linenumber) as claim_id"
+_ORDER = "cast(o_orderkey as string)"
 
 
 def _orders(table: Reader) -> DataFrame:
+    """Orders with the nation of their customer. The customer's side of the join has
+    unique keys; a customer with very many orders is split by adaptive execution."""
     customer = table("customer").select("c_custkey", "c_nationkey")
     orders = table("orders").selectExpr(
-        "o_orderkey", "o_custkey", "cast(o_orderdate as date) as day",
+        "o_orderkey",
+        "o_custkey",
+        "cast(o_orderdate as date) as day",
         "cast(o_totalprice as decimal(12,2)) as tp",
     )
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
 
 
-def _merchant_id(nation: str):
-    return F.concat(F.lit("M"), F.lpad(F.col(nation).cast("string"), 3, "0"))
-
-
-def _claim_id():
-    return F.concat_ws("-", "l_orderkey", "l_linenumber")
-
-
 def _returns(table: Reader) -> DataFrame:
-    return table("lineitem").where(F.col("l_returnflag") == "R")
+    return table("lineitem").where("l_returnflag = 'R'")
 
 
 def merchants(table: Reader) -> DataFrame:
-    return table("nation").select(
-        _merchant_id("n_nationkey").alias("merchant_id"),
-        F.col("n_name").alias("merchant_name"),
-        F.concat(F.lit("region-"), F.col("n_regionkey").cast("string")).alias("category"),
+    return table("nation").selectExpr(
+        _MERCHANT.format("n_nationkey"),
+        "n_name as merchant_name",
+        "concat('region-', cast(n_regionkey as string)) as category",
     )
 
 
 def servicers(table: Reader) -> DataFrame:
-    return table("supplier").select(
-        F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("servicer_id"),
-        F.col("s_name").alias("servicer_name"),
+    return table("supplier").selectExpr(
+        "concat('S', cast(s_suppkey as string)) as servicer_id", "s_name as servicer_name"
     )
 
 
 def contracts(table: Reader) -> DataFrame:
-    return _orders(table).select(
-        F.col("o_orderkey").cast("string").alias("contract_id"),
-        F.col("o_orderkey").cast("string").alias("sale_id"),
-        _merchant_id("c_nationkey").alias("merchant_id"),
-        F.col("day").cast("string").alias("issued_date"),
-        F.expr(_share("0.10")).alias("premium"),
-        F.col("tp").alias("coverage_limit"),
-        (12 * (1 + (F.col("o_orderkey") % 3).cast("int"))).alias("term_months"),
-        F.lit("active").alias("status"),
+    return _orders(table).selectExpr(
+        f"{_ORDER} as contract_id",
+        f"{_ORDER} as sale_id",
+        _MERCHANT.format("c_nationkey"),
+        "cast(day as string) as issued_date",
+        f"{_share('0.10')} as premium",
+        "tp as coverage_limit",
+        "12 * (1 + cast(o_orderkey % 3 as int)) as term_months",
+        "'active' as status",
     )
 
 
 def merchant_sales(table: Reader) -> DataFrame:
-    return _orders(table).where(~_hits("o_orderkey", NO_SALE)).select(
-        F.col("o_orderkey").cast("string").alias("sale_id"),
-        _merchant_id("c_nationkey").alias("merchant_id"),
-        F.col("day").cast("string").alias("sale_date"),
-        F.col("tp").alias("product_price"),
-        F.expr(_share("0.10")).alias("premium_charged"),
-        F.when(_hits("o_orderkey", UNPAID), F.lit(0).cast("decimal(12,2)"))
-        .when(_hits("o_orderkey", UNDERPAID), F.expr(_share("0.09")))
-        .otherwise(F.expr(_share("0.10")))
-        .alias("remittance_amount"),
-        F.when(_hits("o_orderkey", UNPAID), "")
-        .otherwise(F.date_add("day", 5).cast("string"))
-        .alias("remittance_date"),
-        F.concat(F.lit("cust_"), F.col("o_custkey").cast("string"), F.lit("@example.com"))
-        .alias("customer_email"),
+    remitted = (
+        f"case when o_orderkey % {UNPAID} = 0 then cast(0 as decimal(12,2))"
+        f" when o_orderkey % {UNDERPAID} = 0 then {_share('0.09')} else {_share('0.10')} end"
+    )
+    paid_on = f"if(o_orderkey % {UNPAID} = 0, '', cast(date_add(day, 5) as string))"
+    return _orders(table).where(f"o_orderkey % {NO_SALE} <> 0").selectExpr(
+        f"{_ORDER} as sale_id",
+        _MERCHANT.format("c_nationkey"),
+        "cast(day as string) as sale_date",
+        "tp as product_price",
+        f"{_share('0.10')} as premium_charged",
+        f"{remitted} as remittance_amount",
+        f"{paid_on} as remittance_date",
+        "concat('cust_', cast(o_custkey as string), '@example.com') as customer_email",
     )
 
 
@@ -115,28 +110,26 @@ def claims(table: Reader) -> DataFrame:
         F.min("l_shipdate").alias("shipped"),
         F.min("l_extendedprice").alias("price"),
     )
-    order = F.col("l_orderkey").cast("string")
-    return lines.select(
-        _claim_id().alias("claim_id"),
-        F.when(_hits("l_orderkey", NO_CONTRACT), F.concat(F.lit("X"), order))
-        .otherwise(order)
-        .alias("contract_id"),
-        F.concat(F.lit("S"), F.col("suppkey").cast("string")).alias("servicer_id"),
-        F.col("shipped").cast("date").cast("string").alias("claim_date"),
-        F.col("price").cast("decimal(12,2)").alias("claim_amount"),
-        F.lit("approved").alias("status"),
+    prefix = f"if(l_orderkey % {NO_CONTRACT} = 0, 'X', '')"
+    return lines.selectExpr(
+        _CLAIM,
+        f"concat({prefix}, cast(l_orderkey as string)) as contract_id",
+        "concat('S', cast(suppkey as string)) as servicer_id",
+        "cast(cast(shipped as date) as string) as claim_date",
+        "cast(price as decimal(12,2)) as claim_amount",
+        "'approved' as status",
     )
 
 
 def servicer_reimbursements(table: Reader) -> DataFrame:
-    shipped = F.col("l_shipdate").cast("date")
-    return _returns(table).where(~_hits("l_orderkey", NO_REIMBURSEMENT)).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shipped)
-        .alias("reimbursement_id"),
-        _claim_id().alias("claim_id"),
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("servicer_id"),
-        F.date_add(shipped, 14).cast("string").alias("paid_date"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("paid_amount"),
+    shipped = "cast(l_shipdate as date)"
+    return _returns(table).where(f"l_orderkey % {NO_REIMBURSEMENT} <> 0").selectExpr(
+        f"concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, {shipped})"
+        " as reimbursement_id",
+        _CLAIM,
+        "concat('S', cast(l_suppkey as string)) as servicer_id",
+        f"cast(date_add({shipped}, 14) as string) as paid_date",
+        "cast(l_extendedprice as decimal(12,2)) as paid_amount",
     )
 
 
@@ -161,33 +154,35 @@ def raw_sources(
 def planted_breaks(spark: SparkSession, root: str) -> DataFrame:
     """The breaks the modulus rules plant, as records of the truth log."""
     table = _reader(spark, root)
-    key = "o_orderkey"
-    order = F.col(key).cast("string")
-    ordered = _orders(table)
     kind = (
-        F.when(_hits(key, NO_SALE), "orphan_contract")
-        .when(_hits(key, UNPAID), "timing_break")
-        .when(_hits(key, UNDERPAID), "amount_break")
-    )
-    plants = ordered.select(kind.alias("break_type"), order.alias("id")).where(
-        F.col("break_type").isNotNull()
+        f"case when o_orderkey % {NO_SALE} = 0 then 'orphan_contract'"
+        f" when o_orderkey % {UNPAID} = 0 then 'timing_break'"
+        f" when o_orderkey % {UNDERPAID} = 0 then 'amount_break' end"
     )
-    on_contract = F.col("break_type") == "orphan_contract"
-    by_order = plants.select(
-        "break_type",
-        F.when(~on_contract, F.col("id")).alias("sale_id"),
-        F.when(on_contract, F.col("id")).alias("contract_id"),
-        F.lit(None).cast("string").alias("claim_id"),
+    by_order = (
+        _orders(table)
+        .selectExpr(f"{kind} as break_type", f"{_ORDER} as id")
+        .where("break_type is not null")
+        .selectExpr(
+            "break_type",
+            "if(break_type = 'orphan_contract', null, id) as sale_id",
+            "if(break_type = 'orphan_contract', id, null) as contract_id",
+            "cast(null as string) as claim_id",
+        )
     )
-    no_contract = _returns(table).where(_hits("l_orderkey", NO_CONTRACT))
-    by_claim = no_contract.select(_claim_id().alias("claim_id")).distinct().select(
-        F.lit("orphan_claim").alias("break_type"),
-        F.lit(None).cast("string").alias("sale_id"),
-        F.lit(None).cast("string").alias("contract_id"),
-        "claim_id",
+    no_contract = _returns(table).where(f"l_orderkey % {NO_CONTRACT} = 0")
+    by_claim = (
+        no_contract.selectExpr(_CLAIM)
+        .distinct()
+        .selectExpr(
+            "'orphan_claim' as break_type",
+            "cast(null as string) as sale_id",
+            "cast(null as string) as contract_id",
+            "claim_id",
+        )
     )
-    return by_order.unionByName(by_claim).select(
-        "break_type", "sale_id", "contract_id", "claim_id",
-        F.lit(None).cast("string").alias("reimbursement_id"),
-        F.concat(F.lit("planted "), F.col("break_type")).alias("detail"),
+    return by_order.unionByName(by_claim).selectExpr(
+        "*",
+        "cast(null as string) as reimbursement_id",
+        "concat('planted ', break_type) as detail",
     )
