@@ -11,6 +11,7 @@ import os
 import sys
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -21,6 +22,7 @@ import oracles  # noqa: E402
 from tripartite import operators as op  # noqa: E402
 from tripartite import plans, sources, tune  # noqa: E402
 from tripartite.schemas import BREAK_SCHEMA, RAW_SCHEMAS  # noqa: E402
+from tripartite.session import together  # noqa: E402
 from tripartite.sources import tpch  # noqa: E402
 from tripartite.sources.scratch import scratch_path  # noqa: E402
 
@@ -84,8 +86,13 @@ def _truth(spark: SparkSession, root: str) -> DataFrame:
 def _src_scan(spark: SparkSession, root: str) -> DataFrame:
     """Rows and filled fields of each feed, read back from CSV."""
     folder = scratch_path(spark, "feeds")
-    for name, df in _raw(spark, root, *RAW_SCHEMAS).items():
-        sources.write_csv(df, f"{folder}/{name}.csv")
+    together(
+        spark,
+        *[
+            partial(sources.write_csv, df, f"{folder}/{name}.csv")
+            for name, df in _raw(spark, root, *RAW_SCHEMAS).items()
+        ],
+    )
     scanned = None
     for name, df in sources.read_raw_sources(spark, folder).items():
         filled = [F.count(F.nullif(F.col(c), F.lit(""))) for c in df.columns]
@@ -197,9 +204,9 @@ def _merchant_scorecard(spark: SparkSession, root: str) -> DataFrame:
 def _dq_results(spark: SparkSession, root: str) -> DataFrame:
     """All declared checks on the feeds, the staged tables, the fact and one snapshot.
 
-    The fact is scanned by several checks, so it is written first.
+    Feeds and fact are scanned by several checks each, so they are written first.
     """
-    raw = _raw(spark, root, *RAW_SCHEMAS)
+    raw = sources.write_all(_raw(spark, root, *RAW_SCHEMAS))
     staged = op.stage_all(raw)
     fact = sources.write_through(
         plans.build_fact(plans.write_lifecycles(staged), AS_OF), "fct_recon_breaks"
@@ -208,7 +215,7 @@ def _dq_results(spark: SparkSession, root: str) -> DataFrame:
         "fct_recon_breaks": fact,
         "fct_daily_break_snapshot": sources.snapshot_rows(fact, AS_OF),
     }
-    return plans.run_checks(raw | staged | marts).unionByName(plans.coverage_check(staged))
+    return plans.run_checks(raw | staged | marts, invariant_on=staged)
 
 
 def _dq_not_null(spark: SparkSession, root: str) -> DataFrame:

@@ -52,9 +52,9 @@ def test_failing_check_is_raised_once_and_can_be_reported_instead(spark, tmp_pat
         lambda f: f["servicer_reimbursements"].append("R99,K7,V1,2025-04-20,1000.01"),
     )
     attempts = []
-    original = quality.coverage_check
+    original = quality.reimbursement_within_coverage
     monkeypatch.setattr(
-        quality, "coverage_check", lambda staged: attempts.append(1) or original(staged)
+        quality, "reimbursement_within_coverage", lambda *t: attempts.append(1) or original(*t)
     )
     with pytest.raises(plans.QualityError, match="reimbursement_never_exceeds_coverage"):
         plans.run_pipeline(raw, str(tmp_path / "out"), AS_OF, snapshot_date=DAY1)

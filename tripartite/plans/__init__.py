@@ -12,7 +12,6 @@ from tripartite.plans.quality import (
     QualityError,
     accepted_values,
     assert_quality,
-    coverage_check,
     dq_summary,
     not_null,
     relationships,
@@ -55,7 +54,6 @@ __all__ = [
     "build_breaks",
     "build_fact",
     "contract_detail",
-    "coverage_check",
     "detected_counts",
     "dq_summary",
     "kpi_summary",

@@ -17,8 +17,8 @@ from tripartite.operators import (
 )
 from tripartite.operators.detect import HIGH_AFTER_DAYS, SLA_DAYS
 from tripartite.plans import quality, reports
-from tripartite.session import tune
-from tripartite.sources.scratch import write_through
+from tripartite.session import together, tune
+from tripartite.sources.scratch import write_all, write_through
 from tripartite.sources.tables import (
     read_fact,
     read_snapshot,
@@ -55,10 +55,7 @@ def write_lifecycles(staged: dict[str, DataFrame], work: str | None = None) -> d
     The detectors read each lifecycle several times and different columns of it;
     over open joins every one of them would repeat the joins.
     """
-    return {
-        name: write_through(df, name, f"{work}/{name}" if work else None)
-        for name, df in lifecycles(staged).items()
-    }
+    return write_all(lifecycles(staged), work)
 
 
 def build_breaks(
@@ -124,11 +121,12 @@ def run_pipeline(
     fact = read_fact(spark, f"{output}/fct_recon_breaks")
 
     history = f"{output}/fct_daily_break_snapshot"
-    written = snapshot_breaks(fact, history, snapshot_date, full_refresh)
-    aging = write_through(reports.break_aging(fact), "break_aging", f"{output}/break_aging")
-    scorecard = write_through(
-        reports.merchant_scorecard(fact, raw["merchants"], staged["stg_contracts"]),
-        "merchant_scorecard", f"{output}/merchant_scorecard",
+    scorecard = reports.merchant_scorecard(fact, raw["merchants"], staged["stg_contracts"])
+    analytics = {"break_aging": reports.break_aging(fact), "merchant_scorecard": scorecard}
+    written, analytics = together(
+        spark,
+        lambda: snapshot_breaks(fact, history, snapshot_date, full_refresh),
+        lambda: write_all(analytics, output),
     )
 
     # Today's columns are known, so the footers of a long history need not be merged.
@@ -137,17 +135,13 @@ def run_pipeline(
         "fct_recon_breaks": fact,
         "fct_daily_break_snapshot": read_snapshot(spark, history, columns),
     }
-    outputs = quality.run_checks(marts).unionByName(quality.coverage_check(staged))
+    outputs = quality.run_checks(marts, invariant_on=staged)
     output_checks = quality.assert_quality(outputs) if gate else _counts(outputs)
     checks = {
         status: input_checks.get(status, 0) + output_checks.get(status, 0)
         for status in input_checks | output_checks
     }
-    tables = (
-        raw | staged | lifecycle | marts
-        | {"break_aging": aging, "merchant_scorecard": scorecard}
-    )
-    return PipelineRun(tables, written, checks)
+    return PipelineRun(raw | staged | lifecycle | marts | analytics, written, checks)
 
 
 def _counts(results: DataFrame) -> dict[str, int]:

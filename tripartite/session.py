@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settable on a running session. Skewed joins are split even where the split
@@ -31,3 +36,14 @@ def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
         partitions = max(spark.sparkContext.defaultParallelism, -(-input_bytes // _TASK_BYTES))
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
     return spark
+
+
+def together(spark: SparkSession, *actions: Callable[[], Any]) -> list[Any]:
+    """Run independent Spark actions at the same time and return their results.
+
+    Each is a job of its own; the cluster fills the tail of one with the tasks of
+    another.
+    """
+    with ThreadPoolExecutor(len(actions)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+        return [action.result() for action in started]

@@ -8,7 +8,7 @@ from tripartite.sources.files import (
     write_csv,
     write_json,
 )
-from tripartite.sources.scratch import shared_dir, write_through
+from tripartite.sources.scratch import shared_dir, write_all, write_through
 from tripartite.sources.tables import (
     delete_insert,
     read_fact,
@@ -29,6 +29,7 @@ __all__ = [
     "shared_dir",
     "snapshot_breaks",
     "snapshot_rows",
+    "write_all",
     "write_csv",
     "write_fact",
     "write_json",

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripartite.session import together
+
 SHARED_DIR_CONF = "spark.checkpoint.dir"
 
 
@@ -35,3 +38,13 @@ def write_through(df: DataFrame, name: str, path: str | None = None) -> DataFram
     target = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def write_all(tables: dict[str, DataFrame], root: str | None = None) -> dict[str, DataFrame]:
+    """:func:`write_through` for several tables at once, as ``root/<name>``."""
+    spark = next(iter(tables.values())).sparkSession
+
+    def write(name: str) -> Callable[[], DataFrame]:
+        return lambda: write_through(tables[name], name, f"{root}/{name}" if root else None)
+
+    return dict(zip(tables, together(spark, *map(write, tables)), strict=True))
