@@ -88,10 +88,10 @@ def test_hot_keys_are_split(spark, hot):
         for df in (claim, op.detect_overpayment(claim)):
             plan = final_plan(df)
             assert re.search(r"skew=true\) \[claim_contract_id.*LeftOuter", plan)
-            assert re.search(r"skew=true\) \[claim_id.*Inner", plan)
+            assert re.search(r"skew=true\) \[coalesce\(claim_id.*Inner", plan)
         # An aggregate on the join key does not keep the hot key together.
         for df in (op.detect_duplicate_claim(claim), op.contract_payouts(claim)):
-            assert re.search(r"skew=true\) \[claim_id.*Inner", final_plan(df))
+            assert re.search(r"skew=true\) \[coalesce\(claim_id.*Inner", final_plan(df))
         checked = plans.reimbursement_within_coverage(
             hot["stg_servicer_reimbursements"], hot["stg_claims"], hot["stg_contracts"]
         )
@@ -140,10 +140,16 @@ def test_results_under_hot_keys_match_brute_force(spark, hot):
     assert {k[0] for k in expected} == set(BREAK_TYPES) - {"timing_break"}
 
 
-def test_claim_side_is_joined_once_for_paid_and_unpaid(spark, staged):
-    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
-        plan = plan_of(plans.lifecycles(staged)["int_claim_lifecycle"])
-    assert "ReusedExchange" in plan
+def test_claims_meet_contracts_once_for_paid_and_unpaid(spark, staged, tmp_path):
+    """Columns read from files may be null, which must not make the two joins differ."""
+    read = {}
+    for name, df in staged.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        read[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = final_plan(plans.lifecycles(read)["int_claim_lifecycle"])
+    assert plan.count("LeftOuter") == 1
+    assert plan.count("ReusedExchange") == 1
 
 
 def test_detectors_drop_what_they_do_not_need(spark, staged):

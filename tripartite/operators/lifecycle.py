@@ -79,13 +79,16 @@ def claim_lifecycle(
 ) -> DataFrame:
     """One row per claim and payment; a claim without payment keeps one row."""
     filed = claims_with_contract(claims, contracts)
-    payments = reimbursements.selectExpr(
+    payments = reimbursements.where("claim_id is not null").selectExpr(
         "claim_id as paid_claim_id", "reimbursement_id", "paid_date", "paid_amount"
     )
     # One row per claim and map task goes into the shuffle, however hot the claim.
     paid_claims = payments.select("paid_claim_id").distinct()
 
-    same_claim = F.col("claim_id") == F.col("paid_claim_id")
+    # Null-safe, so that the inner join puts no null filter on its copy of the claims:
+    # both joins then read the same shuffle of them. Payments without a claim are gone
+    # already, so a null claim id still meets nothing.
+    same_claim = F.col("claim_id").eqNullSafe(F.col("paid_claim_id"))
     paid = filed.join(payments, same_claim, "inner").drop("paid_claim_id")
     unpaid = filed.join(paid_claims, same_claim, "left_anti")
     nothing = [f"cast(null as {kind}) as {c}" for c, kind in payments.dtypes[1:]]
