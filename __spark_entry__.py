@@ -68,7 +68,7 @@ def _written(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def _breaks(spark: SparkSession, root: str) -> DataFrame:
-    """The fact without its key, which no report needs."""
+    """The fact without its key, which the aggregating reports do not need."""
     return plans.build_breaks(_written(spark, root), AS_OF)
 
 
@@ -305,12 +305,12 @@ def queries() -> dict[str, Query]:
         "break_type_summary": lambda s, d: plans.break_type_summary(_breaks(s, d)),
         "break_filter_values": lambda s, d: plans.break_filter_values(_breaks(s, d)),
         "break_drilldown": lambda s, d: plans.break_drilldown(
-            _breaks(s, d),
+            _fact(s, d),
             ["timing_break", "overpayment", "coverage_exceeded"],
             ["high", "medium"],
         ),
         "break_report": lambda s, d: plans.break_report(
-            _fact(s, d), "M001", ["amount_break", "timing_break"]
+            _fact(s, d), "M001", AS_OF, ["amount_break", "timing_break"]
         ),
         "detected_counts": lambda s, d: plans.detected_counts(_breaks(s, d)),
         "merchant_totals": lambda s, d: plans.merchant_totals(_stage("contracts")(s, d)),

@@ -1,7 +1,8 @@
 """DuckDB SQL that answers the same questions as ``__spark_entry__.queries``.
 
 Written against the raw tables and independently of the Spark plans: plain outer
-joins, NOT EXISTS, and one global ``row_number`` where Spark numbers in parts.
+joins where Spark joins in parts, and one global ``row_number`` where it numbers in
+parts. Repeated keys multiply rows here and there alike.
 """
 
 from __future__ import annotations
@@ -106,53 +107,53 @@ SELECT '{break_type}' AS break_type, {severity} AS severity, {entity_id} AS enti
 
 _AGE = "date_diff('day', issued_date, DATE '{as_of}')"
 _HIGH, _MEDIUM = "'high'", "'medium'"
+_ON_CONTRACT = ("contract", "contract_id", "contract_merchant_id", "NULL", "issued_date")
+_ON_CLAIM = ("claim", "claim_id", "NULL", "claim_servicer_id", "claim_date")
 
 _ORPHAN_CONTRACT = _detector(
-    "orphan_contract", _HIGH, "contract", "contract_id", "merchant_id", "NULL", "issued_date", "premium",
+    "orphan_contract", _HIGH, *_ON_CONTRACT, "contract_premium",
     "'Contract issued but no matching merchant sale exists.'",
-    "FROM contracts k WHERE NOT EXISTS (SELECT 1 FROM sales b WHERE b.sale_id = k.sale_id)",
+    "FROM lc WHERE matched_sale_id IS NULL",
 )
 _TIMING_BREAK = _detector(
-    "timing_break", f"CASE WHEN {_AGE} > 30 THEN 'high' ELSE 'medium' END", "contract", "contract_id",
-    "k.merchant_id", "NULL", "issued_date", "premium",
+    "timing_break", f"CASE WHEN {_AGE} > 30 THEN 'high' ELSE 'medium' END", *_ON_CONTRACT,
+    "contract_premium",
     "'Merchant has not remitted premium within 14 days of contract issuance.'",
-    f"FROM contracts k JOIN sales b USING (sale_id) WHERE b.remittance_date IS NULL AND {_AGE} > 14",
+    f"FROM lc WHERE matched_sale_id IS NOT NULL AND sale_remittance_date IS NULL AND {_AGE} > 14",
 )
 _AMOUNT_BREAK = _detector(
-    "amount_break", _MEDIUM, "contract", "contract_id", "k.merchant_id", "NULL", "issued_date",
-    "abs(coalesce(remittance_amount, 0) - premium)",
-    "'Remittance amount ' || CAST(remittance_amount AS VARCHAR) || ' does not match contract premium '"
-    " || CAST(premium AS VARCHAR)",
-    "FROM contracts k JOIN sales b USING (sale_id)"
-    " WHERE abs(coalesce(remittance_amount, 0) - premium) > 0.01",
+    "amount_break", _MEDIUM, *_ON_CONTRACT, "abs(coalesce(sale_remittance_amount, 0) - contract_premium)",
+    "'Remittance amount ' || CAST(sale_remittance_amount AS VARCHAR) || ' does not match contract premium '"
+    " || CAST(contract_premium AS VARCHAR)",
+    "FROM lc WHERE matched_sale_id IS NOT NULL"
+    " AND abs(coalesce(sale_remittance_amount, 0) - contract_premium) > 0.01",
 )
-_ORPHAN_CLAIM = _detector(
-    "orphan_claim", _HIGH, "claim", "claim_id", "NULL", "servicer_id", "claim_date", "claim_amount",
+_ORPHAN_CLAIM = "SELECT DISTINCT * FROM (" + _detector(
+    "orphan_claim", _HIGH, *_ON_CLAIM, "claim_amount",
     "'Claim references contract_id that does not exist in the contracts table.'",
-    "FROM claims f WHERE NOT EXISTS (SELECT 1 FROM contracts k WHERE k.contract_id = f.contract_id)",
-)
+    "FROM lk WHERE matched_contract_id IS NULL",
+) + ")"
 _DUPLICATE_CLAIM = _detector(
-    "duplicate_claim", _HIGH, "claim", "f.claim_id", "NULL", "f.servicer_id", "f.claim_date",
-    "g.total - f.claim_amount",
-    "'Claim reimbursed ' || CAST(g.n AS VARCHAR) || ' times, total paid = ' || CAST(g.total AS VARCHAR)",
-    "FROM claims f JOIN (SELECT claim_id, count(*) AS n, sum(paid_amount) AS total FROM payments"
-    " GROUP BY claim_id HAVING count(*) > 1) g ON g.claim_id = f.claim_id",
+    "duplicate_claim", _HIGH, *_ON_CLAIM, "total - claim_amount",
+    "'Claim reimbursed ' || CAST(n AS VARCHAR) || ' times, total paid = ' || CAST(total AS VARCHAR)",
+    "FROM (SELECT claim_id, min(claim_servicer_id) AS claim_servicer_id, min(claim_date) AS claim_date,"
+    " max(claim_amount) AS claim_amount, count(*) AS n, sum(paid_amount) AS total"
+    " FROM lk WHERE NOT is_unpaid_claim GROUP BY claim_id) WHERE n > 1",
 )
 _OVERPAYMENT = _detector(
-    "overpayment", _MEDIUM, "reimbursement", "reimbursement_id", "NULL", "f.servicer_id", "paid_date",
+    "overpayment", _MEDIUM, "reimbursement", "reimbursement_id", "NULL", "claim_servicer_id", "paid_date",
     "paid_amount - claim_amount",
     "'Paid ' || CAST(paid_amount AS VARCHAR) || ' exceeds claim amount ' || CAST(claim_amount AS VARCHAR)",
-    "FROM payments p JOIN claims f ON f.claim_id = p.claim_id WHERE paid_amount > claim_amount + 0.01",
+    "FROM lk WHERE paid_amount > claim_amount + 0.01",
 )
 _PAYOUTS = """
-SELECT f.contract_id, CAST(sum(p.paid_amount) AS DECIMAL(24,2)) AS total_paid
-FROM claims f JOIN payments p ON p.claim_id = f.claim_id GROUP BY f.contract_id"""
+SELECT claim_contract_id AS contract_id, CAST(sum(coalesce(paid_amount, 0)) AS DECIMAL(24,2)) AS total_paid
+FROM lk WHERE claim_contract_id IS NOT NULL AND NOT is_unpaid_claim GROUP BY claim_contract_id"""
 _COVERAGE_EXCEEDED = _detector(
-    "coverage_exceeded", _HIGH, "contract", "k.contract_id", "merchant_id", "NULL", "issued_date",
-    "total_paid - coverage_limit",
+    "coverage_exceeded", _HIGH, *_ON_CONTRACT, "total_paid - coverage_limit",
     "'Total paid ' || CAST(total_paid AS VARCHAR) || ' exceeds coverage_limit '"
     " || CAST(coverage_limit AS VARCHAR)",
-    f"FROM contracts k JOIN ({_PAYOUTS}) g ON g.contract_id = k.contract_id WHERE total_paid > coverage_limit",
+    f"FROM lc JOIN ({_PAYOUTS}) USING (contract_id) WHERE total_paid > coverage_limit",
 )
 _DETECTORS = {
     "detect_orphan_contract": _ORPHAN_CONTRACT,
@@ -174,7 +175,8 @@ def _fact(as_of: str) -> str:
     """The numbered fact at a date."""
     found = "\nUNION ALL\n".join(_DETECTORS.values()).replace("{as_of}", as_of)
     return f"""
-SELECT row_number() OVER (ORDER BY opened_at NULLS LAST, entity_id, break_type) AS break_key,
+SELECT row_number() OVER (ORDER BY opened_at NULLS LAST, entity_id NULLS LAST, break_type,
+                          amount_at_risk, description NULLS LAST) AS break_key,
        break_type, severity, entity_type, entity_id, merchant_id, servicer_id, opened_at,
        CAST(date_diff('day', opened_at, DATE '{as_of}') AS INTEGER) AS days_open,
        amount_at_risk, description, DATE '{as_of}' AS as_of_date
@@ -327,7 +329,6 @@ def oracle_sql() -> dict[str, str]:
             _FEEDS,
             src_scan=_SRC_SCAN,
             csv_roundtrip="SELECT * FROM sales",
-            json_roundtrip=_ORPHAN_CLAIM,
             truth_scan="SELECT *, CAST(NULL AS VARCHAR) AS reimbursement_id,"
             " 'planted ' || break_type AS detail FROM planted",
             stg_merchant_sales="SELECT * FROM sales",
@@ -336,7 +337,6 @@ def oracle_sql() -> dict[str, str]:
             stg_reimbursements="SELECT * FROM payments",
             int_contract_lifecycle=_CONTRACT_LIFECYCLE,
             int_claim_lifecycle=_CLAIM_LIFECYCLE,
-            contract_payouts=_PAYOUTS,
             merchant_totals=_MERCHANT_TOTALS,
             planted_counts="SELECT break_type, count(*) AS planted FROM planted GROUP BY break_type",
             truth_log_totals="SELECT count(*) AS planted, count(DISTINCT break_type) AS categories FROM planted",
@@ -348,10 +348,12 @@ def oracle_sql() -> dict[str, str]:
             dq_relationships="SELECT * FROM claims f"
             " WHERE NOT EXISTS (SELECT 1 FROM contracts k WHERE k.contract_id = f.contract_id)",
             dq_singular_coverage=_OVER_COVERAGE,
-            **detectors,
         )
         | _on(
             _MODELS,
+            json_roundtrip=_ORPHAN_CLAIM,
+            contract_payouts=_PAYOUTS,
+            **detectors,
             contract_detail="SELECT * FROM lc WHERE contract_id = '742'",
             dq_not_null="SELECT * FROM (" + " UNION ALL ".join(
                 f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS null_rows FROM lk"

@@ -28,7 +28,7 @@ def breaks(spark, n):
 def test_keys_equal_a_global_row_number(spark, tmp_path):
     finished = finish_breaks(breaks(spark, 6000).repartition(7), AS_OF)
     with conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        fact = with_break_key(finished, str(tmp_path / "ordered"))
+        fact = with_break_key(finished, str(tmp_path))
         assert fact.columns == FACT_COLUMNS
         placed = spark.read.parquet(str(tmp_path / "ordered"))
         parts = placed.groupBy(F.shiftright("_place", 33)).count().collect()
@@ -50,6 +50,18 @@ def test_tied_breaks_are_neighbours_in_a_fixed_order(spark):
             assert keys[entity, "amount_break"] == key - 1
 
 
+def test_a_third_of_the_rows_being_copies_is_split(spark, tmp_path):
+    rows = spark.range(9000).selectExpr("if(id % 3 = 0, 1, id) as x", "'same' as y").repartition(6)
+    with conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        numbered = number_rows(rows, ["x", "y"], "n", str(tmp_path))
+        placed = spark.read.parquet(str(tmp_path / "ordered"))
+        parts = [r["count"] for r in placed.groupBy(F.shiftright("_place", 33)).count().collect()]
+    assert len(parts) == 4 and max(parts) < 3200
+    found = numbered.orderBy("n").collect()
+    assert [r["n"] for r in found] == list(range(1, 9001))
+    assert [r["x"] for r in found] == sorted(r["x"] for r in found)
+
+
 def test_numbering_an_empty_table(spark):
     empty = spark.range(0).withColumnRenamed("id", "x")
     assert number_rows(empty, ["x"]).count() == 0

@@ -83,10 +83,11 @@ def test_filter_values(built):
 
 def test_break_report_and_type_summary(built):
     fact = built[2]
-    report = plans.break_report(fact, "M2", ["amount_break", "timing_break"])
+    report = plans.break_report(fact, "M2", AS_OF, ["amount_break", "timing_break"])
     assert rows(report, "break_type", "entity_id") == [
         ("amount_break", "C1"), ("amount_break", "C3"), ("timing_break", "C1"),
     ]
+    assert plans.break_report(fact, "M2", date(2025, 6, 30), ["amount_break"]).isEmpty()
     summary = plans.break_type_summary(fact, limit=2).collect()
     assert [(r["break_type"], r["breaks"]) for r in summary] == [
         ("amount_break", 3), ("coverage_exceeded", 1),

@@ -15,43 +15,50 @@ from pyspark.sql import functions as F
 from tripartite.schemas import FACT_COLUMNS
 from tripartite.sources.scratch import write_through
 
-# (break_type, entity_id) identifies a break, so this order has no ties.
-BREAK_ORDER = ["opened_at", "entity_id", "break_type"]
+# (break_type, entity_id) identifies a break, so the first three columns leave no
+# ties; the others keep the order fixed where the source keys repeat all the same.
+BREAK_ORDER = ["opened_at", "entity_id", "break_type", "amount_at_risk", "description"]
 
 # Layout of monotonically_increasing_id: partition number above bit 33, row below.
 _ROW_BITS = 33
 
 
 def number_rows(
-    df: DataFrame, order: list[str], number: str = "row_number", path: str | None = None
+    df: DataFrame, order: list[str], number: str = "row_number", work: str | None = None
 ) -> DataFrame:
     """``df`` with ``number`` = 1..n in the given order, nulls last.
 
-    The sorted rows are written once (to ``path``, or to the shared folder), so
-    the counts and the result are taken from the same partitioning even if tasks
-    have to be repeated.
+    Two tables are written below ``work`` (or in the shared folder). The rows as they
+    come: the sort reads its input twice, once to choose the ranges. And the sorted
+    rows with their places: counts and result then see the same partitioning, even if
+    tasks have to be repeated.
+
+    Copies of one row cannot be told apart by ``order``; their position in the first
+    table can, so a large group of copies is cut like any other range.
     """
-    ordered = df.orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    placed = write_through(
-        ordered.withColumn("_place", F.monotonically_increasing_id()), f"ordered_by_{number}", path
+    stored = write_through(df, "unordered", f"{work}/unordered" if work else None)
+    ordered = (
+        stored.withColumn("_copy", F.monotonically_increasing_id())
+        .orderBy(*[F.col(c).asc_nulls_last() for c in order], "_copy")
+        .drop("_copy")
+        .withColumn("_place", F.monotonically_increasing_id())
     )
+    placed = write_through(ordered, "ordered", f"{work}/ordered" if work else None)
     part = F.shiftright("_place", _ROW_BITS).alias("_part")
-    row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    counts = placed.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = placed.groupBy(part).agg(F.count("*").alias("_rows"))
     # One row per partition of the sort: small enough for one task and for broadcast.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col("_part").alias("_offset_part"),
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
-    )
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     return (
         placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), F.col("_part") == F.col("_offset_part"))
-        .withColumn(number, F.col("_offset") + row + 1)
-        .drop("_place", "_part", "_offset_part", "_offset")
+        .join(F.broadcast(offsets), "_part")
+        .selectExpr(
+            *[f"`{c}`" for c in df.columns],
+            f"_offset + (_place & {(1 << _ROW_BITS) - 1}L) + 1 as `{number}`",
+        )
     )
 
 
-def with_break_key(breaks: DataFrame, path: str | None = None) -> DataFrame:
+def with_break_key(breaks: DataFrame, work: str | None = None) -> DataFrame:
     """The fact: finished breaks plus their surrogate key."""
-    return number_rows(breaks, BREAK_ORDER, "break_key", path).select(*FACT_COLUMNS)
+    return number_rows(breaks, BREAK_ORDER, "break_key", work).select(*FACT_COLUMNS)

@@ -18,7 +18,7 @@ from tripartite.operators import (
 from tripartite.operators.detect import HIGH_AFTER_DAYS, SLA_DAYS
 from tripartite.plans import quality, reports
 from tripartite.session import together, tune
-from tripartite.sources.scratch import write_all, write_through
+from tripartite.sources.scratch import write_all
 from tripartite.sources.tables import (
     read_fact,
     read_snapshot,
@@ -79,13 +79,8 @@ def build_fact(
     high_after_days: int = HIGH_AFTER_DAYS,
     work: str | None = None,
 ) -> DataFrame:
-    """The numbered fact. The sort for the numbering reads its input twice (once to
-    choose the ranges), so the breaks are written before they are sorted."""
-    breaks = write_through(
-        build_breaks(lifecycle, as_of, sla_days, high_after_days),
-        "breaks", f"{work}/breaks" if work else None,
-    )
-    return with_break_key(breaks, f"{work}/ordered" if work else None)
+    """The numbered fact."""
+    return with_break_key(build_breaks(lifecycle, as_of, sla_days, high_after_days), work)
 
 
 def run_pipeline(

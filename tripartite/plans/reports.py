@@ -1,8 +1,8 @@
 """Reports over the fact, the staged tables and the truth log.
 
 Every aggregate here has partial results per map task, so a hot merchant or break
-type costs one row per task in the shuffle. Sorts that return break rows end on
-the break's identity, so a range sort can cut through equal leading values.
+type costs one row per task in the shuffle. The one sort of break rows ends on the
+unique break key, so its ranges can cut through equal leading values.
 """
 
 from __future__ import annotations
@@ -89,6 +89,7 @@ def break_drilldown(
         fact.where(
             F.col("break_type").isin(list(break_types)) & F.col("severity").isin(list(severities))
         )
+        .orderBy("severity", F.col("days_open").desc(), "break_key")
         .select(
             "break_type",
             "severity",
@@ -100,14 +101,17 @@ def break_drilldown(
             "amount_at_risk",
             "description",
         )
-        .orderBy("severity", F.col("days_open").desc(), "break_type", "entity_id")
     )
 
 
-def break_report(fact: DataFrame, merchant_id: str, break_types: Sequence[str]) -> DataFrame:
-    """One merchant's breaks of the given types, from the fact built at the as-of date."""
+def break_report(
+    fact: DataFrame, merchant_id: str, as_of: date, break_types: Sequence[str]
+) -> DataFrame:
+    """One merchant's breaks of the given types in the fact built for ``as_of``."""
     return fact.where(
-        (F.col("merchant_id") == merchant_id) & F.col("break_type").isin(list(break_types))
+        (F.col("merchant_id") == merchant_id)
+        & (F.col("as_of_date") == F.lit(as_of))
+        & F.col("break_type").isin(list(break_types))
     )
 
 
