@@ -188,26 +188,27 @@ def test_written_fact_is_pruned_by_column(spark, tmp_path, staged):
     assert scans
 
 
-# Queries that number rows sum the row counts of the sort's partitions in one task.
-LAZY = [
+UNNUMBERED = [
     "stg_merchant_sales", "stg_claims", "int_contract_lifecycle", "int_claim_lifecycle",
     "detect_orphan_contract", "detect_timing_break", "detect_amount_break",
     "detect_orphan_claim", "detect_duplicate_claim", "detect_overpayment",
     "detect_coverage_exceeded", "contract_payouts", "all_breaks", "days_open",
-    "break_drilldown", "merchant_totals", "merchant_breaks", "merchant_scorecard",
+    "merchant_totals", "merchant_breaks", "merchant_scorecard",
     "truth_validation", "dq_unique", "dq_relationships", "dq_singular_coverage",
 ]
 
 
-@pytest.mark.parametrize("name", LAZY)
+@pytest.mark.parametrize("name", UNNUMBERED)
 def test_no_query_gathers_rows_or_leaves_the_jvm(spark, name):
     plan = plan_of(driver.queries()[name](spark, SF_DIR))
     assert "SinglePartition" not in plan
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
-def test_only_partition_counts_meet_in_one_task(spark):
-    plan = plan_of(driver.queries()["fct_recon_breaks"](spark, SF_DIR))
+@pytest.mark.parametrize("name", ["fct_recon_breaks", "break_drilldown", "break_report"])
+def test_only_partition_counts_meet_in_one_task(spark, name):
+    """Numbering adds up the row counts of the sort's partitions in one task."""
+    plan = plan_of(driver.queries()[name](spark, SF_DIR))
     single = plan[plan.index("SinglePartition"):]
     # What goes into the single task is an aggregate already: one row per partition.
     assert re.match(r"SinglePartition[^\n]*\n *\+- (\*\(\d+\) )?HashAggregate", single)

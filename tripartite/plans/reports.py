@@ -19,7 +19,7 @@ from tripartite.schemas import MONEY_REPORT
 
 
 def _rows(name: str) -> Column:
-    return F.count(F.lit(1)).alias(name)
+    return F.count("*").alias(name)
 
 
 def _total(amount: str, name: str) -> Column:
