@@ -15,6 +15,10 @@ from tripartite.schemas import MONEY_TOTAL
 _DAY_TEXT = "^[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9:.]+)?$"
 _SLASHED = "^([0-9]+)/([0-9]+)/([0-9]+)"
 
+# Last day and label of each age bucket.
+AGING_BUCKETS = [(7, "0-7 days"), (30, "8-30 days"), (60, "31-60 days")]
+OLDEST_BUCKET = "60+ days"
+
 
 def day(value: date) -> str:
     return f"date'{value.isoformat()}'"
@@ -66,10 +70,8 @@ def describe(pattern: str, *values: str) -> str:
 
 
 def aging_bucket(days: str) -> str:
-    return (
-        f"case when {days} <= 7 then '0-7 days' when {days} <= 30 then '8-30 days'"
-        f" when {days} <= 60 then '31-60 days' else '60+ days' end"
-    )
+    upto = " ".join(f"when {days} <= {last} then {text(label)}" for last, label in AGING_BUCKETS)
+    return f"case {upto} else {text(OLDEST_BUCKET)} end"
 
 
 def severity_rank(severity: str) -> str:
