@@ -7,6 +7,7 @@ the written tables, as the pipeline does.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -33,6 +34,20 @@ DAY_AFTER = date(2001, 8, 2)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _optional(name: str):
+    """A module that may have been left out; an error inside one that is there is raised."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if missing.name and (name == missing.name or name.startswith(f"{missing.name}.")):
+            return None
+        raise
+
+
+_llm = _optional("tripartite.llm.queries")
+_corpus = _optional("corpus_pipeline") if _llm else None
+
+
 FOR_CONTRACTS = ["contracts", "merchant_sales"]
 FOR_CLAIMS = ["claims", "servicer_reimbursements", "contracts"]
 FOR_BREAKS = ["contracts", "merchant_sales", "claims", "servicer_reimbursements"]
@@ -338,8 +353,14 @@ def queries() -> dict[str, Query]:
         "dq_singular_coverage": _dq_singular_coverage,
         "dq_results": _dq_results,
         "dq_summary": lambda s, d: plans.dq_summary(_dq_results(s, d)),
+        # text corpora
+        **(_llm.QUERIES if _llm else {}),
+        **({"pipeline": _corpus.run} if _corpus else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    expected = oracles.oracle_sql() | (_llm.ORACLES if _llm else {})
+    if _corpus and _corpus.ORACLE_SQL:
+        expected["pipeline"] = _corpus.ORACLE_SQL
+    return expected
