@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from tripartite.llm import exact_dedup
+from tripartite.llm import decontaminate, exact_dedup, html_text
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op7_decontamination": decontaminate.op7_decontamination,
+    "op9_html_extraction": html_text.op9_html_extraction,
 }
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op7_decontamination": decontaminate.ORACLE,
 }
