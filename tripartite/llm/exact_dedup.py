@@ -1,10 +1,12 @@
 """Exact dedup by content sort, on DataFrame functions only.
 
-Spark samples splitters, range-partitions the rows on their whole text and sorts each
-range externally. Equal texts are then neighbours, and a window over the sorted
+Spark samples splitters, range-partitions the rows on the bytes of their texts and sorts
+each range externally. Equal texts are then neighbours, and a window over the sorted
 range, which compares each text with the one before it in full, finds the row that
-stays. The window needs no further exchange: ranges of (text, part) already hold each
-(text, part) whole.
+stays. The window needs no further exchange: equal texts of one part share a range.
+
+Splitters go to the driver, so they are kept small: the first ``LEAD`` bytes of a text
+and a hash of all of it, which tells texts with the same beginning apart.
 
 Hot groups are split. A text with more than one row in ``HOT_SHARE`` is dealt out into
 parts by its row ids, so its copies form several runs that other splitters may separate.
@@ -23,6 +25,7 @@ from tripartite.sources.scratch import write_through
 
 HOT_SHARE = 512
 PARTS = 64
+LEAD = 32  # bytes of text in a splitter; comparisons read the whole text
 
 
 def hot_texts(texts: DataFrame) -> DataFrame:
@@ -53,9 +56,10 @@ def mark_copies(
         .join(hot, "hash", "left")
         .withColumn("part", F.when(F.col("hot"), F.pmod(F.xxhash64("key"), F.lit(PARTS))).otherwise(F.lit(0)))
     )
-    run = Window.partitionBy("text", "part")
+    dealt = dealt.withColumn("lead", F.substring(F.encode("text", "UTF-8"), 1, LEAD))
+    run = Window.partitionBy("lead", "hash", "part", "text")
     in_order = run.orderBy(F.col("key").desc_nulls_last())
-    runs = dealt.repartitionByRange("text", "part").select(
+    runs = dealt.repartitionByRange("lead", "hash", "part").select(
         *(["row"] if carry else []),
         "key",
         "hot",
