@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tripartite.llm import decontaminate, exact_dedup, html_text, token_counts
+from tripartite.llm import decontaminate, exact_dedup, html_text, packing, token_counts
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_token_counts": token_counts.op2_token_counts,
     "op7_decontamination": decontaminate.op7_decontamination,
+    "op8_packing": packing.op8_packing,
     "op9_html_extraction": html_text.op9_html_extraction,
 }
 

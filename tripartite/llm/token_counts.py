@@ -14,13 +14,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripartite.llm.bpe import byte_bpe
-from tripartite.llm.common import append, map_batches, read, text_column, text_of
+from tripartite.llm.bpe import encoder
+from tripartite.llm.bytewords import buffers, words
+from tripartite.llm.common import append, map_batches, read, text_of
 from tripartite.sources.scratch import scratch_path, write_through
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -28,16 +30,17 @@ TOTALS = ["documents", "tokens"]
 
 MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
-Counter = Callable[[], Callable[[str], int]]
+Counter = Callable[[pa.Array], np.ndarray]
 
 
-def _bpe() -> Callable[[str], int]:
-    encode = byte_bpe().encode_ordinary
-    return lambda text: len(encode(text))
+def _bpe(texts: pa.Array) -> np.ndarray:
+    return np.diff(encoder()(texts)[1])
 
 
-def _space_words() -> Callable[[str], int]:
-    return lambda text: len(text.encode().split())
+def _space_words(texts: pa.Array) -> np.ndarray:
+    data, offsets = buffers(texts)
+    starts, _ = words(data, offsets)
+    return np.diff(np.searchsorted(starts, offsets, "left"))
 
 
 TOKENIZERS: dict[str, Counter] = {"byte_bpe_50k": _bpe, "space_words": _space_words}
@@ -54,11 +57,11 @@ def counted(docs: DataFrame, tokenizers: dict[str, Counter] | None = None) -> Da
     schema = picked.select(*kept, F.array().cast("array<bigint>").alias("n")).schema
 
     def each():
-        counters = [prepare() for prepare in versions.values()]
-
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = text_column(batch)
-            return append(batch, kept, n=pa.array([[c(t) for c in counters] for t in texts], pa.list_(pa.int64())))
+            texts = batch.column(batch.schema.get_field_index("text"))
+            n = np.stack([count(texts) for count in versions.values()], axis=1).astype(np.int64)
+            ends = np.arange(len(texts) + 1) * n.shape[1]
+            return append(batch, kept, n=pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(n.ravel())))
 
         return work
 
