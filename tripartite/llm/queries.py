@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tripartite.llm import decontaminate, exact_dedup, html_text, packing, token_counts
+from tripartite.llm import decontaminate, exact_dedup, html_text, language_id, packing, token_counts
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_token_counts": token_counts.op2_token_counts,
+    "op5_language_id": language_id.op5_language_id,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_packing": packing.op8_packing,
     "op9_html_extraction": html_text.op9_html_extraction,
