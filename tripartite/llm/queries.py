@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tripartite.llm import decontaminate, exact_dedup, html_text, language_id, packing, token_counts
+from tripartite.llm import decontaminate, exact_dedup, html_text, language_id, packing, token_counts, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_token_counts": token_counts.op2_token_counts,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op5_language_id": language_id.op5_language_id,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_packing": packing.op8_packing,
