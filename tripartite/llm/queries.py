@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from tripartite.llm import decontaminate, exact_dedup, html_text, language_id, packing, token_counts, toxicity
+from tripartite.llm import (
+    decontaminate,
+    exact_dedup,
+    html_text,
+    jaccard_join,
+    language_id,
+    packing,
+    token_counts,
+    toxicity,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -12,9 +21,11 @@ QUERIES = {
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_packing": packing.op8_packing,
     "op9_html_extraction": html_text.op9_html_extraction,
+    "op10_jaccard_join": jaccard_join.op10_jaccard_join,
 }
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op7_decontamination": decontaminate.ORACLE,
+    "op10_jaccard_join": jaccard_join.ORACLE,
 }
