@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripartite.llm.common import batches, read, text_of, unpacked
+from tripartite.llm.bitmaps import bitmap, has, slot
+from tripartite.llm.common import batches, read, text_of
 from tripartite.llm.components import components
 from tripartite.llm.shingles import common, fingerprint, least_difference, parity, shingle_sets
 from tripartite.sources.scratch import write_through
@@ -37,7 +38,6 @@ MOST_MATCHES = 4
 FREQUENT = 200_000  # shingles whose frequency is known to the order
 FREQUENT_IN_BATCH = 3
 PAIR_COST = 20  # of looking at one candidate, in prefix entries
-BITS = 24  # 2**24 bits in each broadcast bitmap, 2 MB
 
 
 def least_common(n: np.ndarray | int) -> np.ndarray | int:
@@ -165,30 +165,6 @@ def _nodes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFram
     return write_through(once.withColumn("id", F.monotonically_increasing_id()), "sets")
 
 
-# ---- bitmaps that save shuffles --------------------------------------------------------------
-
-
-def _slot(column: str) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(1 << BITS))
-
-
-def _bitmap(values: DataFrame, column: str) -> np.ndarray:
-    """A bit for the hash of each value, collected as at most 2**(BITS - 6) numbers."""
-    parts = (
-        values.select(_slot(column).alias("slot"))
-        .groupBy(F.expr("slot div 64").alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, int(slot % 64))")).alias("bits"))
-        .toArrow()
-    )
-    out = np.zeros(1 << (BITS - 6), np.int64)
-    out[parts["word"].to_numpy()] = parts["bits"].to_numpy()
-    return out.view(np.uint64)
-
-
-def _has(bitmap: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    return (bitmap[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-
 # ---- candidates ---------------------------------------------------------------------------------
 
 
@@ -216,16 +192,16 @@ def _shared_entries(nodes: DataFrame) -> DataFrame:
     """Prefix entries that more than one node has, give or take a few by the bitmap."""
     entries = _exploded(nodes)
     often = entries.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = nodes.sparkSession.sparkContext.broadcast(_bitmap(often, "token"))
+    shared = nodes.sparkSession.sparkContext.broadcast(bitmap(often, "token"))
 
     def run(parts):
         for batch in parts:
-            slot = batch.column(batch.num_columns - 1).to_numpy()
-            kept = batch.filter(pa.array(_has(shared.value, slot)))
+            slots = batch.column(batch.num_columns - 1).to_numpy()
+            kept = batch.filter(pa.array(has(shared.value, slots)))
             yield kept.select(batch.schema.names[:-1])
 
     schema = ", ".join(f"{c} {t}" for c, t in entries.dtypes)
-    return write_through(entries.withColumn("slot", _slot("token")).mapInArrow(run, schema), "entries")
+    return write_through(entries.withColumn("slot", slot("token")).mapInArrow(run, schema), "entries")
 
 
 def _hub_pairs(entries: DataFrame) -> DataFrame:
@@ -289,16 +265,16 @@ def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     other texts out of the shuffle."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     needed = write_through(nodes.join(ids, "id", "left_semi").select("id", "fp", "key"), "needed")
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(needed, "key"))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(needed, "key"))
 
     def run(parts):
         for batch in parts:
-            kept = batch.filter(pa.array(_has(shared.value, batch.column(1).to_numpy())))
+            kept = batch.filter(pa.array(has(shared.value, batch.column(1).to_numpy())))
             if kept.num_rows:
                 fps = [fingerprint(s) if len(s) else None for s in shingle_sets(kept.column(0))]
                 yield pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), kept.column(0)], names=["fp", "text"])
 
-    found = docs.select("text", _slot("key").alias("slot")).mapInArrow(run, "fp binary, text string")
+    found = docs.select("text", slot("key").alias("slot")).mapInArrow(run, "fp binary, text string")
     joined = found.where("fp is not null").join(needed.select("id", "fp"), "fp")
     return write_through(joined.groupBy("id").agg(F.first("text").alias("text")), "texts")
 

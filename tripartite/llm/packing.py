@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tripartite.llm.bitmaps import bitmap, has, slot
 from tripartite.llm.bpe import encoder
 from tripartite.llm.bytewords import gather
 from tripartite.llm.common import batches, read, text_of
@@ -297,9 +298,9 @@ def _packed(pieces: DataFrame, window: int) -> DataFrame:
         "offset",
     ]
     whole = placed.where("size = length").select(*final, "ids_crc32")
-    # Only pieces that were cut need their ids again.
+    # Only pieces that were cut need their ids again; a bitmap keeps the others where they are.
     part = placed.where("size < length").drop("ids_crc32")
-    ids = pieces.select("length", "part", "number", "ids")
+    ids = _of_cut(pieces.select("length", "part", "number", "ids"), part)
     part = ids.join(part, ["length", "part", "number"]).withColumn(
         "ids", F.expr("substring(ids, int(2 * skip + 1), int(2 * size))")
     )
@@ -307,6 +308,19 @@ def _packed(pieces: DataFrame, window: int) -> DataFrame:
     return whole.unionByName(part)
 
 
+def _of_cut(ids: DataFrame, cut_up: DataFrame) -> DataFrame:
+    keys = ["length", "part", "number"]
+    shared = ids.sparkSession.sparkContext.broadcast(bitmap(cut_up, *keys))
+
+    def run(parts):
+        for batch in parts:
+            yield batch.select(batch.schema.names[:-1]).filter(
+                pa.array(has(shared.value, batch.column(batch.num_columns - 1).to_numpy()))
+            )
+
+    return ids.withColumn("slot", slot(*keys)).mapInArrow(run, ids.schema)
+
+
 def _crc_of_ids():
     """crc32 of 16-bit ids widened to 32 bits: two zero bytes behind every two bytes."""
     return F.crc32(F.unhex(F.regexp_replace(F.hex("ids"), "(.{4})", "$10000")))
