@@ -8,6 +8,7 @@ from tripartite.llm import (
     html_text,
     jaccard_join,
     language_id,
+    lm_scoring,
     packing,
     token_counts,
     toxicity,
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_token_counts": token_counts.op2_token_counts,
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_language_id": language_id.op5_language_id,
+    "op6_lm_scoring": lm_scoring.op6_lm_scoring,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op8_packing": packing.op8_packing,
     "op9_html_extraction": html_text.op9_html_extraction,
