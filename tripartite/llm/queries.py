@@ -10,6 +10,7 @@ from tripartite.llm import (
     language_id,
     lm_scoring,
     packing,
+    quality,
     token_counts,
     toxicity,
 )
@@ -18,6 +19,7 @@ QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_token_counts": token_counts.op2_token_counts,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_language_id": language_id.op5_language_id,
     "op6_lm_scoring": lm_scoring.op6_lm_scoring,
     "op7_decontamination": decontaminate.op7_decontamination,
