@@ -20,15 +20,14 @@ nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tripartite.llm.bitmaps import bitmap, has, slot
-from tripartite.llm.common import batches, read, text_of
+from tripartite.llm.common import batches, packed, read, text_of, unpacked
 from tripartite.llm.components import components
 from tripartite.llm.shingles import common, fingerprint, least_difference, parity, shingle_sets
 from tripartite.sources.scratch import write_through
@@ -168,7 +167,7 @@ def _nodes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFram
 # ---- candidates ---------------------------------------------------------------------------------
 
 
-def _exploded(nodes: DataFrame, keep: Callable | None = None) -> DataFrame:
+def _exploded(nodes: DataFrame) -> DataFrame:
     """(token, id, n, matches, pos) for every prefix entry."""
 
     def run(parts):
@@ -322,10 +321,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     first = _links(source, nodes, write_through(_hub_pairs(entries), "hub_pairs"))
     found = write_through(components(first), "first_components")
     pairs = write_through(_remaining_pairs(entries, found), "remaining_pairs")
-    links = first
     if not pairs.isEmpty():
-        links = first.unionByName(_links(source, nodes, pairs))
-        found = components(links)
+        found = components(first.unionByName(_links(source, nodes, pairs)))
     named = found.join(nodes.select("id", "key"), "id")
     smallest = named.groupBy("component").agg(F.min("key").alias("component_id"))
     linked = found.join(smallest, "component").select("id", "component_id")
@@ -337,6 +334,55 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     )
 
 
+def drop_linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each class, the one with the smallest key, with all its columns.
+
+    Of several rows with that key the first by shingle set and text stays. Rows without
+    shingles link with nothing and stay, and so do the rows of a class without any key.
+
+    Most rows are told apart from those that go by a bitmap of keys and never shuffled.
+    """
+    marked = write_through(classes(docs, key, text).where("fp is not null and component_id is not null"), "classes")
+    stays = marked.where("key = component_id").groupBy("component_id").agg(
+        F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")
+    )
+    stays = write_through(stays, "stays")
+    goes = marked.select("key", "fp", "component_id").distinct().join(
+        stays.select("component_id", F.col("fp").alias("first")), "component_id"
+    )
+    goes = goes.where(~(F.col("key").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("first"))))
+    goes = write_through(goes.select("key", "fp"), "goes")
+    several = stays.where("n > 1").select(F.col("component_id").alias("key"))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(goes.select("key").unionByName(several), "key"))
+    source = packed(docs, F.col(f"`{key}`").alias("key"), text_of(text).alias("text")).withColumn("slot", slot("key"))
+    row = source.schema["row"]
+
+    def clear(parts):
+        for batch in parts:
+            kept = batch.filter(pa.array(~has(shared.value, batch.column(1).to_numpy())))
+            yield kept.select(["row"])
+
+    def unclear(parts):
+        for batch in parts:
+            kept = batch.filter(pa.array(has(shared.value, batch.column(3).to_numpy())))
+            fps = [fingerprint(s) if len(s) else None for s in shingle_sets(kept.column(2))]
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns[:3], pa.array(fps, pa.binary())], names=["row", "key", "text", "fp"]
+            )
+
+    batches(docs.sparkSession)
+    sure = source.select("row", "slot").mapInArrow(clear, StructType([row]))
+    fields = [row, source.schema["key"], source.schema["text"], StructField("fp", BinaryType())]
+    asked = source.select("row", "key", "text", "slot").mapInArrow(unclear, StructType(fields))
+    gone = goes.select(F.col("key").alias("gone_key"), F.col("fp").alias("gone_fp"))
+    asked = asked.join(
+        gone, F.col("key").eqNullSafe(F.col("gone_key")) & (F.col("fp") == F.col("gone_fp")), "left_anti"
+    )
+    place = F.row_number().over(Window.partitionBy("key", "fp").orderBy("text"))
+    asked = asked.withColumn("place", place).where("place = 1 or fp is null or key is null").select("row")
+    return unpacked(sure.unionByName(asked), docs)
+
+
 def op10_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     docs = read(spark, root, "documents").select("doc_id", "text")
     return classes(docs).select(F.col("key").alias("doc_id"), "n_shingles", "component_id")
