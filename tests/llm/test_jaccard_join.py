@@ -1,0 +1,108 @@
+import random
+
+import numpy as np
+import pytest
+from cases import awkward, empty
+
+from tripartite.llm import components as cc
+from tripartite.llm import jaccard_join as jj
+from test_bytes import brute_set
+
+
+def brute(rows):
+    """Components by comparing all pairs of sets."""
+    sets = [brute_set(t or "") for _, t in rows]
+    group = list(range(len(rows)))
+
+    def find(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            x, y = sets[a], sets[b]
+            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+                group[find(a)] = find(b)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            root = find(k)
+            least[root] = min(i, least.get(root, i))
+    return sorted(((i, len(sets[k]), least.get(find(k))) for k, (i, _) in enumerate(rows)), key=repr)
+
+
+def family(rng, n, words, edits):
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        own = list(base)
+        for _ in range(rng.randint(0, edits)):
+            own[rng.randrange(words)] = f"e{rng.randint(0, 10**6)}"
+        out.append(" ".join(own))
+    return out
+
+
+def got(docs):
+    return sorted(
+        ((r.key, r.n_shingles, r.component_id) for r in jj.classes(docs).collect()), key=repr
+    )
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_families_against_all_pairs(spark, seed):
+    rng = random.Random(seed)
+    texts = family(rng, 60, 150, 8) + family(rng, 30, 30, 2) + family(rng, 20, 6, 1)
+    passage = " ".join(f"p{k}" for k in range(40))
+    texts += [f"{passage} " + " ".join(f"q{rng.randint(0, 10**6)}" for _ in range(rng.randint(0, 20))) for _ in range(40)]
+    rng.shuffle(texts)
+    rows = [(i * 3, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert got(df) == brute(rows)
+
+
+def test_prefixes_share_enough_of_every_linked_pair():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        both = np.unique(rng.integers(0, 1 << 60, rng.integers(5, 120)).astype(np.uint64))
+        drop = rng.integers(0, max(1, len(both) // 12) + 1)
+        x, y = both[drop:], both[: len(both) - drop // 2]
+        common = len(np.intersect1d(x, y))
+        if 100 * common < 85 * (len(x) + len(y) - common):
+            continue
+        known = np.sort(rng.choice(both, len(both) // 3, replace=False))
+        counts = rng.integers(3, 50, len(known))
+        px, lx = jj.prefix(x, known, counts)
+        py, ly = jj.prefix(y, known, counts)
+        asked = min(lx, ly)
+        px, py = px[: len(x) - jj.least_common(len(x)) + asked], py[: len(y) - jj.least_common(len(y)) + asked]
+        assert len(np.intersect1d(px, py)) >= asked
+
+
+def test_awkward_rows(spark):
+    df = awkward(spark)
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    assert got(df) == brute(rows)
+    kept = jj.drop_linked(df)
+    assert kept.columns == df.columns
+    ids = sorted((r.doc_id for r in kept.collect()), key=repr)
+    # Of 1, 1 and 2, which share a text, one stays; null ids without a class with a key stay.
+    assert ids == sorted([1, 3, 4, 5, 6, None, None, 7, 8, 9, 10, 11], key=repr)
+
+
+def test_empty_table(spark):
+    assert got(empty(spark)) == []
+    assert jj.drop_linked(empty(spark)).collect() == []
+
+
+def test_components(spark):
+    rng = random.Random(7)
+    edges = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 160)]
+    edges += [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)] + [(300, 300)]
+    found = {r.id: r.component for r in cc.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    group = {k: k for e in edges for k in e}
+    for _ in range(70):
+        for a, b in edges:
+            group[a] = group[b] = min(group[a], group[b])
+    assert found == {k: g for k, g in group.items() if k != 300}
+    assert cc.components(spark.createDataFrame([], "a long, b long")).collect() == []
