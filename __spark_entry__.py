@@ -185,6 +185,34 @@ def _delete_insert(spark: SparkSession, root: str) -> DataFrame:
     return sources.delete_insert(first, new, ["snapshot_date", "break_key"])
 
 
+def _snapshot_correct(spark: SparkSession, root: str) -> DataFrame:
+    """The same on the stored history: day one is rewritten, day two is new."""
+    path = scratch_path(spark, "fct_daily_break_snapshot")
+    lifecycle = _written(spark, root)
+    earlier, fact = (plans.build_fact(lifecycle, day) for day in (DAY_BEFORE, AS_OF))
+    sources.snapshot_breaks(earlier, path, DAY_BEFORE)
+    first = sources.read_snapshot(spark, path)
+    corrected = first.where(F.col("severity") == "high").withColumn(
+        "description", F.lit("rechecked")
+    )
+    new = corrected.unionByName(sources.snapshot_rows(fact, AS_OF))
+    sources.correct_snapshot(spark, path, new, ["snapshot_date", "break_key"])
+    return sources.read_snapshot(spark, path)
+
+
+def _pipeline_summary(spark: SparkSession, root: str) -> DataFrame:
+    """The whole run, its tables counted. The fixture breaks the invariant, so no gate."""
+    run = plans.run_pipeline(
+        _raw(spark, root, *RAW_SCHEMAS), scratch_path(spark, "run"), AS_OF, AS_OF, gate=False
+    )
+    return plans.pipeline_summary(run)
+
+
+def _placed(report: DataFrame) -> DataFrame:
+    """A report of a few rows with the place of each."""
+    return report.coalesce(1).withColumn("position", F.monotonically_increasing_id() + 1)
+
+
 # ---- detectors ----------------------------------------------------------------------
 
 
@@ -194,9 +222,14 @@ def _detect_orphan_claim(spark: SparkSession, root: str) -> DataFrame:
     return op.detect_orphan_claim(filed)
 
 
+def _paid_claims(spark: SparkSession, root: str) -> DataFrame:
+    staged = _staged(spark, root, "claims", "servicer_reimbursements")
+    return op.paid_claims(staged["stg_claims"], staged["stg_servicer_reimbursements"])
+
+
 def _detect_coverage_exceeded(spark: SparkSession, root: str) -> DataFrame:
-    both = plans.lifecycles(_staged(spark, root, *FOR_BREAKS))
-    return op.detect_coverage_exceeded(both["int_contract_lifecycle"], both["int_claim_lifecycle"])
+    terms = op.contract_terms(_stage("contracts")(spark, root))
+    return op.detect_coverage_exceeded(terms, _paid_claims(spark, root))
 
 
 def _all_breaks(spark: SparkSession, root: str) -> DataFrame:
@@ -280,6 +313,8 @@ def queries() -> dict[str, Query]:
         "daily_snapshot_full": _snapshot_full,
         "snapshot_schema_evolution": _snapshot_evolution,
         "snapshot_delete_insert": _delete_insert,
+        "snapshot_correct": _snapshot_correct,
+        "pipeline_summary": _pipeline_summary,
         # staging and lifecycles
         "stg_merchant_sales": _stage("merchant_sales"),
         "stg_contracts": _stage("contracts"),
@@ -296,12 +331,10 @@ def queries() -> dict[str, Query]:
         ),
         "detect_amount_break": lambda s, d: op.detect_amount_break(_contract_lifecycle(s, d)),
         "detect_orphan_claim": _detect_orphan_claim,
-        "detect_duplicate_claim": lambda s, d: op.detect_duplicate_claim(
-            _claim_lifecycle(s, d)
-        ),
-        "detect_overpayment": lambda s, d: op.detect_overpayment(_claim_lifecycle(s, d)),
+        "detect_duplicate_claim": lambda s, d: op.detect_duplicate_claim(_paid_claims(s, d)),
+        "detect_overpayment": lambda s, d: op.detect_overpayment(_paid_claims(s, d)),
         "detect_coverage_exceeded": _detect_coverage_exceeded,
-        "contract_payouts": lambda s, d: op.contract_payouts(_claim_lifecycle(s, d)),
+        "contract_payouts": lambda s, d: op.contract_payouts(_paid_claims(s, d)),
         "all_breaks": _all_breaks,
         "break_key": lambda s, d: _fact(s, d).select(
             "break_key", "opened_at", "entity_id", "break_type"
@@ -316,6 +349,11 @@ def queries() -> dict[str, Query]:
         # reports
         "break_aging": lambda s, d: plans.break_aging(_breaks(s, d)),
         "aging_report": lambda s, d: plans.aging_report(plans.break_aging(_breaks(s, d))),
+        "break_aging_order": lambda s, d: _placed(plans.break_aging(_breaks(s, d))),
+        "aging_report_order": lambda s, d: _placed(
+            plans.aging_report(plans.break_aging(_breaks(s, d)))
+        ),
+        "merchant_scorecard_order": lambda s, d: _placed(_merchant_scorecard(s, d)),
         "kpi_summary": lambda s, d: plans.kpi_summary(_breaks(s, d)),
         "break_type_summary": lambda s, d: plans.break_type_summary(_breaks(s, d)),
         "break_filter_values": lambda s, d: plans.break_filter_values(_breaks(s, d)),

@@ -7,6 +7,8 @@ parts. Repeated keys multiply rows here and there alike.
 
 from __future__ import annotations
 
+from tripartite.functions.expressions import AGING_BUCKETS, OLDEST_BUCKET
+
 # ---- the six feeds, typed ---------------------------------------------------------
 
 _FEEDS = """
@@ -17,10 +19,10 @@ ordered AS (
          CAST(round(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.10 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS p10,
          CAST(round(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.09 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS p09
   FROM orders JOIN customer ON c_custkey = o_custkey),
-returned AS (
+lines AS (
   SELECT *, CAST(l_shipdate AS DATE) AS shipped,
          CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS cid
-  FROM lineitem WHERE l_returnflag = 'R'),
+  FROM lineitem),
 merchants AS (
   SELECT 'M' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS merchant_id, n_name AS merchant_name,
          'region-' || CAST(n_regionkey AS VARCHAR) AS category
@@ -28,14 +30,14 @@ merchants AS (
 servicers AS (
   SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS servicer_id, s_name AS servicer_name FROM supplier),
 contracts AS (
-  SELECT CAST(k AS VARCHAR) AS contract_id, CAST(k AS VARCHAR) AS sale_id, merchant_id, day AS issued_date,
+  SELECT CAST(k AS VARCHAR) AS contract_id, 'T' || CAST(k AS VARCHAR) AS sale_id, merchant_id, day AS issued_date,
          p10 AS premium, tp AS coverage_limit, CAST(12 * (1 + k % 3) AS INTEGER) AS term_months,
          'active' AS status
   FROM ordered),
 sales AS (
-  SELECT CAST(k AS VARCHAR) AS sale_id, merchant_id, day AS sale_date, tp AS product_price,
+  SELECT 'T' || CAST(k AS VARCHAR) AS sale_id, merchant_id, day AS sale_date, tp AS product_price,
          p10 AS premium_charged,
-         CASE WHEN k % 53 = 0 THEN CAST(0 AS DECIMAL(12,2)) WHEN k % 37 = 0 THEN p09 ELSE p10 END
+         CASE WHEN k % 106 = 0 THEN NULL WHEN k % 53 = 0 THEN CAST(0 AS DECIMAL(12,2)) WHEN k % 37 = 0 THEN p09 ELSE p10 END
            AS remittance_amount,
          CASE WHEN k % 53 <> 0 THEN CAST(day + 5 AS VARCHAR) END AS remittance_date_raw,
          CASE WHEN k % 53 <> 0 THEN CAST(day + 5 AS DATE) END AS remittance_date,
@@ -45,24 +47,25 @@ claims AS (
   SELECT cid AS claim_id,
          CASE WHEN l_orderkey % 71 = 0 THEN 'X' ELSE '' END || CAST(l_orderkey AS VARCHAR) AS contract_id,
          'S' || CAST(min(l_suppkey) AS VARCHAR) AS servicer_id, min(shipped) AS claim_date,
-         CAST(min(l_extendedprice) AS DECIMAL(12,2)) AS claim_amount, 'approved' AS status
-  FROM returned GROUP BY cid, l_orderkey, l_linenumber),
+         CAST(min(l_extendedprice) AS DECIMAL(12,2)) AS claim_amount,
+         CASE min(l_returnflag) WHEN 'A' THEN 'approved' WHEN 'N' THEN 'pending' WHEN 'R' THEN 'reopened' END AS status
+  FROM lines GROUP BY cid, l_orderkey, l_linenumber),
 payments AS (
   SELECT cid || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) || '-'
            || CAST(shipped AS VARCHAR) AS reimbursement_id,
          cid AS claim_id, 'S' || CAST(l_suppkey AS VARCHAR) AS servicer_id,
          CAST(shipped + 14 AS DATE) AS paid_date, CAST(l_extendedprice AS DECIMAL(12,2)) AS paid_amount
-  FROM returned WHERE l_orderkey % 43 <> 0),
+  FROM lines WHERE l_orderkey % 43 <> 0),
 planted AS (
   SELECT 'orphan_contract' AS break_type, CAST(NULL AS VARCHAR) AS sale_id, CAST(k AS VARCHAR) AS contract_id,
          CAST(NULL AS VARCHAR) AS claim_id FROM ordered WHERE k % 61 = 0
   UNION ALL
-  SELECT 'timing_break', CAST(k AS VARCHAR), NULL, NULL FROM ordered WHERE k % 53 = 0 AND k % 61 <> 0
+  SELECT 'timing_break', 'T' || CAST(k AS VARCHAR), NULL, NULL FROM ordered WHERE k % 53 = 0 AND k % 61 <> 0
   UNION ALL
-  SELECT 'amount_break', CAST(k AS VARCHAR), NULL, NULL FROM ordered
+  SELECT 'amount_break', 'T' || CAST(k AS VARCHAR), NULL, NULL FROM ordered
   WHERE k % 37 = 0 AND k % 53 <> 0 AND k % 61 <> 0
   UNION ALL
-  SELECT 'orphan_claim', NULL, NULL, cid FROM (SELECT DISTINCT cid FROM returned WHERE l_orderkey % 71 = 0))
+  SELECT 'orphan_claim', NULL, NULL, cid FROM (SELECT DISTINCT cid FROM lines WHERE l_orderkey % 71 = 0))
 """
 
 # ---- lifecycles --------------------------------------------------------------------
@@ -110,16 +113,20 @@ _HIGH, _MEDIUM = "'high'", "'medium'"
 _ON_CONTRACT = ("contract", "contract_id", "contract_merchant_id", "NULL", "issued_date")
 _ON_CLAIM = ("claim", "claim_id", "NULL", "claim_servicer_id", "claim_date")
 
+# The wording of the descriptions.
+_NO_SALE = "Contract issued but no matching merchant sale exists."
+_NO_CONTRACT = "Claim references contract_id that does not exist in the contracts table."
+
+_OF_SALE = ("contract", "contract_id", "merchant_id", "NULL", "issued_date")
 _ORPHAN_CONTRACT = _detector(
-    "orphan_contract", _HIGH, *_ON_CONTRACT, "contract_premium",
-    "'Contract issued but no matching merchant sale exists.'",
-    "FROM lc WHERE matched_sale_id IS NULL",
+    "orphan_contract", _HIGH, *_OF_SALE, "premium", f"'{_NO_SALE}'",
+    "FROM contracts k WHERE NOT EXISTS (SELECT 1 FROM sales WHERE sales.sale_id = k.sale_id)",
 )
 _TIMING_BREAK = _detector(
-    "timing_break", f"CASE WHEN {_AGE} > 30 THEN 'high' ELSE 'medium' END", *_ON_CONTRACT,
-    "contract_premium",
+    "timing_break", f"CASE WHEN {_AGE} > 30 THEN 'high' ELSE 'medium' END", *_OF_SALE, "premium",
     "'Merchant has not remitted premium within 14 days of contract issuance.'",
-    f"FROM lc WHERE matched_sale_id IS NOT NULL AND sale_remittance_date IS NULL AND {_AGE} > 14",
+    f"FROM contracts k WHERE {_AGE} > 14"
+    " AND k.sale_id IN (SELECT sale_id FROM sales WHERE remittance_date IS NULL)",
 )
 _AMOUNT_BREAK = _detector(
     "amount_break", _MEDIUM, *_ON_CONTRACT, "abs(coalesce(sale_remittance_amount, 0) - contract_premium)",
@@ -129,9 +136,9 @@ _AMOUNT_BREAK = _detector(
     " AND abs(coalesce(sale_remittance_amount, 0) - contract_premium) > 0.01",
 )
 _ORPHAN_CLAIM = "SELECT DISTINCT * FROM (" + _detector(
-    "orphan_claim", _HIGH, *_ON_CLAIM, "claim_amount",
-    "'Claim references contract_id that does not exist in the contracts table.'",
-    "FROM lk WHERE matched_contract_id IS NULL",
+    "orphan_claim", _HIGH, "claim", "claim_id", "NULL", "servicer_id", "claim_date", "claim_amount",
+    f"'{_NO_CONTRACT}'",
+    "FROM claims f WHERE NOT EXISTS (SELECT 1 FROM contracts k WHERE k.contract_id = f.contract_id)",
 ) + ")"
 _DUPLICATE_CLAIM = _detector(
     "duplicate_claim", _HIGH, *_ON_CLAIM, "total - claim_amount",
@@ -193,12 +200,13 @@ SELECT DATE '{snapshot_date}' AS snapshot_date, break_key, break_type, severity,
 FROM {fact}"""
 
 
-_AGING = """
+_BUCKET = "CASE " + " ".join(f"WHEN days_open <= {last} THEN '{label}'" for last, label in AGING_BUCKETS)
+
+_AGING = f"""
 SELECT break_type, severity, aging_bucket, count(*) AS break_count,
        CAST(sum(amount_at_risk) AS DECIMAL(34,2)) AS total_amount_at_risk,
        round(avg(days_open), 1) AS avg_days_open, max(days_open) AS max_days_open
-FROM (SELECT *, CASE WHEN days_open > 60 THEN '60+ days' WHEN days_open > 30 THEN '31-60 days'
-                     WHEN days_open > 7 THEN '8-30 days' ELSE '0-7 days' END AS aging_bucket FROM fact)
+FROM (SELECT *, {_BUCKET} ELSE '{OLDEST_BUCKET}' END AS aging_bucket FROM fact)
 GROUP BY break_type, severity, aging_bucket"""
 
 _MERCHANT_TOTALS = """
@@ -241,38 +249,72 @@ WHERE f.claim_id = p.claim_id AND k.contract_id = f.contract_id AND p.paid_amoun
 # ---- declared checks ---------------------------------------------------------------------
 
 
+# Written out here, so that a check that goes missing in the library is missed.
+_VIEWS = {
+    "merchant_sales": "sales",
+    "servicer_reimbursements": "payments",
+    "stg_merchant_sales": "sales",
+    "stg_contracts": "contracts",
+    "stg_claims": "claims",
+    "stg_servicer_reimbursements": "payments",
+    "fct_recon_breaks": "fact",
+    "fct_daily_break_snapshot": f"({_day(AS_OF)})",
+}
+_FILLED = {
+    "merchants": "merchant_id",
+    "servicers": "servicer_id",
+    "merchant_sales": "sale_id merchant_id",
+    "contracts": "contract_id",
+    "claims": "claim_id",
+    "servicer_reimbursements": "reimbursement_id",
+    "stg_merchant_sales": "sale_id merchant_id product_price premium_charged",
+    "stg_contracts": "contract_id sale_id premium coverage_limit",
+    "stg_claims": "claim_id contract_id claim_amount",
+    "stg_servicer_reimbursements": "reimbursement_id claim_id paid_amount",
+    "fct_recon_breaks": "break_key break_type severity entity_type entity_id amount_at_risk days_open",
+    "fct_daily_break_snapshot": "snapshot_date break_key break_type",
+}
+_KEYS = {
+    "merchants": "merchant_id",
+    "servicers": "servicer_id",
+    "merchant_sales": "sale_id",
+    "contracts": "contract_id",
+    "claims": "claim_id",
+    "servicer_reimbursements": "reimbursement_id",
+    "stg_merchant_sales": "sale_id",
+    "stg_contracts": "contract_id",
+    "stg_claims": "claim_id",
+    "stg_servicer_reimbursements": "reimbursement_id",
+    "fct_recon_breaks": "break_key",
+}
+_TYPES = (
+    "orphan_contract timing_break amount_break orphan_claim duplicate_claim overpayment coverage_exceeded"
+)
+_LISTED = [
+    ("fct_recon_breaks", "break_type", _TYPES),
+    ("fct_recon_breaks", "severity", "high medium low"),
+    ("fct_recon_breaks", "entity_type", "contract claim reimbursement"),
+    ("fct_daily_break_snapshot", "break_type", _TYPES),
+]
+
+
 def _checks() -> str:
     """All 48 declared checks as (check, status, failures)."""
-    from tripartite.plans import quality
-
-    view = {
-        "merchant_sales": "sales",
-        "servicer_reimbursements": "payments",
-        "stg_merchant_sales": "sales",
-        "stg_contracts": "contracts",
-        "stg_claims": "claims",
-        "stg_servicer_reimbursements": "payments",
-        "fct_recon_breaks": "fact",
-        "fct_daily_break_snapshot": f"({_day(AS_OF)})",
-    }
-    counts = []
-    for table, columns in quality.REQUIRED.items():
-        for c in columns:
-            counts.append(
-                f"SELECT 'not_null_{table}_{c}' AS name, count(*) - count({c}) AS failures"
-                f" FROM {view.get(table, table)}"
-            )
-    for table, c in quality.UNIQUE.items():
-        counts.append(
-            f"SELECT 'unique_{table}_{c}', count(*) FROM (SELECT {c} FROM {view.get(table, table)}"
-            f" WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
-        )
-    for table, c, values in quality.ACCEPTED:
-        listing = ", ".join(f"'{v}'" for v in values)
-        counts.append(
-            f"SELECT 'accepted_values_{table}_{c}', count(DISTINCT {c}) FROM {view.get(table, table)}"
-            f" WHERE {c} NOT IN ({listing})"
-        )
+    counts = [
+        f"SELECT 'not_null_{table}_{c}' AS name, count(*) - count({c}) AS failures FROM {_VIEWS.get(table, table)}"
+        for table, columns in _FILLED.items()
+        for c in columns.split()
+    ]
+    counts += [
+        f"SELECT 'unique_{table}_{c}', count(*) FROM (SELECT {c} FROM {_VIEWS.get(table, table)}"
+        f" WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)"
+        for table, c in _KEYS.items()
+    ]
+    counts += [
+        f"SELECT 'accepted_values_{table}_{c}', count(DISTINCT {c}) FROM {_VIEWS.get(table, table)}"
+        f" WHERE {c} NOT IN ({', '.join(repr(v) for v in values.split())})"
+        for table, c, values in _LISTED
+    ]
     counts.append(
         "SELECT 'relationships_merchant_sales_merchant_id_merchants', count(*) FROM sales b"
         " WHERE merchant_id IS NOT NULL"
@@ -317,6 +359,34 @@ FROM fact WHERE break_type IN ('timing_break', 'overpayment', 'coverage_exceeded
 """
 
 
+_CORRECTED = (
+    "SELECT * REPLACE (CASE WHEN severity = 'high' THEN 'rechecked' ELSE description END AS description) FROM ("
+    + _day(DAY_BEFORE, "earlier")
+    + ") UNION ALL "
+    + _day(AS_OF)
+)
+
+
+def _placed(report: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({report})"
+
+
+_RUN_TABLES = {
+    "merchants": "merchants", "servicers": "servicers", "merchant_sales": "sales", "contracts": "contracts",
+    "claims": "claims", "servicer_reimbursements": "payments", "stg_merchant_sales": "sales",
+    "stg_contracts": "contracts", "stg_claims": "claims", "stg_servicer_reimbursements": "payments",
+    "int_contract_lifecycle": "lc", "int_claim_lifecycle": "lk", "fct_recon_breaks": "fact",
+    "fct_daily_break_snapshot": "fact", "break_aging": f"({_AGING})", "merchant_scorecard": f"({_SCORECARD})",
+}
+_RUN = " UNION ALL ".join(
+    [f"SELECT '{name}' AS name, count(*) AS value FROM {view}" for name, view in _RUN_TABLES.items()]
+    + [
+        f"SELECT 'checks_{status}', count(*) FROM ({_checks()}) WHERE status = '{status}'"
+        for status in ("pass", "fail")
+    ]
+)
+
+
 def _on(models: str, **selects: str) -> dict[str, str]:
     return {name: f"WITH {models}\n{sql}" for name, sql in selects.items()}
 
@@ -372,13 +442,18 @@ def oracle_sql() -> dict[str, str]:
             break_descriptions="SELECT break_type, entity_id, description FROM fact",
             break_aging=_AGING,
             aging_report=_AGING,
+            break_aging_order=_placed(_AGING, "CASE severity WHEN 'high' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END,"
+                                              " break_type, aging_bucket"),
+            aging_report_order=_placed(_AGING, "severity, break_type, aging_bucket"),
+            merchant_scorecard_order=_placed(_SCORECARD, "total_breaks DESC, merchant_id"),
+            pipeline_summary=_RUN,
             kpi_summary="SELECT count(*) AS total_breaks,"
             " count(*) FILTER (severity = 'high') AS high_severity,"
             " CAST(sum(amount_at_risk) AS DECIMAL(34,2)) AS total_amount_at_risk,"
             " round(avg(days_open), 1) AS avg_days_open FROM fact",
             break_type_summary="SELECT break_type, count(*) AS breaks,"
             " CAST(sum(amount_at_risk) AS DECIMAL(34,2)) AS amount_at_risk"
-            " FROM fact GROUP BY break_type ORDER BY break_type LIMIT 20",
+            " FROM fact GROUP BY break_type",
             break_filter_values="SELECT DISTINCT 'break_type' AS filter, break_type AS value FROM fact"
             " UNION ALL SELECT DISTINCT 'severity', severity FROM fact",
             break_drilldown=_DRILLDOWN,
@@ -402,11 +477,7 @@ def oracle_sql() -> dict[str, str]:
             two_days,
             daily_snapshot_incremental=f"{_day(DAY_BEFORE, 'earlier')} UNION ALL {_day(AS_OF)}",
             # Day one again (replaced, key by key) and day two (added).
-            snapshot_delete_insert="SELECT * FROM ("
-            + _day(DAY_BEFORE, "earlier")
-            + ") WHERE NOT (severity = 'high')\n UNION ALL SELECT * REPLACE ('rechecked' AS description) FROM ("
-            + _day(DAY_BEFORE, "earlier")
-            + ") WHERE severity = 'high' UNION ALL "
-            + _day(AS_OF),
+            snapshot_delete_insert=_CORRECTED,
+            snapshot_correct=_CORRECTED,
         )
     )

@@ -1,3 +1,4 @@
+from datetime import date
 from decimal import Decimal
 
 import pytest
@@ -12,6 +13,7 @@ from tripartite.functions import (
     percent_text,
     ratio,
     severity_rank,
+    strict_date,
 )
 
 from conftest import AS_OF
@@ -84,3 +86,26 @@ def test_holds_and_rank(spark):
 def test_money_cast_rounds_long_fractions(spark):
     assert value(spark, "cast('1244.4524999999999' as decimal(12,2))") == Decimal("1244.45")
     assert value(spark, "cast('537.757' as decimal(12,2))") == Decimal("537.76")
+
+
+def test_dates_read_as_duckdb_reads_full_days(spark):
+    given = [
+        "2025-01-05", "2025-1-5", "2025/01/05", "2025 01 05", "2025\\01\\05", "2025 1-5", "2025\\1/5",
+        "2025-01-05 10:00", "2025-01-05T10:00:00", "2025-01-05 10:00:00+02", "2025-01-05 10:00:00Z",
+        " 2025-01-05 ", "2025-01-05 x", "2025.01.05", "2025-13-01", "bad", "", "2025", "2025-01",
+    ]
+    import duckdb
+
+    con = duckdb.connect()
+    wanted = [con.execute("select try_cast(? as date)", [g]).fetchall()[0][0] for g in given]
+    df = spark.createDataFrame([(i, g) for i, g in enumerate(given)], "i int, given string")
+    found = [r.d for r in df.selectExpr("i", f"{parse_date('given')} as d").orderBy("i").collect()]
+    assert found == wanted
+
+
+def test_clean_date_columns_refuse_what_is_no_day(spark):
+    df = spark.createDataFrame([("2025-01-05",), (None,)], "given string")
+    assert [r[0] for r in df.selectExpr(strict_date("given")).collect()] == [date(2025, 1, 5), None]
+    for bad in ("2025", "2025-01", "bad"):
+        with pytest.raises(Exception, match="not a calendar day"):
+            spark.createDataFrame([(bad,)], "given string").selectExpr(strict_date("given")).collect()

@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB oracle."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -13,6 +15,10 @@ SPARK_TO_DUCK = {
 }
 
 
+# The queries on text corpora have tests of their own.
+QUERIES = [q for q in driver.queries() if q != "pipeline" and not re.match(r"op\d+_", q)]
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -23,10 +29,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_oracle(spark, duck, name):
     df = driver.queries()[name](spark, SF_DIR)
     answer = duck.execute(driver.oracle_sql()[name])
@@ -41,4 +47,4 @@ def test_query_equals_oracle(spark, duck, name):
 
 def test_entry(spark):
     fact = driver.entry(spark)
-    assert fact.count() == 677
+    assert fact.count() == 3312

@@ -7,7 +7,7 @@ from tripartite import plans, sources
 from tripartite.plans import quality
 
 import feeds
-from conftest import AS_OF, rows
+from conftest import AS_OF, conf, rows
 
 DAY1, DAY2 = date(2025, 7, 1), date(2025, 7, 2)
 
@@ -42,7 +42,8 @@ def test_repeated_key_stops_the_run_before_anything_is_built(spark, tmp_path):
     )
     with pytest.raises(plans.QualityError, match="unique_contracts_contract_id"):
         plans.run_pipeline(raw, str(tmp_path / "out"), AS_OF, snapshot_date=DAY1)
-    assert not (tmp_path / "out").exists()
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["work"]
+    assert not list((tmp_path / "out/work").iterdir())
 
 
 def test_failing_check_is_raised_once_and_can_be_reported_instead(spark, tmp_path, monkeypatch):
@@ -96,3 +97,87 @@ def test_declared_checks_are_48(spark, tmp_path):
     results = plans.run_checks(raw)
     assert results.columns == ["check", "status", "failures"]
     assert rows(plans.dq_summary(results)) == [("pass", 14)]
+
+
+OVER_LIMIT = "R99,K7,V1,2025-04-20,1000.01"
+
+
+def test_failing_gate_leaves_what_is_published(spark, tmp_path):
+    out = tmp_path / "out"
+    good = raw_feeds(spark, tmp_path / "good")
+    plans.run_pipeline(good, str(out), AS_OF, snapshot_date=DAY1).close(spark)
+    bad = raw_feeds(
+        spark, tmp_path / "bad", lambda f: f["servicer_reimbursements"].append(OVER_LIMIT)
+    )
+    with pytest.raises(plans.QualityError):
+        plans.run_pipeline(bad, str(out), AS_OF, snapshot_date=DAY2)
+    history = sources.read_snapshot(spark, str(out / "fct_daily_break_snapshot"))
+    assert rows(history.groupBy("snapshot_date").count()) == [(DAY1, 10)]
+    assert sources.read_fact(spark, str(out / "fct_recon_breaks")).count() == 10
+    # Put right, the day can still be captured.
+    assert plans.run_pipeline(good, str(out), AS_OF, snapshot_date=DAY2).snapshot_written
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_rebuild_drops_types_that_no_longer_occur(spark, tmp_path, mode):
+    with conf(spark, {"spark.sql.sources.partitionOverwriteMode": mode}):
+        out = str(tmp_path / "out")
+        first = plans.run_pipeline(raw_feeds(spark, tmp_path / "a"), out, AS_OF, snapshot_date=DAY1)
+        again = raw_feeds(
+            spark, tmp_path / "b", lambda f: f["servicer_reimbursements"].pop()
+        )
+        second = plans.run_pipeline(again, out, AS_OF, snapshot_date=DAY2)
+        found = dict(rows(plans.detected_counts(second.tables["fct_recon_breaks"])))
+        assert "duplicate_claim" not in found and "coverage_exceeded" not in found
+        # The first run's intermediate frames are its own.
+        assert first.tables["int_claim_lifecycle"].count() == 11
+        assert second.tables["int_claim_lifecycle"].count() == 10
+
+
+def test_feeds_are_parsed_once(spark, tmp_path, monkeypatch):
+    raw = raw_feeds(spark, tmp_path / "feeds")
+    planned = []
+    from tripartite.plans import pipeline
+
+    original = pipeline.quality.run_checks
+
+    def keep(*args, **named):
+        result = original(*args, **named)
+        planned.append(result._jdf.queryExecution().executedPlan().toString())
+        return result
+
+    monkeypatch.setattr(pipeline.quality, "run_checks", keep)
+    run = plans.run_pipeline(raw, str(tmp_path / "out"), AS_OF, snapshot_date=DAY1)
+    assert len(planned) == 2 and not any("csv" in p.lower().split("location")[0] for p in planned)
+    assert all("FileScan csv" not in p for p in planned)
+    lifecycle = run.tables["int_contract_lifecycle"]._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in lifecycle
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_truth_gate(spark, tmp_path):
+    raw = raw_feeds(spark, tmp_path / "feeds")
+    truth = spark.createDataFrame([("orphan_claim",), ("overpayment",), ("overpayment",)], "break_type string")
+    run = plans.run_pipeline(raw, str(tmp_path / "a"), AS_OF, DAY1, gate=False, truth=truth)
+    assert [(r.break_type, r.planted, r.detected) for r in run.regressions] == [("overpayment", 2, 1)]
+    assert run.seconds > 0
+    with pytest.raises(plans.QualityError, match=r"overpayment \(1 of 2\)"):
+        plans.run_pipeline(raw, str(tmp_path / "b"), AS_OF, DAY1, truth=truth)
+
+
+def test_history_shows_columns_of_earlier_days(spark, tmp_path):
+    raw = raw_feeds(spark, tmp_path / "feeds")
+    out = str(tmp_path / "out")
+    first = plans.run_pipeline(raw, out, AS_OF, snapshot_date=DAY1)
+    wider = first.tables["fct_recon_breaks"].selectExpr("*", "'x' as note")
+    sources.snapshot_breaks(wider, f"{out}/fct_daily_break_snapshot", date(2025, 6, 30))
+    history = plans.run_pipeline(raw, out, AS_OF, snapshot_date=DAY2).tables["fct_daily_break_snapshot"]
+    assert history.where("note = 'x'").count() == 10
+
+
+def test_check_functions_take_any_column_name(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None)], "`order id` string, `a.b` int")
+    assert rows(plans.unique(df, "order id")) == [("a", 2)]
+    assert rows(plans.not_null(df, "a.b")) == [("a.b", 1)]
+    assert rows(plans.accepted_values(df, "order id", ["b"])) == [("a", 2)]
+    assert plans.relationships(df, df, "order id", "order id").isEmpty()

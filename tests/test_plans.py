@@ -169,6 +169,35 @@ def test_detectors_drop_what_they_do_not_need(spark, staged):
         assert "LeftAnti" not in plan_of(df)
 
 
+@pytest.mark.parametrize(
+    ("name", "joins"),
+    [("detect_duplicate_claim", 1), ("detect_overpayment", 1), ("contract_payouts", 1), ("detect_coverage_exceeded", 2)],
+)
+def test_rules_on_payments_join_what_they_use(spark, tmp_path, staged, name, joins):
+    read = {}
+    for feed, df in staged.items():
+        df.write.parquet(f"{tmp_path}/{feed}")
+        read[feed] = spark.read.parquet(f"{tmp_path}/{feed}")
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        paid = op.paid_claims(read["stg_claims"], read["stg_servicer_reimbursements"])
+        detect = getattr(op, name)
+        if name == "detect_coverage_exceeded":
+            df = detect(op.contract_terms(read["stg_contracts"]), paid)
+        else:
+            df = detect(paid)
+        assert len(re.findall(r"(?:SortMerge|Hash)Join", plan_of(df))) == joins
+
+
+def test_contract_detail_does_not_shuffle_all_sales(spark, tmp_path, staged):
+    for feed in ("stg_contracts", "stg_merchant_sales"):
+        staged[feed].write.parquet(f"{tmp_path}/{feed}")
+    contracts, sales = (spark.read.parquet(f"{tmp_path}/{f}") for f in ("stg_contracts", "stg_merchant_sales"))
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = plan_of(plans.contract_detail(contracts, sales, "742"))
+    # The sales meet the one sale id where they are read.
+    assert re.search(r"BroadcastHashJoin [^\n]*LeftSemi", plan)
+
+
 def test_lookup_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "staged")
     op.stage_all(tpch.raw_sources(spark, SF_DIR, ["claims"]))["stg_claims"].write.parquet(path)
@@ -219,6 +248,6 @@ def test_shuffle_width_follows_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     with conf(spark, {key: "4"}):
         tune(spark, input_bytes=100 << 40)
-        assert int(spark.conf.get(key)) == 409600
+        assert int(spark.conf.get(key)) == 100000
         tune(spark, input_bytes=1)
         assert int(spark.conf.get(key)) == spark.sparkContext.defaultParallelism

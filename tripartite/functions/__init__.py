@@ -11,6 +11,7 @@ from tripartite.functions.expressions import (
     percent_text,
     ratio,
     severity_rank,
+    strict_date,
     text,
 )
 
@@ -25,5 +26,6 @@ __all__ = [
     "percent_text",
     "ratio",
     "severity_rank",
+    "strict_date",
     "text",
 ]

@@ -11,9 +11,11 @@ from datetime import date
 
 from tripartite.schemas import MONEY_TOTAL
 
-# A calendar day, optionally followed by a time of day.
-_DAY_TEXT = "^[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9]{1,2}:[0-9:.]+)?$"
-_SLASHED = "^([0-9]+)/([0-9]+)/([0-9]+)"
+# A calendar day, optionally followed by a time of day and its zone, which do not count.
+_DAY_TEXT = "^([0-9]{4,}-[0-9]{1,2}-[0-9]{1,2})([ T][0-9]{1,2}:[0-9:.]+( ?(Z|UTC|[+-][0-9:]+))?)?$"
+# Slashes, backslashes or spaces instead of hyphens, the same one twice. A backslash
+# stands for itself in a regular expression, and for itself again in SQL text.
+_OTHER_MARKS = "^([0-9]+)([/ ]|\\\\\\\\)([0-9]+)\\\\2([0-9]+)"
 
 # Last day and label of each age bucket.
 AGING_BUCKETS = [(7, "0-7 days"), (30, "8-30 days"), (60, "31-60 days")]
@@ -39,15 +41,24 @@ def parse_date(dirty: str) -> str:
     ``try_cast`` alone would read the bare year ``2025`` as 1 January, which
     turns an unpaid sale into a paid one, so the shape is checked first.
     """
-    cleaned = f"regexp_replace(trim({dirty}), '{_SLASHED}', '$1-$2-$3')"
+    marked = f"regexp_replace(trim({dirty}), '{_OTHER_MARKS}', '$1-$3-$4')"
+    cleaned = f"regexp_extract({marked}, '{_DAY_TEXT}', 1)"
     # The usual shape is told apart without a regular expression.
     usual = f"length({dirty}) = 10 and substr({dirty}, 5, 1) = '-' and substr({dirty}, 8, 1) = '-'"
     return (
         f"case when {usual} then try_cast({dirty} as date)"
-        f" when {cleaned} rlike '{_DAY_TEXT}' then try_cast({cleaned} as date) end"
+        f" when {cleaned} <> '' then try_cast({cleaned} as date) end"
     )
 
 
+def strict_date(given: str) -> str:
+    """Date of a column that is never dirty: text that is no full day raises an error,
+    where a cast alone would read ``2025`` or ``2025-01`` as the first of January."""
+    parsed = parse_date(given)
+    message = f"concat('not a calendar day: ', {given})"
+    return f"if({given} is null or {parsed} is not null, {parsed}, cast(raise_error({message}) as date))"
+
+
 def days_between(start: str, end: str) -> str:
     """Whole days from ``start`` to ``end``; negative when ``end`` is earlier."""
     return f"datediff({end}, {start})"

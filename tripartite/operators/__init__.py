@@ -14,7 +14,13 @@ from tripartite.operators.detect import (
     detect_timing_break,
     finish_breaks,
 )
-from tripartite.operators.lifecycle import claim_lifecycle, claims_with_contract, contract_lifecycle
+from tripartite.operators.lifecycle import (
+    claim_lifecycle,
+    claims_with_contract,
+    contract_lifecycle,
+    contract_terms,
+    paid_claims,
+)
 from tripartite.operators.numbering import with_break_key
 from tripartite.operators.staging import (
     stage_all,
@@ -32,6 +38,7 @@ __all__ = [
     "contract_breaks",
     "contract_lifecycle",
     "contract_payouts",
+    "contract_terms",
     "detect_amount_break",
     "detect_coverage_exceeded",
     "detect_duplicate_claim",
@@ -40,6 +47,7 @@ __all__ = [
     "detect_overpayment",
     "detect_timing_break",
     "finish_breaks",
+    "paid_claims",
     "stage_all",
     "stage_claims",
     "stage_contracts",

@@ -178,7 +178,10 @@ def detect_orphan_claim(claims: DataFrame) -> DataFrame:
 
 
 def detect_duplicate_claim(claim_lifecycle: DataFrame) -> DataFrame:
-    """Claims reimbursed more than once; the amount is what exceeds one claim."""
+    """Claims reimbursed more than once; the amount is what exceeds one claim.
+
+    Takes the claim lifecycle or :func:`paid_claims`, as the next three do.
+    """
     per_claim = (
         claim_lifecycle.where("reimbursement_id is not null")
         .groupBy("claim_id")
@@ -213,7 +216,8 @@ def detect_coverage_exceeded(
 ) -> DataFrame:
     """Contracts whose payouts add up to more than their coverage limit.
 
-    Payouts are one row per contract before they meet the contracts.
+    Payouts are one row per contract before they meet the contracts. Instead of the
+    contract lifecycle, :func:`contract_terms` will do.
     """
     terms = contract_lifecycle.select(
         "contract_id", "contract_merchant_id", "issued_date", "coverage_limit"

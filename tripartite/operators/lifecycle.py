@@ -71,6 +71,41 @@ def claims_with_contract(claims: DataFrame, contracts: DataFrame) -> DataFrame:
     ).selectExpr("*", "matched_contract_id is null as is_orphan_claim")
 
 
+def _payments(reimbursements: DataFrame) -> DataFrame:
+    return reimbursements.where("claim_id is not null").selectExpr(
+        "claim_id as paid_claim_id", "reimbursement_id", "paid_date", "paid_amount"
+    )
+
+
+def _overpaid(tolerance: Decimal) -> str:
+    over = f"paid_amount > claim_amount + {tolerance}"
+    return f"if(paid_amount is null, null, {holds(over)}) as is_overpayment"
+
+
+def paid_claims(
+    claims: DataFrame, reimbursements: DataFrame, tolerance: Decimal = TOLERANCE
+) -> DataFrame:
+    """One row per payment with its claim: the part of the claim lifecycle that the rules
+    on payments need, without the contracts and the claims that were not paid."""
+    filed = claims.selectExpr(
+        "claim_id",
+        "contract_id as claim_contract_id",
+        "servicer_id as claim_servicer_id",
+        "claim_date",
+        "claim_amount",
+    )
+    same_claim = F.col("claim_id") == F.col("paid_claim_id")
+    paid = filed.join(_payments(reimbursements), same_claim).drop("paid_claim_id")
+    return paid.selectExpr("*", _overpaid(tolerance))
+
+
+def contract_terms(contracts: DataFrame) -> DataFrame:
+    """What a payout is held against, named as in the contract lifecycle."""
+    return contracts.selectExpr(
+        "contract_id", "merchant_id as contract_merchant_id", "issued_date", "coverage_limit"
+    )
+
+
 def claim_lifecycle(
     claims: DataFrame,
     reimbursements: DataFrame,
@@ -79,9 +114,7 @@ def claim_lifecycle(
 ) -> DataFrame:
     """One row per claim and payment; a claim without payment keeps one row."""
     filed = claims_with_contract(claims, contracts)
-    payments = reimbursements.where("claim_id is not null").selectExpr(
-        "claim_id as paid_claim_id", "reimbursement_id", "paid_date", "paid_amount"
-    )
+    payments = _payments(reimbursements)
     # One row per claim and map task goes into the shuffle, however hot the claim.
     paid_claims = payments.select("paid_claim_id").distinct()
 
@@ -92,7 +125,6 @@ def claim_lifecycle(
     paid = filed.join(payments, same_claim, "inner").drop("paid_claim_id")
     unpaid = filed.join(paid_claims, same_claim, "left_anti")
     nothing = [f"cast(null as {kind}) as {c}" for c, kind in payments.dtypes[1:]]
-    over = f"paid_amount > claim_amount + {tolerance}"
     return paid.unionByName(unpaid.selectExpr("*", *nothing)).selectExpr(
         "claim_id",
         "claim_contract_id",
@@ -106,5 +138,5 @@ def claim_lifecycle(
         "coverage_limit",
         "is_orphan_claim",
         "reimbursement_id is null as is_unpaid_claim",
-        f"if(paid_amount is null, null, {holds(over)}) as is_overpayment",
+        _overpaid(tolerance),
     )

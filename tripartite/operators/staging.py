@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tripartite.functions import parse_date
+from tripartite.functions import parse_date, strict_date
 from tripartite.schemas import STAGED_TYPES
 
 STAGED_FEEDS = ["merchant_sales", "contracts", "claims", "servicer_reimbursements"]
 
 
 def _typed(feed: str) -> dict[str, str]:
-    """The cast of each column; text columns pass as they are."""
-    return {
-        column: column if kind == "string" else f"cast({column} as {kind}) as {column}"
-        for column, kind in STAGED_TYPES[feed].items()
-    }
+    """The cast of each column; text columns pass as they are, dates must be full days."""
+
+    def cast(column: str, kind: str) -> str:
+        if kind == "string":
+            return column
+        typed = strict_date(column) if kind == "date" else f"cast({column} as {kind})"
+        return f"{typed} as {column}"
+
+    return {column: cast(column, kind) for column, kind in STAGED_TYPES[feed].items()}
 
 
 def stage_merchant_sales(raw: DataFrame) -> DataFrame:

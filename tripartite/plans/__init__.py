@@ -5,6 +5,7 @@ from tripartite.plans.pipeline import (
     build_breaks,
     build_fact,
     lifecycles,
+    pipeline_summary,
     run_pipeline,
     write_lifecycles,
 )
@@ -63,6 +64,7 @@ __all__ = [
     "merchant_scorecard",
     "merchant_totals",
     "not_null",
+    "pipeline_summary",
     "planted_counts",
     "reimbursement_within_coverage",
     "relationships",

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from tripartite.operators import (
     all_breaks,
@@ -18,7 +22,7 @@ from tripartite.operators import (
 from tripartite.operators.detect import HIGH_AFTER_DAYS, SLA_DAYS
 from tripartite.plans import quality, reports
 from tripartite.session import together, tune
-from tripartite.sources.scratch import write_all
+from tripartite.sources.scratch import bytes_of, drop_folder, write_all, write_through
 from tripartite.sources.tables import (
     read_fact,
     read_snapshot,
@@ -30,11 +34,22 @@ from tripartite.sources.tables import (
 
 @dataclass
 class PipelineRun:
-    """What a run produced: frames by table name, and check counts by status."""
+    """What a run produced: frames by table name, check counts by status, planted types
+    that were not all detected, and the seconds it took.
+
+    The frames of feeds, staged tables and lifecycles read the run's own ``work`` folder;
+    no other run touches it, and :meth:`close` removes it when they are no longer needed.
+    """
 
     tables: dict[str, DataFrame]
     snapshot_written: bool
     checks: dict[str, int] = field(default_factory=dict)
+    regressions: list[Row] = field(default_factory=list)
+    seconds: float = 0.0
+    work: str = ""
+
+    def close(self, spark: SparkSession) -> None:
+        drop_folder(spark, self.work)
 
 
 def lifecycles(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -92,52 +107,82 @@ def run_pipeline(
     high_after_days: int = HIGH_AFTER_DAYS,
     full_refresh: bool = False,
     gate: bool = True,
+    truth: DataFrame | None = None,
 ) -> PipelineRun:
-    """Stage, check, detect, write, snapshot, report, check again.
+    """Land, stage, check, detect, write, check, snapshot, report.
 
     Tables go below ``output``: ``fct_recon_breaks``, ``fct_daily_break_snapshot``,
-    ``break_aging``, ``merchant_scorecard``; ``work`` holds intermediate tables
-    that the next run replaces. With ``gate`` a failing check raises
-    :class:`QualityError`: input checks before anything is built, since repeated
-    keys would multiply rows, and the remaining checks at the end. Without it the
-    failures are only counted.
+    ``break_aging``, ``merchant_scorecard``. The feeds are landed once, so text is parsed
+    once, below ``work/<run>``, which also holds the other intermediate tables of this run
+    and of no other; :meth:`PipelineRun.close` removes it.
+
+    With ``gate`` a failing check raises :class:`QualityError`: the checks of feeds and
+    staged tables and the coverage invariant before anything is published, those of the
+    fact before the day enters the history. Given a truth log, a type detected less often
+    than planted fails the run as well. Without ``gate`` failures are only counted.
     """
-    spark = tune(raw["contracts"].sparkSession)
-    staged = stage_all(raw)
-    inputs = quality.run_checks(raw | staged)
-    input_checks = quality.assert_quality(inputs) if gate else _counts(inputs)
-
-    work = f"{output}/work"
-    lifecycle = write_lifecycles(staged, work)
-    write_fact(
-        build_fact(lifecycle, as_of, sla_days, high_after_days, work),
-        f"{output}/fct_recon_breaks",
-    )
-    fact = read_fact(spark, f"{output}/fct_recon_breaks")
-
-    history = f"{output}/fct_daily_break_snapshot"
-    scorecard = reports.merchant_scorecard(fact, raw["merchants"], staged["stg_contracts"])
-    analytics = {"break_aging": reports.break_aging(fact), "merchant_scorecard": scorecard}
-    written, analytics = together(
-        spark,
-        lambda: snapshot_breaks(fact, history, snapshot_date, full_refresh),
-        lambda: write_all(analytics, output),
-    )
-
-    # Today's columns are known, so the footers of a long history need not be merged.
-    columns = snapshot_rows(fact, as_of).schema
-    marts = {
-        "fct_recon_breaks": fact,
-        "fct_daily_break_snapshot": read_snapshot(spark, history, columns),
-    }
-    outputs = quality.run_checks(marts, invariant_on=staged)
-    output_checks = quality.assert_quality(outputs) if gate else _counts(outputs)
-    checks = {
-        status: input_checks.get(status, 0) + output_checks.get(status, 0)
-        for status in input_checks | output_checks
-    }
-    return PipelineRun(raw | staged | lifecycle | marts | analytics, written, checks)
+    start = time.monotonic()
+    spark = tune(raw["contracts"].sparkSession, bytes_of(*raw.values()))
+    work = f"{output}/work/{uuid.uuid4().hex}"
+    run = PipelineRun({}, False, work=work)
+    try:
+        raw = write_all(raw, f"{work}/feeds")
+        staged = stage_all(raw)
+        _check(run, quality.run_checks(raw | staged, invariant_on=staged), gate)
+
+        lifecycle = write_lifecycles(staged, work)
+        built = write_through(
+            build_fact(lifecycle, as_of, sla_days, high_after_days, work), "fact", f"{work}/fact"
+        )
+        day = {
+            "fct_recon_breaks": built,
+            "fct_daily_break_snapshot": snapshot_rows(built, snapshot_date or as_of),
+        }
+        _check(run, quality.run_checks(day), gate)
+        if truth is not None:
+            run.regressions = reports.truth_regressions(built, truth).collect()  # a row a type
+            if gate and run.regressions:
+                lost = ", ".join(f"{r.break_type} ({r.detected} of {r.planted})" for r in run.regressions)
+                raise quality.QualityError(f"planted breaks were not detected: {lost}")
+
+        write_fact(built, f"{output}/fct_recon_breaks")
+        fact = read_fact(spark, f"{output}/fct_recon_breaks")
+        history = f"{output}/fct_daily_break_snapshot"
+        scorecard = reports.merchant_scorecard(built, raw["merchants"], staged["stg_contracts"])
+        analytics = {"break_aging": reports.break_aging(built), "merchant_scorecard": scorecard}
+        run.snapshot_written, analytics = together(
+            spark,
+            lambda: snapshot_breaks(built, history, snapshot_date, full_refresh),
+            lambda: write_all(analytics, output),
+        )
+    except BaseException:
+        run.close(spark)
+        raise
+    # All columns that some day of the history has.
+    marts = {"fct_recon_breaks": fact, "fct_daily_break_snapshot": read_snapshot(spark, history)}
+    run.tables = raw | staged | lifecycle | marts | analytics
+    run.seconds = time.monotonic() - start
+    return run
+
+
+def _check(run: PipelineRun, results: DataFrame, gate: bool) -> None:
+    found = quality.assert_quality(results) if gate else _counts(results)
+    for status, n in found.items():
+        run.checks[status] = run.checks.get(status, 0) + n
 
 
 def _counts(results: DataFrame) -> dict[str, int]:
     return {r["status"]: r["checks"] for r in quality.dq_summary(results).collect()}
+
+
+def pipeline_summary(run: PipelineRun) -> DataFrame:
+    """Rows of every table of a run, and its checks by status."""
+    counts = [
+        df.select(F.lit(name).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("value"))
+        for name, df in run.tables.items()
+    ]
+    spark = next(iter(run.tables.values())).sparkSession
+    checks = spark.createDataFrame(
+        [(f"checks_{status}", run.checks.get(status, 0)) for status in ("pass", "fail")], "name string, value long"
+    )
+    return reduce(DataFrame.unionByName, [*counts, checks])

@@ -62,14 +62,14 @@ def kpi_summary(fact: DataFrame) -> DataFrame:
     )
 
 
-def break_type_summary(fact: DataFrame, limit: int = 20) -> DataFrame:
-    """Count and amount per break type, the first ``limit`` types by name."""
-    return (
+def break_type_summary(fact: DataFrame, limit: int | None = None) -> DataFrame:
+    """Count and amount of every break type by name; ``limit`` shows the first ones only."""
+    summary = (
         fact.groupBy("break_type")
         .agg(_rows("breaks"), _total("amount_at_risk", "amount_at_risk"))
         .orderBy("break_type")
-        .limit(limit)
     )
+    return summary if limit is None else summary.limit(limit)
 
 
 def break_filter_values(fact: DataFrame) -> DataFrame:
@@ -107,7 +107,10 @@ def break_drilldown(
 def break_report(
     fact: DataFrame, merchant_id: str, as_of: date, break_types: Sequence[str]
 ) -> DataFrame:
-    """One merchant's breaks of the given types in the fact built for ``as_of``."""
+    """One merchant's breaks of the given types in the fact built for ``as_of``.
+
+    A fact built for another day has no rows of ``as_of``, so the report is empty.
+    """
     return fact.where(
         (F.col("merchant_id") == merchant_id)
         & (F.col("as_of_date") == F.lit(as_of))
@@ -224,8 +227,12 @@ def merchant_sales_range(
 
 
 def contract_detail(contracts: DataFrame, sales: DataFrame, contract_id: str) -> DataFrame:
-    """One contract with its sale. The id reaches the scan of the contracts."""
-    return contract_lifecycle(contracts.where(F.col("contract_id") == contract_id), sales)
+    """One contract with its sale. The id reaches the scan of the contracts, and only the
+    sale it names leaves the scan of the sales: contract ids are unique, so it is one sale
+    id that is broadcast, and the other sales are not shuffled."""
+    found = contracts.where(F.col("contract_id") == contract_id)
+    named = F.broadcast(found.select("sale_id").distinct())
+    return contract_lifecycle(found, sales.join(named, "sale_id", "left_semi"))
 
 
 def servicer_claims(claims: DataFrame, servicer_id: str, status: str = "approved") -> DataFrame:

@@ -8,8 +8,9 @@ from tripartite.sources.files import (
     write_csv,
     write_json,
 )
-from tripartite.sources.scratch import shared_dir, write_all, write_through
+from tripartite.sources.scratch import drop_folder, shared_dir, write_all, write_through
 from tripartite.sources.tables import (
+    correct_snapshot,
     delete_insert,
     read_fact,
     read_snapshot,
@@ -19,7 +20,9 @@ from tripartite.sources.tables import (
 )
 
 __all__ = [
+    "correct_snapshot",
     "delete_insert",
+    "drop_folder",
     "read_fact",
     "read_raw_csv",
     "read_raw_sources",

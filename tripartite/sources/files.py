@@ -7,13 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 from tripartite.schemas import RAW_SCHEMAS, TRUTH_SCHEMA
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One raw feed, every column as text. Empty fields read as null."""
+# Quotes inside quoted fields are doubled (RFC 4180), and white space is data.
+_CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def read_raw_csv(
+    spark: SparkSession, path: str, table: str, line_breaks: bool = False
+) -> DataFrame:
+    """One raw feed, every column as text. Empty fields read as null.
+
+    ``line_breaks`` allows them inside quoted fields; a file is then read by one task.
+    """
     return (
         spark.read.schema(RAW_SCHEMAS[table])
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
+        .options(**_CSV, enforceSchema=False, mode="FAILFAST", multiLine=line_breaks)
         .csv(path)
     )
 
@@ -24,19 +37,18 @@ def read_raw_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def read_truth(
-    spark: SparkSession, path: str, array: bool = True, schema: str = TRUTH_SCHEMA
+    spark: SparkSession, path: str, array: bool = False, schema: str = TRUTH_SCHEMA
 ) -> DataFrame:
     """Log of planted breaks. Keys a record lacks become null columns.
 
-    ``array=True`` reads a file holding one JSON array, which cannot be split;
-    ``array=False`` reads one object per line, which can, and is the form to use
-    for a log that does not fit one task.
+    One object per line, which can be split; ``array=True`` reads files that hold one
+    JSON array each, in one task a file. A broken record raises an error when it is read.
     """
-    return spark.read.schema(schema).option("multiLine", array).json(path)
+    return spark.read.schema(schema).options(multiLine=array, mode="FAILFAST").json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:

@@ -32,6 +32,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tripartite/{uuid.uuid4().hex}/{name}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate tables, wherever the shared file system is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def bytes_of(*tables: DataFrame) -> int:
+    """Size of the files behind some tables, as the optimizer knows it."""
+    sizes = [t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() for t in tables]
+    return sum(int(str(size)) for size in sizes)
+
+
 def write_through(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as parquet and return a scan of what was written."""
     spark = df.sparkSession

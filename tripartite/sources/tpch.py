@@ -1,9 +1,9 @@
 """The six feeds derived from order-processing tables.
 
 Merchants are nations, servicers suppliers, contracts and sales come from orders,
-claims and payments from returned line items. Modulus rules on the keys leave out
-or falsify some records; they are what plants the known breaks of
-:func:`planted_breaks`. Every row of every table takes part.
+claims and payments from line items, whose return flag gives the claim's status. Modulus
+rules on the keys leave out or falsify some records; they are what plants the known
+breaks of :func:`planted_breaks`. Every row of every table takes part.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ UNPAID = 53
 UNDERPAID = 37
 NO_CONTRACT = 71
 NO_REIMBURSEMENT = 43
+UNKNOWN_AMOUNT = 106  # unpaid, and no amount is known
+STATUS = {"A": "approved", "N": "pending", "R": "reopened"}
 
 
 Reader = Callable[[str], DataFrame]
@@ -40,6 +42,8 @@ def _share(share: str) -> str:
 _MERCHANT = "concat('M', lpad(cast({} as string), 3, '0')) as merchant_id"
 _CLAIM = "concat_ws('-', l_orderkey, l_linenumber) as claim_id"
 _ORDER = "cast(o_orderkey as string)"
+# Sales have keys of their own, told apart from the contracts'.
+_SALE = f"concat('T', {_ORDER})"
 
 
 def _orders(table: Reader) -> DataFrame:
@@ -55,10 +59,6 @@ def _orders(table: Reader) -> DataFrame:
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
 
 
-def _returns(table: Reader) -> DataFrame:
-    return table("lineitem").where("l_returnflag = 'R'")
-
-
 def merchants(table: Reader) -> DataFrame:
     return table("nation").selectExpr(
         _MERCHANT.format("n_nationkey"),
@@ -76,7 +76,7 @@ def servicers(table: Reader) -> DataFrame:
 def contracts(table: Reader) -> DataFrame:
     return _orders(table).selectExpr(
         f"{_ORDER} as contract_id",
-        f"{_ORDER} as sale_id",
+        f"{_SALE} as sale_id",
         _MERCHANT.format("c_nationkey"),
         "cast(day as string) as issued_date",
         f"{_share('0.10')} as premium",
@@ -88,12 +88,13 @@ def contracts(table: Reader) -> DataFrame:
 
 def merchant_sales(table: Reader) -> DataFrame:
     remitted = (
-        f"case when o_orderkey % {UNPAID} = 0 then cast(0 as decimal(12,2))"
+        f"case when o_orderkey % {UNKNOWN_AMOUNT} = 0 then null"
+        f" when o_orderkey % {UNPAID} = 0 then cast(0 as decimal(12,2))"
         f" when o_orderkey % {UNDERPAID} = 0 then {_share('0.09')} else {_share('0.10')} end"
     )
     paid_on = f"if(o_orderkey % {UNPAID} = 0, '', cast(date_add(day, 5) as string))"
     return _orders(table).where(f"o_orderkey % {NO_SALE} <> 0").selectExpr(
-        f"{_ORDER} as sale_id",
+        f"{_SALE} as sale_id",
         _MERCHANT.format("c_nationkey"),
         "cast(day as string) as sale_date",
         "tp as product_price",
@@ -105,25 +106,27 @@ def merchant_sales(table: Reader) -> DataFrame:
 
 
 def claims(table: Reader) -> DataFrame:
-    lines = _returns(table).groupBy("l_orderkey", "l_linenumber").agg(
+    lines = table("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.min("l_returnflag").alias("flag"),
         F.min("l_suppkey").alias("suppkey"),
         F.min("l_shipdate").alias("shipped"),
         F.min("l_extendedprice").alias("price"),
     )
     prefix = f"if(l_orderkey % {NO_CONTRACT} = 0, 'X', '')"
+    status = " ".join(f"when '{flag}' then '{name}'" for flag, name in STATUS.items())
     return lines.selectExpr(
         _CLAIM,
         f"concat({prefix}, cast(l_orderkey as string)) as contract_id",
         "concat('S', cast(suppkey as string)) as servicer_id",
         "cast(cast(shipped as date) as string) as claim_date",
         "cast(price as decimal(12,2)) as claim_amount",
-        "'approved' as status",
+        f"case flag {status} end as status",
     )
 
 
 def servicer_reimbursements(table: Reader) -> DataFrame:
     shipped = "cast(l_shipdate as date)"
-    return _returns(table).where(f"l_orderkey % {NO_REIMBURSEMENT} <> 0").selectExpr(
+    return table("lineitem").where(f"l_orderkey % {NO_REIMBURSEMENT} <> 0").selectExpr(
         f"concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, {shipped})"
         " as reimbursement_id",
         _CLAIM,
@@ -165,12 +168,12 @@ def planted_breaks(spark: SparkSession, root: str) -> DataFrame:
         .where("break_type is not null")
         .selectExpr(
             "break_type",
-            "if(break_type = 'orphan_contract', null, id) as sale_id",
+            "if(break_type = 'orphan_contract', null, concat('T', id)) as sale_id",
             "if(break_type = 'orphan_contract', id, null) as contract_id",
             "cast(null as string) as claim_id",
         )
     )
-    no_contract = _returns(table).where(f"l_orderkey % {NO_CONTRACT} = 0")
+    no_contract = table("lineitem").where(f"l_orderkey % {NO_CONTRACT} = 0")
     by_claim = (
         no_contract.selectExpr(_CLAIM)
         .distinct()
