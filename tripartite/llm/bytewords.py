@@ -96,9 +96,14 @@ def hashes(
     return out
 
 
-def owners(offsets: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """How many of the ascending ``starts`` lie before each value's begin, and in all."""
-    return np.searchsorted(starts, offsets, "left")
+def distinct_pairs(of: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, and how often each occurs."""
+    order = np.lexsort((h, of))
+    of, h = of[order], h[order]
+    first = np.ones(len(h), bool)
+    first[1:] = (of[1:] != of[:-1]) | (h[1:] != h[:-1])
+    at = np.flatnonzero(first)
+    return of[at], h[at], np.diff(np.append(at, len(h)))
 
 
 def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:

@@ -51,6 +51,23 @@ def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[F.col("row")[c].alias(c) for c in like.columns])
 
 
+def most_frequent(counts: DataFrame, column: str, most: int) -> DataFrame:
+    """The rows of the largest counts, ``most`` at most: those above a power of two.
+
+    The powers' numbers of rows are a table of 64 rows, so nothing is sorted and no task
+    sees more than its share; rows of one power enter together or not at all.
+    """
+    level = F.floor(F.log2(F.col(column) + 1))
+    sizes = dict(counts.groupBy(level.alias("level")).count().collect())
+    taken, least = 0, max(sizes, default=0) + 1
+    for step in sorted(sizes, reverse=True):
+        taken += sizes[step]
+        if taken > most:
+            break
+        least = step
+    return counts.where(level >= least)
+
+
 def table_hash(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data)
 

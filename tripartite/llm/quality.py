@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from tripartite.llm.bytewords import WHITE, buffers, hashes, words
+from tripartite.llm.bytewords import WHITE, buffers, distinct_pairs, hashes, words
 from tripartite.llm.common import append, batches, map_batches, packed, read, text_of
 from tripartite.sources.scratch import write_through
 
@@ -76,7 +76,7 @@ def votes(texts: pa.Array) -> np.ndarray:
     symbols = _sums(_SYMBOL[data], offsets) / inside
     separators = _sums(_SEPARATOR[data], offsets) / some
     exclaims = _sums(_EXCLAIM[data], offsets) / some
-    pairs = np.unique(np.stack([of.astype(np.uint64), h]), axis=1)[0].astype(np.int64)
+    pairs = distinct_pairs(of, h)[0]
     # Texts use fewer new words the longer they are; the root allows for that.
     variety = np.bincount(pairs, minlength=n_texts) / np.sqrt(some)
     same = np.concatenate([[False], (h[1:] == h[:-1]) & (of[1:] == of[:-1])]) if len(h) else np.empty(0, bool)
@@ -208,7 +208,7 @@ def _pattern(column: str = "votes"):
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
     """Label model from the votes on all of ``docs``, scorer from a sample by text hash."""
-    ballots = voted(docs, text).select(_pattern().alias("pattern"), F.xxhash64("text").alias("draw"))
+    ballots = voted(docs, text).select(_pattern().alias("pattern"))
     counts = ballots.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()
     patterns = np.array([[int(v) for v in r.pattern.split(",")] for r in counts], int).reshape(-1, len(LABELLERS))
     sizes = np.array([r.n for r in counts], float)
@@ -216,8 +216,8 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     by_pattern = {r.pattern: float(g) for r, g in zip(counts, good, strict=True)}
     rate = min(1.0, SAMPLE / max(1.0, sizes.sum()))
     spark = docs.sparkSession
-    drawn = voted(docs, text).where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < rate * (1 << 30))
-    drawn = write_through(drawn.select("text", _pattern().alias("pattern")), "quality_sample")
+    drawn = docs.where(F.pmod(F.xxhash64(text_of(text)), F.lit(1 << 30)) < rate * (1 << 30))
+    drawn = write_through(voted(drawn, text).select("text", _pattern().alias("pattern")), "quality_sample")
     shared = spark.sparkContext.broadcast(by_pattern)
     batches(spark)
 
