@@ -1,7 +1,8 @@
 """Documents with Jaccard similarity of at least 85 per cent of their 4-word shingles.
 
 Shingles are put in one order, rare ones first. Two sets that link share at least l of the
-first ``n - ceil(0.85 n) + l`` shingles of each, for every l. A document's l, the number of
+first ``n - ceil(0.85 n) + l`` shingles of each, for every l, and fewer places count once
+both sizes are known. A document's l, the number of
 matches asked of its prefix, grows with the estimated cost of its candidates: a longer
 prefix costs one more entry a step, and asks for one more match before a pair is looked at.
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tripartite.llm.bitmaps import bitmap, has, slot
-from tripartite.llm.common import batches, packed, read, text_of, unpacked
+from tripartite.llm.common import batches, most_frequent, packed, read, text_of, unpacked
 from tripartite.llm.components import components
 from tripartite.llm.shingles import common, fingerprint, least_difference, parity, shingle_sets
 from tripartite.sources.scratch import write_through
@@ -49,6 +50,13 @@ def may_link(a: str, b: str) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
+def within(pos: str, n: str, other: str, matches: Column | str) -> Column:
+    """Whether a place lies in the prefix that the sizes of both sets leave: a link shares
+    at least ``85 / 185`` of the sum, and all but that many shingles may come first."""
+    shared = F.expr(f"({PERCENT} * ({n} + {other}) + {99 + PERCENT}) div {100 + PERCENT}")
+    return F.col(pos) < F.col(n) - shared + matches
+
+
 # ---- nodes ---------------------------------------------------------------------------------
 
 
@@ -89,7 +97,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles, ascending, and estimates of their frequency."""
     counts = sets.select(F.inline("frequent")).groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = counts.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toArrow()
+    rows = most_frequent(counts, "n", FREQUENT).toArrow()
     key = rows["shingle"].to_numpy().view(np.uint64)
     order = np.argsort(key)
     return key[order], rows["n"].to_numpy()[order]
@@ -207,14 +215,15 @@ def _hub_pairs(entries: DataFrame) -> DataFrame:
     """Each member of an entry with two of its members: the first by one order of all
     nodes, which gives near copies the same hub again and again, and the first by an order
     of the entry's own, which gives them many."""
-    member = F.struct(F.col("id"), F.col("n"))
+    member = F.struct("id", "n", "pos")
     hubs = entries.groupBy("token").agg(
         F.count(F.lit(1)).alias("size"),
         F.min_by(member, F.xxhash64("id")).alias("always"),
         F.min_by(member, F.xxhash64("id", "token")).alias("own"),
     )
     hubs = hubs.where("size > 1").select("token", F.explode(F.array("always", "own")).alias("hub"))
-    paired = entries.join(hubs, "token").where("hub.id <> id").where(may_link("n", "hub.n"))
+    near = within("pos", "n", "hub.n", F.lit(1)) & within("hub.pos", "hub.n", "n", F.lit(1))
+    paired = entries.join(hubs, "token").where("hub.id <> id").where(may_link("n", "hub.n") & near)
     return paired.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
 
 
@@ -224,14 +233,13 @@ def _remaining_pairs(entries: DataFrame, found: DataFrame) -> DataFrame:
     labelled = write_through(labelled, "labelled_entries")
     mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     labelled = labelled.join(mixed.where("low < high").select("token"), "token", "left_semi")
-    free = F.col("n") - F.expr(f"({PERCENT} * n + 99) div 100")
-    side = labelled.select("token", "component", "id", "n", "matches", (F.col("pos") - free).alias("over"))
+    side = labelled.select("token", "component", "id", "n", "matches", "pos")
     a = side.select("token", *[F.col(c).alias(f"{c}_a") for c in side.columns[1:]])
     b = side.select("token", *[F.col(c).alias(f"{c}_b") for c in side.columns[1:]])
     matches = F.least("matches_a", "matches_b")
     met = a.join(b, "token").where("id_a < id_b and component_a <> component_b").where(may_link("n_a", "n_b"))
     # Only entries within both prefixes of that l count.
-    met = met.where((F.col("over_a") < matches) & (F.col("over_b") < matches))
+    met = met.where(within("pos_a", "n_a", "n_b", matches) & within("pos_b", "n_b", "n_a", matches))
     counted = met.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
         F.count(F.lit(1)).alias("met"), F.first(matches).alias("asked")
     )
