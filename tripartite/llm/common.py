@@ -12,8 +12,8 @@ from pyspark.sql.types import StructType
 
 # Arrow batches are cut by bytes as well as rows: documents may be very long.
 BATCH_CONF = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 _UPPER = bytes(range(65, 91))
