@@ -4,6 +4,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -31,6 +32,25 @@ def test_rank_file_and_tokenizer_file_agree():
         assert byte_bpe().encode_ordinary(text) == reference.encode(text, add_special_tokens=False).ids
 
 
+@pytest.fixture(scope="module")
+def reference():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+ADDED = st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "a", "it's", "日", "\u3000", "."]), max_size=9)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(ADDED.map("".join), max_size=4))
+def test_added_tokens_have_the_tokenizer_files_ids(reference, texts):
+    texts = ["a <|endoftext|> b", *texts]
+    ids, at = encoder()(pa.array(texts, pa.string()))
+    for k, text in enumerate(texts):
+        want = reference.encode(text, add_special_tokens=False).ids
+        assert ids[at[k] : at[k + 1]].tolist() == byte_bpe().encode_ordinary(text) == want
+    assert ids[: at[1]].tolist() == [64, 220, 50256, 275]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(ODD, max_size=6))
 def test_words_and_hashes(texts):

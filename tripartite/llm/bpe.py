@@ -4,7 +4,7 @@ The vocabulary's pattern never joins what stands before and after a space betwee
 other characters, so a text's ids are those of its space-separated chunks, one after the
 other. Chunks repeat, and their ids are remembered in each Python worker, in a table of
 fixed size. Where a space meets other white space the chunks do depend on each other; such a
-text is encoded as a whole.
+text is encoded as a whole. Added tokens have no space, so each lies within one chunk.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import tiktoken
 from tripartite.llm.bytewords import WHITE, Slots, buffers, gather, hashes, words
 
 VOCABULARY = "byte_bpe_50k.tiktoken"  # the ids of byte_bpe_50k.json; see the test of equality
+ADDED = {"<|endoftext|>": 50256}  # tokens that byte_bpe_50k.json adds: one id wherever they stand
 SLOT_BITS = 20  # a million remembered chunks, 28 MB in a worker
 MOST_IDS = 8
 MOST_HEAD = 256
@@ -28,14 +29,22 @@ SPACE = np.zeros(256, bool)
 SPACE[0x20] = True
 
 
+class ByteBPE(tiktoken.Encoding):
+    """The ids that the tokenizers file gives without a template: texts are split at the
+    added tokens, as ``add_special_tokens=False`` does not switch those off."""
+
+    def encode_ordinary(self, text: str) -> list[int]:
+        return self.encode(text, allowed_special="all")
+
+
 @lru_cache(maxsize=4)
-def byte_bpe(path: str | None = None) -> tiktoken.Encoding:
-    """Encoder for a rank file. The string of a special token in a text is ordinary text."""
+def byte_bpe(path: str | None = None) -> ByteBPE:
+    """Encoder for a rank file and the added tokens."""
     with open(path or public_tokenizers.path(VOCABULARY), "rb") as file:
         pairs = (line.split() for line in file if line.strip())
         ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-    return tiktoken.Encoding(
-        path or VOCABULARY, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    return ByteBPE(
+        path or VOCABULARY, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED
     )
 
 
