@@ -43,6 +43,35 @@ def test_expected_counts_add_up_to_the_bytes():
     assert abs((counts[:, 0] * sizes).sum() - 3 * 6) < 1e-9
 
 
+def test_expected_counts_of_words_of_any_length():
+    of, found = li.vocabulary(), li.pieces()
+    assert max(map(len, found)) == li.LONGEST == 128
+    p = np.random.default_rng(2).random((of.size, 2)) * 1e-6
+    p[0] = 0
+    p /= p.sum(axis=0)
+    texts = ["日本語の文章" * 200, "é", "—" * 64, "internationalisierungen" * 3, "ÃÂ" * 40]
+    spelt = [t.encode() for t in texts]
+    data, ends = np.frombuffer(b"".join(spelt), np.uint8), np.cumsum([len(w) for w in spelt])
+    rows, size = li._matrix(data, ends - [len(w) for w in spelt], ends)
+    weight = np.arange(1.0, 11.0).reshape(5, 2)
+    counts = li.expected_counts(rows, weight, p, of, size)
+    sizes = np.array([0, *map(len, found)])
+    np.testing.assert_allclose(sizes @ counts, size @ weight, rtol=1e-9)
+    log = li.forward(rows, size, p, of)
+    table = {piece: p[k + 1] for k, piece in enumerate(found)}
+    for k in (1, 2, 3, 4):
+        np.testing.assert_allclose(log[k], brute(rows[k, : size[k]].tobytes(), table), rtol=1e-9)
+
+
+def test_languages_of_long_runs_are_told_apart(spark):
+    rng = random.Random(4)
+    say = {"zh": "的一是不了人我在有他这中大来上国", "ja": "のにはをたがでてとしれさるいるも"}
+    rows = [(i, "".join(rng.choice(say[k]) for _ in range(40)), k) for i, k in enumerate(["zh", "ja"] * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = li.predict(df, li.fit(df.where("doc_id < 40"))).select("row.doc_id", "lang_pred").collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {i: k for i, _, k in rows}
+
+
 def test_held_out_and_awkward_texts(spark, tmp_path):
     rng = random.Random(3)
     say = {

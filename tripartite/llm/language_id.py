@@ -15,6 +15,7 @@ probabilities are remembered in a table of fixed size.
 from __future__ import annotations
 
 import base64
+from collections import deque
 from functools import lru_cache
 
 import numpy as np
@@ -29,12 +30,13 @@ from tripartite.llm.common import append, batches, fold, map_batches, packed, re
 from tripartite.sources.scratch import write_through
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-LONGEST = 12  # bytes of the longest piece used
+LONGEST = 128  # bytes of the longest piece of the vocabulary
+NEAR = 12  # bytes of the pieces that nearly every place has
+STRETCH = 256  # places whose pieces are looked up at once
 SAMPLE = 1000  # labelled documents of each language that the model is fitted on, on average
 ITERATIONS = 2
 SMOOTHING = 0.05  # of the mass goes to the pieces' average over the languages
 FLOOR = 1e-8
-LONGEST_LEARNT = 40  # bytes of the longest word that the fit reads; scoring reads all
 UNKNOWN = "und"
 
 # Bytes outside words: ASCII without its letters.
@@ -66,6 +68,7 @@ class Pieces:
         self.key = h[order]
         self.number = order + 1
         self.size = len(found) + 1
+        self.lengths = sorted({len(p) for p in found})
 
     def find(self, h: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.key, h), len(self.key) - 1)
@@ -87,61 +90,108 @@ def _matrix(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return out, size + 1
 
 
-def _piece_numbers(rows: np.ndarray, begin: int, end: int, of: Pieces) -> np.ndarray:
-    """Number of the piece that each row has in [begin, end), or 0."""
-    part = np.ascontiguousarray(rows[:, begin:end]).ravel()
-    edges = np.arange(0, len(part) + 1, end - begin)
-    return of.find(hashes(part, edges[:-1], edges[1:], fold=False))
+def _numbers(rows: np.ndarray, low: int, high: int, of: Pieces) -> dict[int, np.ndarray]:
+    """By length, numbers of the pieces that end in (low, high], one row a place, 0 for none."""
+    first = max(0, low - LONGEST)
+    part = rows[:, first:high]
+    flat = np.ascontiguousarray(part).ravel()
+    out = {}
+    for back in of.lengths:
+        begin = np.arange(max(0, low + 1 - back), high - back + 1) - first
+        if len(begin):
+            starts = (np.arange(len(part))[:, None] * part.shape[1] + begin).ravel()
+            found = of.find(hashes(flat, starts, starts + back, fold=False))
+            out[back] = np.ascontiguousarray(found.astype(np.int32).reshape(len(part), -1).T)
+    return out
 
 
-def forward(rows: np.ndarray, size: np.ndarray, p: np.ndarray, of: Pieces) -> np.ndarray:
-    """log probability of each row's first ``size`` bytes, one column a language.
+def _places(rows: np.ndarray, of: Pieces, last_first: bool = False):
+    """Each place of the rows and the pieces that end there, as pairs of length and numbers."""
+    turn = reversed if last_first else iter
+    for low in turn(range(0, rows.shape[1], STRETCH)):
+        high = min(rows.shape[1], low + STRETCH)
+        found = _numbers(rows, low, high, of)
+        for end in turn(range(low + 1, high + 1)):
+            yield end, [(back, n[end - max(low + 1, back)]) for back, n in found.items() if back <= end]
+
+
+def _log_sums(rows: np.ndarray, p: np.ndarray, of: Pieces):
+    """At each place the log of the sum over all segmentations of the bytes before it.
 
-    ``alpha[:, j]`` sums over all segmentations of the first j bytes. It is rescaled as it
-    goes, so words of any length keep their precision.
+    The sums are rescaled as they go, so words of any length keep their precision. Pieces
+    over :data:`NEAR` bytes are added as logs, as their sums may be of other magnitude.
     """
-    n, width = rows.shape
-    alpha = [np.ones((n, p.shape[1]))]
-    scale = np.zeros((n, p.shape[1]))
-    out = np.zeros((n, p.shape[1]))
-    for end in range(1, width + 1):
-        total = np.zeros((n, p.shape[1]))
-        for back in range(1, min(LONGEST, end) + 1):
-            total += alpha[-back] * p[_piece_numbers(rows, end - back, end, of)]
-        alpha = [*alpha[1 - LONGEST :], total] if LONGEST > 1 else [total]
-        done = size == end
-        out[done] = np.log(total[done]) + scale[done]
+    shape = (len(rows), p.shape[1])
+    alpha, scale = [np.ones(shape)], np.zeros(shape)
+    logs = deque([np.zeros(shape)], LONGEST)
+    for end, found in _places(rows, of):
+        total = np.zeros(shape)
+        for back, used in found:
+            if back <= NEAR:
+                total += alpha[-back] * p[used]
+        for back, used in found:
+            there = np.flatnonzero(used) if back > NEAR else ()
+            if len(there):
+                whole = logs[-back][there] + np.log(p[used[there]])
+                whole = np.logaddexp(np.log(total[there]) + scale[there], whole)
+                more = np.maximum(0, whole - scale[there])
+                scale[there] += more
+                total[there] = np.exp(whole - scale[there])
+                for a in alpha:
+                    a[there] *= np.exp(-more)
+        alpha = [*alpha[1 - NEAR :], total]
+        logs.append(np.log(total) + scale)
         if end % 8 == 0:
             top = np.maximum.reduce(alpha)
             alpha = [a / top for a in alpha]
-            scale += np.log(top)
+            scale = scale + np.log(top)
+        yield end, logs[-1]
+
+
+def forward(rows: np.ndarray, size: np.ndarray, p: np.ndarray, of: Pieces) -> np.ndarray:
+    """log probability of each row's first ``size`` bytes, one column a language."""
+    out = np.zeros((len(rows), p.shape[1]))
+    for end, log in _log_sums(rows, p, of):
+        done = size == end
+        out[done] = log[done]
     return out
 
 
-def expected_counts(rows: np.ndarray, counts: np.ndarray, p: np.ndarray, of: Pieces) -> np.ndarray:
-    """Expected uses of each piece in words of one length, ``counts`` of them by language."""
+def expected_counts(
+    rows: np.ndarray, counts: np.ndarray, p: np.ndarray, of: Pieces, size: np.ndarray | None = None
+) -> np.ndarray:
+    """Expected uses of each piece in words, ``counts`` of them by language; a word is the
+    first ``size`` bytes of its row, or all of it.
+
+    From the end of each word, ``cut`` is how often a segmentation is expected to cut at a
+    place. A piece takes its share of the cuts at its end, and passes it to its begin.
+    """
     n, width = rows.shape
     langs = p.shape[1]
-    number = {}
-    alpha = np.zeros((width + 1, n, langs))
-    alpha[0] = 1
-    for end in range(1, width + 1):
-        for begin in range(max(0, end - LONGEST), end):
-            number[begin, end] = _piece_numbers(rows, begin, end, of)
-            alpha[end] += alpha[begin] * p[number[begin, end]]
-    beta = np.zeros_like(alpha)
-    beta[width] = counts / alpha[width]
-    out = np.zeros((of.size, langs))
-    for begin in range(width - 1, -1, -1):
-        for end in range(begin + 1, min(width, begin + LONGEST) + 1):
-            used = number[begin, end]
+    logs = np.zeros((width + 1, n, langs))
+    for end, log in _log_sums(rows, p, of):
+        logs[end] = log
+    cut = np.zeros_like(logs)
+    cut[np.full(n, width) if size is None else size, np.arange(n)] = counts
+    out = np.zeros(of.size * langs)
+    with np.errstate(divide="ignore"):
+        log_p = np.log(p)
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
+    for end, found in _places(rows, of, last_first=True):
+        for back, used in found:
             there = np.flatnonzero(used)
-            step = p[used[there]] * beta[end][there]
-            beta[begin][there] += step
-            step *= alpha[begin][there]
-            for lang in range(langs):
-                out[:, lang] += np.bincount(used[there], step[:, lang], of.size)
-    return out
+            if len(there):
+                number = used[there]
+                uses = cut[end][there] * np.exp(logs[end - back][there] - logs[end][there] + log_p[number])
+                cut[end - back][there] += uses
+                waiting.append(((number[:, None].astype(np.int64) * langs + np.arange(langs)).ravel(), uses.ravel()))
+                held += uses.size
+        if held and (held > 1 << 18 or end == 1):
+            place, uses = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            out += np.bincount(place, uses, len(out))
+            waiting, held = [], 0
+    return out.reshape(of.size, langs)
 
 
 def _by_length(starts: np.ndarray, ends: np.ndarray, coarse: bool):
@@ -177,10 +227,9 @@ def _add_counts(sample: DataFrame, languages: list[str], p: np.ndarray) -> np.nd
             counts = np.zeros((len(distinct), len(place)))
             np.add.at(counts, (back, own), 1.0)
             starts, ends = starts[first], ends[first]
-            for group in _by_length(starts, ends, False):
-                if ends[group[0]] - starts[group[0]] < LONGEST_LEARNT:
-                    rows, _ = _matrix(data, starts[group], ends[group])
-                    total += expected_counts(rows, counts[group], p, of)
+            for group in _by_length(starts, ends, True):
+                rows, size = _matrix(data, starts[group], ends[group])
+                total += expected_counts(rows, counts[group], p, of, size)
         piece, which = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(piece), pa.array(which), pa.array(total[piece, which])], names=["piece", "lang", "n"]
