@@ -38,6 +38,30 @@ def test_pages(page, text):
     assert ht.main_text(page) == text
 
 
+TEXT = "<p>The text, of some length, with commas, and more of it to score.</p>"
+PLAIN = TEXT[3:-4]
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<div id=content class='with-sidebar'>{TEXT}{TEXT}</div>", f"{PLAIN}\n\n{PLAIN}"),
+        (f"<article class='post has-comments'>{TEXT}</article>", PLAIN),
+        (f"<div class='sidebar'>{TEXT}</div>", PLAIN),
+        (f"<div class='widget'><main>{TEXT}</main></div>", PLAIN),
+        (f"<article>{TEXT}<section id='related-work'><p>Others, too.</p></section></article>", f"{PLAIN}\n\nOthers, too."),
+        (f"<article><div class='article-header'><h1>Head</h1></div>{TEXT}</article>", f"Head\n\n{PLAIN}"),
+        (f"<article><p>one <svg viewBox='0 0 1 1'/> two</p><p>x <math/>y</p>{TEXT}</article>", f"one two\n\nx y\n\n{PLAIN}"),
+        (f"<article><svg><path d='a'/><text>no</text></svg>{TEXT}</article>", PLAIN),
+        (f"<article><title-bar>kept</title-bar>{TEXT}<style-x>as well</style-x></article>", f"kept\n\n{PLAIN}\n\nas well"),
+        (f"<article>{TEXT}<ol><li><a href=x>A source</a></li></ol></article>", f"{PLAIN}\n\nA source"),
+        (f"<article>{TEXT}<div class='share'>Share, this</div><p>a <span class='ad'>Buy</span></p></article>", f"{PLAIN}\n\na"),
+    ],
+)
+def test_names_and_lists_take_no_article_text(page, text):
+    assert ht.main_text(page) == text
+
+
 def test_long_and_deep_pages():
     body = "".join(f"<p>Paragraph {i}, with words.</p>" for i in range(3000))
     assert ht.main_text(f"<article>{body}</article>").count("\n\n") == 2999

@@ -54,12 +54,14 @@ NO_ARTICLE_NAMES = frozenset(
 )
 BASE = {"article": 30.0, "main": 20.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0,
         "ul": -3.0, "ol": -3.0, "dl": -3.0, "address": -3.0, "header": -5.0}
+NAME_MALUS = 5.0  # points that a name of no article, in part or as id, costs an element
 SCORED = frozenset("p pre td blockquote li dd figcaption div section article main body center".split())
 KEEP_ANYWAY = frozenset("html body main article".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(sorted(RAW)) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?:svg|math)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
+    r"|<(?P<raw>" + "|".join(sorted(RAW)) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>"
     r"|<[a-z][^<>]*>?",
@@ -70,26 +72,32 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NAME_PARTS = re.compile(r"[^a-z0-9]+")
 
 
-def _no_article(tag: str, attrs: str, inside_article: bool) -> bool:
+NOT, NAMED, KEPT = 2, 1, 0  # no article by tag or role; by a class; neither
+
+
+def _no_article(tag: str, attrs: str, inside_article: bool) -> tuple[int, bool]:
+    """Whether an element holds no article, and whether its names cost points."""
     if tag in NO_TEXT or (tag == "header" and not inside_article):
-        return True
+        return NOT, False
     if not attrs or "=" not in attrs and "hidden" not in attrs or tag in KEEP_ANYWAY - {"article"}:
-        return False
+        return KEPT, False
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
     if found.get("role", "").lower() in NO_ARTICLE_ROLES or found.get("aria-hidden") == "true":
-        return True
+        return NOT, False
     if _HIDDEN.search(found.get("style", "")) or re.search(r"(?:^|\s)hidden(?:\s|$)", _ATTR.sub("", attrs)):
-        return True
-    named = f"{found.get('class', '')} {found.get('id', '')}".strip()
-    return bool(named) and not NO_ARTICLE_NAMES.isdisjoint(_NAME_PARTS.split(named.lower()))
+        return NOT, False
+    classes = found.get("class", "").lower()
+    parts = _NAME_PARTS.split(f"{classes} {found.get('id', '').lower()}")
+    named = not NO_ARTICLE_NAMES.isdisjoint(classes.split())
+    return NAMED if named else KEPT, not NO_ARTICLE_NAMES.isdisjoint(parts)
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "at", "score", "chars", "links", "dropped")
+    __slots__ = ("tag", "parent", "at", "score", "chars", "links", "dropped", "named", "malus", "holds", "points")
 
-    def __init__(self, tag: str, parent: _Node | None, at: int, dropped: bool):
-        self.tag, self.parent, self.at, self.dropped = tag, parent, at, dropped
-        self.score, self.chars, self.links = 0.0, 0, 0
+    def __init__(self, tag: str, parent: _Node | None, at: int, dropped: bool, named: bool = False, malus: float = 0.0):
+        self.tag, self.parent, self.at, self.dropped, self.named, self.malus = tag, parent, at, dropped, named, malus
+        self.score, self.chars, self.links, self.holds, self.points = 0.0, 0, 0, False, 0.0
 
 
 class _Page:
@@ -99,6 +107,8 @@ class _Page:
         self.root = _Node("#root", None, 0, False)
         self.stack = [self.root]
         self.blocks: list[tuple[_Node, str]] = []
+        self.linked_chars: list[int] = []
+        self.named: list[_Node] = []  # outer ones first
         self.text: list[str] = []
         self.linked = 0
 
@@ -107,18 +117,13 @@ class _Page:
         if self.text:
             block = " ".join("".join(self.text).split())
             if block:
-                holder = next(n for n in reversed(self.stack) if n.tag in BLOCK or n is self.root)
+                holder = next(n for n in reversed(self.stack) if n.tag in BLOCK or n.named or n is self.root)
                 self.blocks.append((holder, block))
-                links = min(self.linked, len(block))
-                node: _Node | None = holder
-                while node is not None:
-                    node.chars += len(block)
-                    node.links += links
-                    node = node.parent
+                self.linked_chars.append(min(self.linked, len(block)))
         self.text, self.linked = [], 0
 
     def pop_to(self, depth: int) -> None:
-        if any(n.tag in BLOCK or n.dropped for n in self.stack[depth:]):
+        if any(n.tag in BLOCK or n.dropped or n.named for n in self.stack[depth:]):
             self.flush()
         del self.stack[depth:]
 
@@ -141,13 +146,19 @@ class _Page:
             if tag in ENDS_LIKE:
                 self.close(*ENDS_LIKE[tag])
         top = self.stack[-1]
-        dropped = top.dropped
+        dropped, named, less = top.dropped, False, False
         if not dropped:
-            dropped = _no_article(tag, attrs, any(n.tag in ("article", "main") for n in self.stack))
-        if tag in BLOCK or (dropped and not top.dropped):
+            kind, less = _no_article(tag, attrs, any(n.tag in ("article", "main") for n in self.stack))
+            dropped, named = kind == NOT, kind == NAMED
+        if tag in BLOCK or named or (dropped and not top.dropped):
             self.flush()
         if tag not in VOID and not attrs.endswith("/"):
-            self.stack.append(_Node(tag, top, len(self.blocks), dropped))
+            if tag in ("article", "main") and not dropped:
+                for node in self.stack:
+                    node.holds = True
+            self.stack.append(_Node(tag, top, len(self.blocks), dropped, named, NAME_MALUS if less else 0.0))
+            if named:
+                self.named.append(self.stack[-1])
 
     def end(self, tag: str) -> None:
         if tag == "br":
@@ -178,13 +189,42 @@ class _Page:
                 (self.end if token["end"] else lambda t, a=token["attrs"]: self.start(t, a))(tag.lower())
         self.words(page[at:])
         self.flush()
+        self.settle()
+
+    def settle(self) -> None:
+        """Take out the elements that their class names, and add up the text of the others."""
+        total = 0.0
+        for holder, block in self.blocks if self.named else ():
+            points = _points(block)
+            total += points
+            node: _Node | None = holder
+            while node is not None:
+                node.points += points
+                node = node.parent
+        for node in self.named:
+            node.dropped = not node.holds and 2 * node.points <= total
+        left = []
+        for (holder, block), links in zip(self.blocks, self.linked_chars, strict=True):
+            above = [holder]
+            while above[-1].parent is not None:
+                above.append(above[-1].parent)
+            if not any(n.dropped for n in above):
+                left.append((holder, block))
+                for node in above:
+                    node.chars += len(block)
+                    node.links += links
+        self.blocks = left
+
+
+def _points(block: str) -> float:
+    return 1.0 + block.count(",") + block.count("،") + block.count("、") + min(len(block) / 100.0, 3.0)
 
 
 def _score(page: _Page) -> dict[int, _Node]:
     """Points of every paragraph to its ancestors, less with each step away."""
     candidates: dict[int, _Node] = {}
     for holder, block in page.blocks:
-        points = 1.0 + block.count(",") + block.count("،") + block.count("、") + min(len(block) / 100.0, 3.0)
+        points = _points(block)
         paragraph = holder.tag in ("p", "pre", "td", "li", "dd", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6")
         node, share, level = (holder.parent if paragraph else holder), 1.0, 0
         if holder.tag not in SCORED:
@@ -200,7 +240,7 @@ def _score(page: _Page) -> dict[int, _Node]:
 
 def _final(node: _Node) -> float:
     density = node.links / node.chars if node.chars else 0.0
-    return (node.score + BASE.get(node.tag, 0.0)) * (1.0 - density)
+    return (node.score + BASE.get(node.tag, 0.0) - node.malus) * (1.0 - density)
 
 
 def main_text(page: str | None) -> str:
@@ -239,7 +279,9 @@ def main_text(page: str | None) -> str:
         node = holder
         while node is not None and id(node) not in kept:
             node = node.parent
-        if node is not None and not (holder.tag in ("ul", "ol", "li") and _mostly_links(holder)):
+        # The container's own lists stay, unless it is the whole page.
+        inside = node is best and best.tag not in ("body", "html")
+        if node is not None and (inside or not (holder.tag in ("ul", "ol", "li") and _mostly_links(holder))):
             out.append(block)
     return "\n\n".join(out)
 
