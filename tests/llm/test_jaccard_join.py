@@ -61,6 +61,29 @@ def test_families_against_all_pairs(spark, seed):
     assert got(df) == brute(rows)
 
 
+@pytest.mark.parametrize("members", [jj.MEMBERS, 7])
+def test_every_link_is_found_and_counted(spark, monkeypatch, members):
+    monkeypatch.setattr(jj, "MEMBERS", members)
+    rng = random.Random(6)
+    texts = family(rng, 50, 150, 2) + family(rng, 30, 30, 1) + ["", None, "a b c d e f"]
+    texts += texts[:5] + texts[:2] + texts[-3:]
+    sets = [brute_set(t or "") for t in texts]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    found, links = jj.linked(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    found = {r.key: r for r in found.collect()}
+
+    def link(x, y):
+        return bool(x and y) and 100 * len(x & y) >= 85 * len(x | y)
+
+    want = [sum(link(x, y) for j, y in enumerate(sets) if i != j) for i, x in enumerate(sets)]
+    assert [found[i].n_links for i in range(len(rows))] == want
+    distinct = list({frozenset(x) for x in sets})
+    between = sum(link(x, y) for i, x in enumerate(distinct) for y in distinct[:i])
+    pairs = {frozenset((bytes(r.fp_a), bytes(r.fp_b))) for r in links.collect()}
+    assert len(pairs) == links.count() == between > 250
+    assert sorted(((r.key, r.n_shingles, r.component_id) for r in found.values()), key=repr) == brute(rows)
+
+
 def test_prefixes_share_enough_of_every_linked_pair():
     rng = np.random.default_rng(3)
     for _ in range(300):

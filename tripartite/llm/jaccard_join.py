@@ -6,11 +6,12 @@ both sizes are known. A document's l, the number of
 matches asked of its prefix, grows with the estimated cost of its candidates: a longer
 prefix costs one more entry a step, and asks for one more match before a pair is looked at.
 
-Only classes of links are wanted, so no group of near copies is expanded into all its
+For classes of links no group of near copies is expanded into all its
 pairs at first: in every prefix entry the members are paired with two hubs. The verified
 links join documents into components. What remains are entries that hold several
 components; there all pairs across components are counted, and those with enough matches
-verified. No link is lost, as a pair left out lies within one component already.
+verified. No class is lost, as a pair left out lies within one component already. Where the
+links themselves are wanted, :func:`linked` then counts all pairs within components as well.
 
 A pair is verified in two steps. Parity bitmaps give a lower bound on how much two sets
 differ and turn most unlinked pairs away; the texts of the others are compared in full.
@@ -37,6 +38,7 @@ PERCENT = 85
 MOST_MATCHES = 4
 FREQUENT = 200_000  # shingles whose frequency is known to the order
 FREQUENT_IN_BATCH = 3
+MEMBERS = 256  # of an entry and component that one salt pairs with all others
 PAIR_COST = 20  # of looking at one candidate, in prefix entries
 
 
@@ -236,8 +238,30 @@ def _remaining_pairs(entries: DataFrame, found: DataFrame) -> DataFrame:
     side = labelled.select("token", "component", "id", "n", "matches", "pos")
     a = side.select("token", *[F.col(c).alias(f"{c}_a") for c in side.columns[1:]])
     b = side.select("token", *[F.col(c).alias(f"{c}_b") for c in side.columns[1:]])
+    return _enough(a.join(b, "token").where("id_a < id_b and component_a <> component_b"))
+
+
+def _pairs_within(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """All pairs within components with as many matches as the lesser l of the two asks for.
+
+    An entry's members of one component are dealt to salts by their number, so that no
+    task has all pairs of a hot entry.
+    """
+    labelled = write_through(entries.join(found, "id"), "entries_within")
+    sizes = labelled.groupBy("token", "component").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("salts"), F.count(F.lit(1)).alias("size"))
+    side = labelled.join(sizes.where("size > 1").drop("size"), ["token", "component"])
+    by = ["token", "component", "salt"]
+    a = side.withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
+    b = side.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    a = a.select(*by, *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "matches", "pos")])
+    b = b.select(*by, *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "matches", "pos")])
+    return _enough(a.join(b, by).where("id_a < id_b"))
+
+
+def _enough(met: DataFrame) -> DataFrame:
+    """Of pairs that met in entries those with sizes and matches that allow a link."""
     matches = F.least("matches_a", "matches_b")
-    met = a.join(b, "token").where("id_a < id_b and component_a <> component_b").where(may_link("n_a", "n_b"))
+    met = met.where(may_link("n_a", "n_b"))
     # Only entries within both prefixes of that l count.
     met = met.where(within("pos_a", "n_a", "n_b", matches) & within("pos_b", "n_b", "n_a", matches))
     counted = met.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
@@ -321,25 +345,62 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     Documents that share a key but not their text are different nodes. An empty table
     gives an empty one; other columns are not read.
     """
-    batches(docs.sparkSession)
-    source = docs.select(F.col(f"`{key}`").alias("key"), text_of(text).alias("text"))
-    sets = write_through(_sets(source), "document_sets")
-    nodes = _nodes(source, _frequent(sets))
-    entries = _shared_entries(nodes)
-    first = _links(source, nodes, write_through(_hub_pairs(entries), "hub_pairs"))
-    found = write_through(components(first), "first_components")
-    pairs = write_through(_remaining_pairs(entries, found), "remaining_pairs")
-    if not pairs.isEmpty():
-        found = components(first.unionByName(_links(source, nodes, pairs)))
+    return _rows(_Joined(docs, key, text))
+
+
+class _Joined:
+    """The sets, nodes, entries and components that :func:`classes` and :func:`linked` share."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str):
+        batches(docs.sparkSession)
+        self.source = docs.select(F.col(f"`{key}`").alias("key"), text_of(text).alias("text"))
+        self.sets = write_through(_sets(self.source), "document_sets")
+        self.nodes = _nodes(self.source, _frequent(self.sets))
+        self.entries = _shared_entries(self.nodes)
+        first = _links(self.source, self.nodes, write_through(_hub_pairs(self.entries), "hub_pairs"))
+        self.found = write_through(components(first), "first_components")
+        pairs = write_through(_remaining_pairs(self.entries, self.found), "remaining_pairs")
+        if not pairs.isEmpty():
+            self.found = components(first.unionByName(_links(self.source, self.nodes, pairs)))
+
+
+def _rows(joined: _Joined, counts: DataFrame | None = None) -> DataFrame:
+    """A row for each document; with ``counts`` (fp, n_links) also its number of links."""
+    nodes, found = joined.nodes, joined.found
     named = found.join(nodes.select("id", "key"), "id")
     smallest = named.groupBy("component").agg(F.min("key").alias("component_id"))
     linked = found.join(smallest, "component").select("id", "component_id")
     by_set = nodes.join(linked, "id", "left").select("fp", F.coalesce("component_id", "key").alias("component_id"))
-    return (
-        sets.select("key", "fp", F.col("n").alias("n_shingles"))
-        .join(by_set, "fp", "left")
-        .withColumn("component_id", F.when(F.col("fp").isNull(), F.col("key")).otherwise(F.col("component_id")))
+    rows = joined.sets.select("key", "fp", F.col("n").alias("n_shingles")).join(
+        by_set if counts is None else by_set.join(counts, "fp"), "fp", "left"
+    )
+    rows = rows.withColumn("component_id", F.when(F.col("fp").isNull(), F.col("key")).otherwise(F.col("component_id")))
+    return rows if counts is None else rows.withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+
+
+def linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`classes` with ``n_links``, and all links between different sets.
+
+    ``n_links`` is how many other rows a document links with; rows with the same set of
+    shingles are among them, each for itself. The second table, (fp_a, fp_b), has every
+    pair of linked sets once; copies of one set are no pair there. A family of n different
+    near copies has up to n(n - 1)/2 links, and all of them are looked at, so this costs
+    more than the classes alone.
+    """
+    joined = _Joined(docs, key, text)
+    nodes = joined.nodes.select("id", "fp")
+    pairs = write_through(_pairs_within(joined.entries, joined.found), "pairs_within")
+    links = _links(joined.source, joined.nodes, pairs)
+    copies = nodes.join(joined.sets.groupBy("fp").agg(F.count(F.lit(1)).alias("copies")), "fp")
+    copies = write_through(copies, "copies")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(copies.select(F.col("id").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
+    counts = copies.join(others.withColumnRenamed("a", "id"), "id", "left").select(
+        "fp", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")
     )
+    named = links.join(nodes.select(F.col("id").alias("a"), F.col("fp").alias("fp_a")), "a")
+    named = named.join(nodes.select(F.col("id").alias("b"), F.col("fp").alias("fp_b")), "b").select("fp_a", "fp_b")
+    return _rows(joined, counts), named
 
 
 def drop_linked(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
