@@ -45,18 +45,16 @@ def parse_date(dirty: str) -> str:
     cleaned = f"regexp_extract({marked}, '{_DAY_TEXT}', 1)"
     # The usual shape is told apart without a regular expression.
     usual = f"length({dirty}) = 10 and substr({dirty}, 5, 1) = '-' and substr({dirty}, 8, 1) = '-'"
-    return (
-        f"case when {usual} then try_cast({dirty} as date)"
-        f" when {cleaned} <> '' then try_cast({cleaned} as date) end"
-    )
+    # Text of no known shape is cleaned to nothing, which is no date either.
+    return f"try_cast(if({usual}, {dirty}, {cleaned}) as date)"
 
 
 def strict_date(given: str) -> str:
     """Date of a column that is never dirty: text that is no full day raises an error,
     where a cast alone would read ``2025`` or ``2025-01`` as the first of January."""
-    parsed = parse_date(given)
     message = f"concat('not a calendar day: ', {given})"
-    return f"if({given} is null or {parsed} is not null, {parsed}, cast(raise_error({message}) as date))"
+    wrong = f"if({given} is null, null, raise_error({message}))"
+    return f"coalesce({parse_date(given)}, cast({wrong} as date))"
 
 
 def days_between(start: str, end: str) -> str:
