@@ -1,8 +1,8 @@
 """Queries of this library on the order-processing tables, and their DuckDB oracles.
 
-Every query reads its feeds through ``tripartite.sources.tpch``. Queries that need
-the fact join the lifecycles once, write them to the shared folder and detect from
-the written tables, as the pipeline does.
+Every query reads its feeds through ``tripartite.sources.tpch``. What a query writes on
+the way goes to the shared folder; run it inside ``sources.workspace(spark)`` to have that
+removed at the end.
 """
 
 from __future__ import annotations
@@ -78,17 +78,13 @@ def _claim_lifecycle(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _written(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return plans.write_lifecycles(_staged(spark, root, *FOR_BREAKS))
-
-
-def _breaks(spark: SparkSession, root: str) -> DataFrame:
+def _breaks(spark: SparkSession, root: str, as_of: date = AS_OF) -> DataFrame:
     """The fact without its key, which the aggregating reports do not need."""
-    return plans.build_breaks(_written(spark, root), AS_OF)
+    return plans.build_breaks(_staged(spark, root, *FOR_BREAKS), as_of)
 
 
-def _fact(spark: SparkSession, root: str) -> DataFrame:
-    return plans.build_fact(_written(spark, root), AS_OF)
+def _fact(spark: SparkSession, root: str, as_of: date = AS_OF) -> DataFrame:
+    return plans.build_fact(_staged(spark, root, *FOR_BREAKS), as_of)
 
 
 def _truth(spark: SparkSession, root: str) -> DataFrame:
@@ -146,8 +142,7 @@ def _materialize_breaks(spark: SparkSession, root: str) -> DataFrame:
 def _snapshot_incremental(spark: SparkSession, root: str) -> DataFrame:
     """Two days, and the first of them captured again to no effect."""
     path = scratch_path(spark, "fct_daily_break_snapshot")
-    lifecycle = _written(spark, root)
-    earlier, fact = (plans.build_fact(lifecycle, day) for day in (DAY_BEFORE, AS_OF))
+    earlier, fact = (_fact(spark, root, day) for day in (DAY_BEFORE, AS_OF))
     sources.snapshot_breaks(earlier, path, DAY_BEFORE)
     sources.snapshot_breaks(fact, path, DAY_BEFORE)
     sources.snapshot_breaks(fact, path, AS_OF)
@@ -175,8 +170,7 @@ def _snapshot_evolution(spark: SparkSession, root: str) -> DataFrame:
 
 def _delete_insert(spark: SparkSession, root: str) -> DataFrame:
     """Day one's high breaks corrected and day two added, by (snapshot_date, break_key)."""
-    lifecycle = _written(spark, root)
-    earlier, fact = (plans.build_fact(lifecycle, day) for day in (DAY_BEFORE, AS_OF))
+    earlier, fact = (_fact(spark, root, day) for day in (DAY_BEFORE, AS_OF))
     first = sources.snapshot_rows(earlier, DAY_BEFORE)
     corrected = first.where(F.col("severity") == "high").withColumn(
         "description", F.lit("rechecked")
@@ -188,8 +182,7 @@ def _delete_insert(spark: SparkSession, root: str) -> DataFrame:
 def _snapshot_correct(spark: SparkSession, root: str) -> DataFrame:
     """The same on the stored history: day one is rewritten, day two is new."""
     path = scratch_path(spark, "fct_daily_break_snapshot")
-    lifecycle = _written(spark, root)
-    earlier, fact = (plans.build_fact(lifecycle, day) for day in (DAY_BEFORE, AS_OF))
+    earlier, fact = (_fact(spark, root, day) for day in (DAY_BEFORE, AS_OF))
     sources.snapshot_breaks(earlier, path, DAY_BEFORE)
     first = sources.read_snapshot(spark, path)
     corrected = first.where(F.col("severity") == "high").withColumn(
@@ -200,6 +193,15 @@ def _snapshot_correct(spark: SparkSession, root: str) -> DataFrame:
     return sources.read_snapshot(spark, path)
 
 
+def _not_captured(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of two days of which the history has one."""
+    path = scratch_path(spark, "fct_daily_break_snapshot")
+    fact = _fact(spark, root)
+    sources.snapshot_breaks(fact, path, AS_OF)
+    both = sources.snapshot_rows(fact, AS_OF).unionByName(sources.snapshot_rows(fact, DAY_AFTER))
+    return sources.not_captured(both, sources.captured_dates(spark, path))
+
+
 def _pipeline_summary(spark: SparkSession, root: str) -> DataFrame:
     """The whole run, its tables counted. The fixture breaks the invariant, so no gate."""
     run = plans.run_pipeline(
@@ -233,10 +235,9 @@ def _detect_coverage_exceeded(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _all_breaks(spark: SparkSession, root: str) -> DataFrame:
-    written = _written(spark, root)
-    return op.all_breaks(
-        written["int_contract_lifecycle"], written["int_claim_lifecycle"], AS_OF
-    )
+    """Over the lifecycles, each a view that is read as often as it says."""
+    both = plans.lifecycles(_staged(spark, root, *FOR_BREAKS))
+    return op.all_breaks(both["int_contract_lifecycle"], both["int_claim_lifecycle"], AS_OF)
 
 
 # ---- reports and checks ----------------------------------------------------------------
@@ -245,25 +246,28 @@ def _all_breaks(spark: SparkSession, root: str) -> DataFrame:
 def _merchant_scorecard(spark: SparkSession, root: str) -> DataFrame:
     raw = _raw(spark, root, "merchants", *FOR_BREAKS)
     staged = op.stage_all(raw)
-    breaks = plans.build_breaks(plans.write_lifecycles(staged), AS_OF)
+    breaks = plans.build_breaks(staged, AS_OF)
     return plans.merchant_scorecard(breaks, raw["merchants"], staged["stg_contracts"])
 
 
 def _dq_results(spark: SparkSession, root: str) -> DataFrame:
     """All declared checks on the feeds, the staged tables, the fact and one snapshot.
 
-    Feeds and fact are scanned by several checks each, so they are written first.
+    Nulls and values out of the lists are counted while the feeds and the fact are written.
     """
-    raw = sources.write_all(_raw(spark, root, *RAW_SCHEMAS))
+    landed = plans.land_feeds(_raw(spark, root, *RAW_SCHEMAS), scratch_path(spark, "feeds"))
+    raw = {name: feed.rows for name, feed in landed.items()}
     staged = op.stage_all(raw)
-    fact = sources.write_through(
-        plans.build_fact(plans.write_lifecycles(staged), AS_OF), "fct_recon_breaks"
+    version, counted = plans.stage_counted(
+        plans.build_fact(staged, AS_OF), scratch_path(spark, "fct_recon_breaks"), AS_OF
     )
+    fact = version.read()
     marts = {
         "fct_recon_breaks": fact,
         "fct_daily_break_snapshot": sources.snapshot_rows(fact, AS_OF),
     }
-    return plans.run_checks(raw | staged | marts, invariant_on=staged)
+    counted |= plans.feed_counts(landed)
+    return plans.run_checks(raw | staged | marts, invariant_on=staged, counted=counted)
 
 
 def _dq_not_null(spark: SparkSession, root: str) -> DataFrame:
@@ -314,6 +318,7 @@ def queries() -> dict[str, Query]:
         "snapshot_schema_evolution": _snapshot_evolution,
         "snapshot_delete_insert": _delete_insert,
         "snapshot_correct": _snapshot_correct,
+        "snapshot_not_captured": _not_captured,
         "pipeline_summary": _pipeline_summary,
         # staging and lifecycles
         "stg_merchant_sales": _stage("merchant_sales"),
@@ -362,6 +367,12 @@ def queries() -> dict[str, Query]:
             ["timing_break", "overpayment", "coverage_exceeded"],
             ["high", "medium"],
         ),
+        "break_drilldown_order": lambda s, d: plans.break_drilldown_pages(
+            _fact(s, d),
+            ["timing_break", "overpayment", "coverage_exceeded"],
+            ["high", "medium"],
+        ),
+        "break_rollup": lambda s, d: plans.break_rollup(_breaks(s, d)),
         "break_report": lambda s, d: plans.break_report(
             _fact(s, d), "M001", AS_OF, ["amount_break", "timing_break"]
         ),

@@ -359,6 +359,12 @@ FROM fact WHERE break_type IN ('timing_break', 'overpayment', 'coverage_exceeded
 """
 
 
+_ROLLUP = f"""
+SELECT break_type, severity, {_BUCKET} ELSE '{OLDEST_BUCKET}' END AS aging_bucket, merchant_id,
+       count(*) AS breaks, CAST(sum(amount_at_risk) AS DECIMAL(34,2)) AS amount_at_risk,
+       CAST(sum(days_open) AS BIGINT) AS days_open, count(days_open) AS dated, max(days_open) AS longest_open
+FROM fact GROUP BY ALL"""
+
 _CORRECTED = (
     "SELECT * REPLACE (CASE WHEN severity = 'high' THEN 'rechecked' ELSE description END AS description) FROM ("
     + _day(DAY_BEFORE, "earlier")
@@ -457,6 +463,10 @@ def oracle_sql() -> dict[str, str]:
             break_filter_values="SELECT DISTINCT 'break_type' AS filter, break_type AS value FROM fact"
             " UNION ALL SELECT DISTINCT 'severity', severity FROM fact",
             break_drilldown=_DRILLDOWN,
+            break_drilldown_order="SELECT * EXCLUDE (break_key), row_number() OVER (ORDER BY severity, days_open DESC,"
+            f" break_key) AS position FROM ({_DRILLDOWN.replace('description', 'description, break_key')})",
+            break_rollup=_ROLLUP,
+            snapshot_not_captured=_day("2001-08-02"),
             break_report="SELECT * FROM fact"
             " WHERE merchant_id = 'M001' AND break_type IN ('amount_break', 'timing_break')",
             detected_counts="SELECT break_type, count(*) AS detected FROM fact GROUP BY break_type",

@@ -91,6 +91,6 @@ def payments(spark, *rows):
 
 
 def rows(df, *columns):
-    """Sorted tuples of the given columns."""
+    """Sorted tuples of the given columns, or of all."""
     picked = df.select(*columns) if columns else df
     return sorted((tuple(r) for r in picked.collect()), key=repr)

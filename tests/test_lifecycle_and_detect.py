@@ -124,10 +124,53 @@ def test_contract_without_sale_id_is_an_orphan(spark):
 
 def test_paid_orphan_claim(spark):
     both = claim(spark, "80.00", "80.00", "80.00", contract_id="C404", limit="1.00")
-    found = op.claim_breaks(both[1]).unionByName(op.detect_coverage_exceeded(*both))
+    found = op.claim_breaks(both[1], both[0])
     assert sorted(types(found)) == ["duplicate_claim", "orphan_claim"]
 
 
+def test_one_read_of_the_claims_finds_what_the_rules_find(spark):
+    """Repeated and null ids, copies of payments and claims, terms that are repeated."""
+    held = contracts(
+        spark,
+        ("C1", "S1", "M1", "2025-01-01", "50.00", "100.00"), ("C2", "S2", "M1", "2025-01-01", "50.00", None),
+        ("C3", "S3", "M2", "2025-01-01", "50.00", "10.00"), ("C3", "S4", "M3", "2025-01-02", "50.00", "20.00"),
+        (None, "S5", "M1", "2025-01-01", "50.00", "1.00"),
+    )
+    filed = claims(
+        spark,
+        ("K1", "C1", "V1", "2025-03-01", "80.00"), ("K1", "C3", "V0", "2025-03-02", "81.00"),
+        ("K2", "C404", "V1", "2025-03-01", "80.00"), ("K2", "C404", "V1", "2025-03-01", "80.00"),
+        ("K3", "C3", None, None, None), ("K4", None, "V1", "2025-03-01", "5.00"), (None, "C1", "V1", "2025-03-01", "5.00"),
+        ("K5", "C2", "V1", "2025-03-01", "5.00"),
+    )
+    made = payments(
+        spark,
+        ("R1", "K1", "V9", "2025-03-20", "60.00"), ("R2", "K1", "V9", "2025-03-20", "90.00"),
+        ("R2", "K1", "V9", "2025-03-20", "90.00"), ("R3", "K2", "V9", "2025-03-20", "80.02"),
+        ("R4", "K3", "V9", "2025-03-20", "30.00"), ("R5", "K4", "V9", "2025-03-20", None),
+        ("R6", None, "V9", "2025-03-20", "30.00"), ("R7", "K5", "V9", None, "30.00"),
+    )
+    sold = sales(spark, ("S1", "M1", "2025-01-01", "50.00", "50.00", "2025-01-02"))
+    contract, claim_rows = op.contract_lifecycle(held, sold), op.claim_lifecycle(filed, made, held)
+    apart = (
+        op.detect_orphan_claim(claim_rows)
+        .unionByName(op.detect_duplicate_claim(claim_rows))
+        .unionByName(op.detect_overpayment(claim_rows))
+        .unionByName(op.detect_coverage_exceeded(contract, claim_rows))
+    )
+    together = op.claim_breaks(claim_rows, contract)
+    assert together.schema == apart.schema
+    assert rows(together) == rows(apart)
+    assert len(rows(apart)) > 8
+    # Without the orphans: payments with their claims alone.
+    paid = op.paid_claims(filed, made)
+    assert rows(op.claim_breaks(paid, op.contract_terms(held))) == rows(
+        op.detect_duplicate_claim(paid)
+        .unionByName(op.detect_overpayment(paid))
+        .unionByName(op.detect_coverage_exceeded(op.contract_terms(held), paid))
+    )
+
+
 def test_orphan_claim_needs_no_payments(spark):
     filed = claims(spark, ("K1", "C404", "V1", "2025-03-01", "80.00"), ("K2", None, "V1", "2025-03-01", "5.00"))
     held = contracts(spark, ("C1", "S1", "M1", "2025-01-01", "50.00", "500.00"))

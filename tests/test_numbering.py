@@ -31,7 +31,7 @@ def test_keys_equal_a_global_row_number(spark, tmp_path):
         fact = with_break_key(finished, str(tmp_path))
         assert fact.columns == FACT_COLUMNS
         placed = spark.read.parquet(str(tmp_path / "ordered"))
-        parts = placed.groupBy(F.shiftright("_place", 33)).count().collect()
+        parts = placed.groupBy("_metadata.file_name").count().collect()
     whole = Window.orderBy(*[F.col(c).asc_nulls_last() for c in BREAK_ORDER])
     expected = finished.withColumn("break_key", F.row_number().over(whole).cast("bigint"))
     identity = ["break_key", *BREAK_ORDER]
@@ -55,13 +55,28 @@ def test_a_third_of_the_rows_being_copies_is_split(spark, tmp_path):
     with conf(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
         numbered = number_rows(rows, ["x", "y"], "n", str(tmp_path))
         placed = spark.read.parquet(str(tmp_path / "ordered"))
-        parts = [r["count"] for r in placed.groupBy(F.shiftright("_place", 33)).count().collect()]
+        parts = [r["count"] for r in placed.groupBy("_metadata.file_name").count().collect()]
     assert len(parts) == 4 and max(parts) < 3200
     found = numbered.orderBy("n").collect()
     assert [r["n"] for r in found] == list(range(1, 9001))
     assert [r["x"] for r in found] == sorted(r["x"] for r in found)
 
 
+def test_several_files_of_one_task_are_in_order(spark, tmp_path):
+    with conf(spark, {"spark.sql.files.maxRecordsPerFile": "700"}):
+        numbered = number_rows(spark.range(9000).selectExpr("9000 - id as x").repartition(5), ["x"], "n", str(tmp_path))
+        found = numbered.collect()
+    assert len(list((tmp_path / "ordered").glob("part-*"))) >= 13
+    assert all(r["n"] == r["x"] for r in found)
+
+
+def test_offsets_come_from_footers(spark, tmp_path):
+    numbered = number_rows(spark.range(100).selectExpr("id as x", "id as y"), ["x"], "n", str(tmp_path))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["ordered", "unordered"]
+
+
 def test_numbering_an_empty_table(spark):
     empty = spark.range(0).withColumnRenamed("id", "x")
     assert number_rows(empty, ["x"]).count() == 0

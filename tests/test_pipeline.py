@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -5,6 +6,7 @@ import pytest
 from tripartite import operators as op
 from tripartite import plans, sources
 from tripartite.plans import quality
+from tripartite.schemas import FACT_FIELDS
 
 import feeds
 from conftest import AS_OF, conf, rows
@@ -28,7 +30,7 @@ def test_full_run_passes_all_checks_and_keeps_history(spark, tmp_path):
     assert run.snapshot_written
     assert dict(rows(plans.detected_counts(run.tables["fct_recon_breaks"]))) == feeds.EXPECTED
     for name in ("break_aging", "merchant_scorecard", "fct_recon_breaks"):
-        assert spark.read.parquet(f"{out}/{name}").count() == run.tables[name].count()
+        assert sources.read_table(spark, f"{out}/{name}").count() == run.tables[name].count()
     # Again on the same day, then on the next.
     assert not plans.run_pipeline(raw, out, AS_OF, snapshot_date=DAY1).snapshot_written
     again = plans.run_pipeline(raw, out, AS_OF, snapshot_date=DAY2)
@@ -53,13 +55,13 @@ def test_failing_check_is_raised_once_and_can_be_reported_instead(spark, tmp_pat
         lambda f: f["servicer_reimbursements"].append("R99,K7,V1,2025-04-20,1000.01"),
     )
     attempts = []
-    original = quality.reimbursement_within_coverage
-    monkeypatch.setattr(
-        quality, "reimbursement_within_coverage", lambda *t: attempts.append(1) or original(*t)
-    )
+    original = quality.over_coverage
+    monkeypatch.setattr(quality, "over_coverage", lambda *t: attempts.append(1) or original(*t))
     with pytest.raises(plans.QualityError, match="reimbursement_never_exceeds_coverage"):
         plans.run_pipeline(raw, str(tmp_path / "out"), AS_OF, snapshot_date=DAY1)
     assert len(attempts) == 1
+    # Neither a commit nor a version that was not published is left.
+    assert not list((tmp_path / "out").rglob("*.json")) and not list((tmp_path / "out").rglob("*.parquet"))
     run = plans.run_pipeline(raw, str(tmp_path / "out2"), AS_OF, snapshot_date=DAY1, gate=False)
     assert run.checks == {"pass": 47, "fail": 1}
 
@@ -137,22 +139,66 @@ def test_rebuild_drops_types_that_no_longer_occur(spark, tmp_path, mode):
 def test_feeds_are_parsed_once(spark, tmp_path, monkeypatch):
     raw = raw_feeds(spark, tmp_path / "feeds")
     planned = []
-    from tripartite.plans import pipeline
-
-    original = pipeline.quality.run_checks
+    original = quality.run_checks
 
     def keep(*args, **named):
         result = original(*args, **named)
         planned.append(result._jdf.queryExecution().executedPlan().toString())
         return result
 
-    monkeypatch.setattr(pipeline.quality, "run_checks", keep)
+    monkeypatch.setattr(quality, "run_checks", keep)
     run = plans.run_pipeline(raw, str(tmp_path / "out"), AS_OF, snapshot_date=DAY1)
-    assert len(planned) == 2 and not any("csv" in p.lower().split("location")[0] for p in planned)
-    assert all("FileScan csv" not in p for p in planned)
+    assert len(planned) == 2 and all("FileScan csv" not in p for p in planned)
+    # Nulls and listed values were counted while the tables were written: what is read are
+    # the keys, and the payments with their limits.
+    reads = [c for p in planned for c in re.findall(r"ReadSchema: struct<(.*?)>", p)]
+    fields = {c.split(":")[0] for read in reads for c in read.split(",") if ":" in c}
+    assert "premium" not in fields and "severity" not in fields and "product_price" not in fields
+    assert all("count_if" not in p and "isnull(break_type" not in p for p in planned)
     lifecycle = run.tables["int_contract_lifecycle"]._jdf.queryExecution().executedPlan().toString()
-    assert "FileScan csv" not in lifecycle
-    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    assert "FileScan csv" not in lifecycle and "Exchange" not in lifecycle.replace("BroadcastExchange", "")
+
+
+def test_settings_are_as_before(spark, tmp_path):
+    width = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    raw = raw_feeds(spark, tmp_path / "feeds")
+    for given in (None, "3"):
+        with conf(spark, {"spark.sql.session.timeZone": "Asia/Tokyo", width: "3"}):
+            if given is None:
+                spark.conf.unset(width)
+            plans.run_pipeline(raw, str(tmp_path / f"out{given}"), AS_OF, snapshot_date=DAY1)
+            assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+            assert spark.conf.get(width, None) == given
+
+
+def test_null_and_unlisted_values_are_counted_while_writing(spark, tmp_path):
+    bad = raw_feeds(spark, tmp_path / "feeds", lambda f: f["contracts"].extend([",S1,M1,2025-03-01,1.0,1.0,12,x", "C99,,M1,2025-03-01,,1.0,12,x"]))
+    landed = plans.land_feeds(bad, str(tmp_path / "landed"))
+    counted = {c: n for c, n in plans.feed_counts(landed).items() if n}
+    assert counted == {
+        "not_null_contracts_contract_id": 1, "not_null_stg_contracts_contract_id": 1,
+        "not_null_stg_contracts_sale_id": 1, "not_null_stg_contracts_premium": 1,
+    }
+    raw = {n: f.rows for n, f in landed.items()}
+    tables = raw | op.stage_all(raw)
+    assert rows(plans.run_checks(tables, counted=plans.feed_counts(landed))) == rows(plans.run_checks(tables))
+    fact = spark.createDataFrame([("no_break", "high"), ("no_break", None), ("other", "low"), ("overpayment", "low")], "break_type string, severity string")
+    full = fact.selectExpr(*[c if c in fact.columns else f"cast(null as {k}) as {c}" for c, k in FACT_FIELDS.items()])
+    version, counted = plans.stage_counted(full, str(tmp_path / "fact"), DAY1)
+    assert counted["accepted_values_fct_recon_breaks_break_type"] == 3
+    marts = {"fct_recon_breaks": version.read(), "fct_daily_break_snapshot": sources.snapshot_rows(version.read(), DAY1)}
+    assert rows(plans.run_checks(marts, counted=counted)) == rows(plans.run_checks(marts))
+
+
+def test_reports_from_the_rollup_equal_those_from_the_fact(spark, tmp_path):
+    run = plans.run_pipeline(raw_feeds(spark, tmp_path / "feeds"), str(tmp_path / "out"), AS_OF, snapshot_date=DAY1)
+    undated = run.tables["fct_recon_breaks"].selectExpr("* except (opened_at, days_open, merchant_id)", "cast(null as date) opened_at", "cast(null as int) days_open", "merchant_id")
+    for fact in (run.tables["fct_recon_breaks"], undated, undated.where("false")):
+        rollup = plans.break_rollup(fact)
+        for report in ("break_aging", "kpi_summary", "break_type_summary", "break_filter_values", "merchant_breaks", "detected_counts"):
+            from_fact, from_rollup = getattr(plans, report)(fact), getattr(plans, report)(rollup)
+            assert from_fact.dtypes == from_rollup.dtypes
+            assert rows(from_fact) == rows(from_rollup)
 
 
 def test_truth_gate(spark, tmp_path):

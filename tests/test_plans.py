@@ -1,18 +1,21 @@
 """What the physical plans look like, and that hot keys are split without changing results."""
 
+import os
 import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripartite import operators as op
 from tripartite import plans
 from tripartite.schemas import BREAK_TYPES
 from tripartite.session import tune
-from tripartite.sources import tpch
+from tripartite.sources import layout, tpch
+from tripartite.sources.scratch import source_bytes
 
 import __spark_entry__ as driver
-from conftest import SF_DIR, conf
+from conftest import SF_DIR, conf, rows
 
 # Thresholds scaled down to the size of the test data.
 SMALL = {
@@ -100,10 +103,9 @@ def test_hot_keys_are_split(spark, hot):
 
 def test_results_under_hot_keys_match_brute_force(spark, hot):
     with conf(spark, SMALL):
-        written = plans.write_lifecycles(hot)
-        found = op.all_breaks(
-            written["int_contract_lifecycle"], written["int_claim_lifecycle"], tpch.AS_OF
-        ).collect()
+        both = plans.lifecycles(hot)
+        found = op.all_breaks(both["int_contract_lifecycle"], both["int_claim_lifecycle"], tpch.AS_OF).collect()
+        lazy = plans.build_breaks(hot, tpch.AS_OF).collect()
         rows = {name: df.collect() for name, df in hot.items()}
     contracts = {r["contract_id"]: r for r in rows["stg_contracts"]}
     sales = {r["sale_id"]: r for r in rows["stg_merchant_sales"]}
@@ -136,6 +138,7 @@ def test_results_under_hot_keys_match_brute_force(spark, hot):
         if len(paid) > 1:
             expected["duplicate_claim", claim["claim_id"], sum(paid) - claim["claim_amount"]] += 1
     assert Counter((r["break_type"], r["entity_id"], r["amount_at_risk"]) for r in found) == expected
+    assert Counter((r["break_type"], r["entity_id"], r["amount_at_risk"]) for r in lazy) == expected
     # All sales are paid, so there are no timing breaks.
     assert {k[0] for k in expected} == set(BREAK_TYPES) - {"timing_break"}
 
@@ -207,14 +210,16 @@ def test_lookup_filters_reach_the_scan(spark, tmp_path):
     assert "claim_date" not in plan
 
 
-def test_written_fact_is_pruned_by_column(spark, tmp_path, staged):
-    written = plans.write_lifecycles(staged)
-    breaks = plans.build_breaks(written, tpch.AS_OF)
-    plan = plan_of(plans.detected_counts(breaks.where("break_type = 'orphan_contract'")))
-    # Only the contract side is left, and its money columns are not read for a count.
-    assert "int_claim_lifecycle" not in plan
+def test_breaks_are_pruned_by_column(spark, tmp_path, staged):
+    """A count of breaks reads no wording, no money but what decides, and no orphan claims
+    where another type is asked for."""
+    for name in staged:
+        staged[name].write.parquet(f"{tmp_path}/{name}")
+    held = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in staged}
+    plan = plan_of(plans.detected_counts(plans.build_breaks(held, tpch.AS_OF).where("break_type = 'orphan_contract'")))
     scans = re.findall(r"ReadSchema: (\S+)", plan)
-    assert scans
+    assert not any("term_months" in s or "product_price" in s or "customer_email" in s for s in scans)
+    assert plan.count("FileScan") == 5  # contracts and sales; claims, payments and terms
 
 
 UNNUMBERED = [
@@ -247,7 +252,107 @@ def test_only_partition_counts_meet_in_one_task(spark, name):
 def test_shuffle_width_follows_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     with conf(spark, {key: "4"}):
+        tune(spark, input_bytes=1 << 40)
+        assert int(spark.conf.get(key)) == 4096
         tune(spark, input_bytes=100 << 40)
-        assert int(spark.conf.get(key)) == 100000
+        assert int(spark.conf.get(key)) == 32768
         tune(spark, input_bytes=1)
         assert int(spark.conf.get(key)) == spark.sparkContext.defaultParallelism
+
+
+def test_size_is_that_of_the_files_not_of_the_join(spark, tmp_path):
+    """Feeds with a join inside count the files they read, once each."""
+    raw = tpch.raw_sources(spark, SF_DIR)
+    read = ["nation", "supplier", "orders", "customer", "lineitem"]
+    assert source_bytes(*raw.values()) == sum(os.path.getsize(f"{SF_DIR}/{t}.parquet") for t in read)
+    landed = plans.land_feeds(raw, str(tmp_path / "feeds"))
+    for name, feed in landed.items():
+        written = sum(f.stat().st_size for f in (tmp_path / "feeds" / name).glob("part-*"))
+        assert written <= feed.size <= written * 1.1 + 1000  # checksums beside the parts
+        assert feed.count == raw[name].count()
+
+
+def test_one_read_of_the_lifecycles(spark, tmp_path, staged):
+    both = {}
+    for name, df in plans.lifecycles(staged).items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        both[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    found = op.all_breaks(both["int_contract_lifecycle"], both["int_claim_lifecycle"], tpch.AS_OF)
+    plan = plan_of(found)
+    assert plan.count("FileScan parquet") == 3
+    assert len(re.findall(r"ReadSchema: struct<[^>]*reimbursement_id", plan)) == 1
+
+
+# ---- layouts by key --------------------------------------------------------------------
+
+
+def laid_out(spark, feeds_by_name, folder):
+    raw = {f.removeprefix("stg_"): df for f, df in feeds_by_name.items()}
+    for name, columns in (("merchants", "merchant_id, 'x' merchant_name, 'y' category"), ("servicers", "merchant_id servicer_id, 'x' servicer_name")):
+        raw.setdefault(name, raw["merchant_sales"].selectExpr(*columns.split(", ")).distinct())
+    # Raw feeds are text.
+    raw["merchant_sales"] = raw["merchant_sales"].withColumn("customer_email", F.lit(None).cast("string"))
+    raw = {n: df.select(*[F.col(c).cast("string") for c in df.columns]) for n, df in raw.items()}
+    landed = plans.land_feeds(raw, f"{folder}/feeds")
+    staged = op.stage_all({n: f.rows for n, f in landed.items()})
+    laid = plans.lay_out_feeds(landed, staged, str(folder))
+    return landed, staged, laid, plans.lifecycle_views(landed, laid, str(folder))
+
+
+def test_joins_on_laid_out_tables_do_not_shuffle(spark, tmp_path, staged):
+    raw = tpch.raw_sources(spark, SF_DIR)
+    landed = plans.land_feeds(raw, str(tmp_path / "feeds"))
+    typed = op.stage_all({n: f.rows for n, f in landed.items()})
+    laid = plans.lay_out_feeds(landed, typed, str(tmp_path))
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        both = plans.lifecycle_views(landed, laid, str(tmp_path))
+        for view, joins in (("int_contract_lifecycle", 1), ("int_claim_lifecycle", 1)):
+            plan = plan_of(both[view])
+            assert plan.count("SortMergeJoin") == joins and "Exchange" not in plan
+        over = plan_of(plans.over_coverage(both["int_claim_lifecycle"]))
+        assert "Exchange" not in over
+        key = laid["contract_id"]["contracts"].even.select("contract_id")
+        assert "Exchange" not in plan_of(plans.unique(key, "contract_id"))
+    assert rows(both["int_claim_lifecycle"]) == rows(plans.lifecycles(staged)["int_claim_lifecycle"])
+    assert rows(both["int_contract_lifecycle"]) == rows(plans.lifecycles(staged)["int_contract_lifecycle"])
+    # Nothing stays in the catalog.
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("tripartite_")]
+
+
+def test_hot_keys_are_kept_apart_and_split(spark, hot, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "LEAST_HOT", 100)
+    with conf(spark, SMALL):
+        landed, _, laid, both = laid_out(spark, hot, tmp_path)
+        payments = laid["claim_id"]["servicer_reimbursements"]
+        assert rows(payments.hot.select("claim_id").distinct()) == [("K9",)]
+        assert payments.even.where("claim_id = 'K9'").isEmpty()
+        assert payments.rows().count() == N
+        sizes = [r["count"] for r in payments.even.groupBy("_metadata.file_name").count().collect()]
+        assert max(sizes) < 2 * sum(sizes) / len(sizes)
+        claims = laid["contract_id"]["claims"]
+        assert rows(claims.hot.select("contract_id").distinct()) == [("C5",)]
+        assert rows(laid["sale_id"]["contracts"].hot.select("sale_id").distinct()) == [("S7",)]
+        plan = final_plan(both["int_claim_lifecycle"])
+        assert re.search(r"skew=true\) \[coalesce\(claim_id.*Inner", plan)
+        expected = plans.lifecycles(hot)
+        for view in both:
+            assert both[view].exceptAll(expected[view].select(*both[view].columns)).isEmpty()
+            assert both[view].count() == expected[view].count()
+        found = op.all_breaks(
+            both["int_contract_lifecycle"], both["int_claim_lifecycle"], tpch.AS_OF,
+            terms=op.contract_terms(laid["contract_id"]["contracts"].rows()),
+        )
+        assert rows(found) == rows(plans.build_breaks(hot, tpch.AS_OF), *found.columns)
+
+
+def test_many_rows_without_a_key_are_kept_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "LEAST_HOT", 100)
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, null, cast(id as string)) as k", "id")
+    found = layout.land({"t": df}, str(tmp_path / "a"), {"t": {"odd": "id % 2 = 1"}}, {"t": ["k"]}, 8)["t"]
+    assert (found.count, found.counted, found.frequent["k"][None]) == (3000, {"odd": 1500}, 1000)
+    assert layout.hot_keys([(found.count, found.frequent["k"])], 8) == [None]
+    kept = layout.lay_out({"t": (found.rows, "k")}, 1, lambda buckets: [None], str(tmp_path / "b"))["t"]
+    assert kept.hot.count() == 1000 and kept.even.where("k is null").isEmpty()
+    empty = layout.land({"t": df.where("id < 0")}, str(tmp_path / "c"), {"t": {"odd": "id % 2 = 1"}}, {"t": ["k"]}, 8)["t"]
+    assert (empty.count, empty.counted) == (0, {"odd": 0})
+    assert layout.lay_out({"t": (empty.rows, "k")}, 1, lambda buckets: [], str(tmp_path / "d"))["t"].rows().count() == 0

@@ -14,7 +14,7 @@ from conftest import AS_OF, rows
 def built(spark, tmp_path_factory):
     raw = sources.read_raw_sources(spark, feeds.write(tmp_path_factory.mktemp("feeds")))
     staged = op.stage_all(raw)
-    fact = plans.build_fact(plans.write_lifecycles(staged), AS_OF).cache()
+    fact = plans.build_fact(staged, AS_OF).cache()
     yield raw, staged, fact
     fact.unpersist()
 

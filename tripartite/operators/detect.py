@@ -3,19 +3,20 @@
 Each break type is a :class:`BreakRule`: when a row is a break, and what is reported
 of it. Five rules look at a single lifecycle row, so several of them can share one
 read of the lifecycle (:func:`contract_breaks`). The rules for duplicate claims and
-exceeded coverage look at a row per claim and per contract, formed by aggregation.
+exceeded coverage look at a row per claim and per contract, formed by aggregation;
+:func:`claim_breaks` forms both, and the other breaks of claims, from one read.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripartite.functions import day, days_between, describe, money_total, text
-from tripartite.schemas import MONEY_TOTAL
+from tripartite.schemas import MONEY, MONEY_TOTAL
 
 SLA_DAYS = 14
 HIGH_AFTER_DAYS = 30
@@ -236,13 +237,92 @@ def contract_breaks(
     return _one_pass(contract_lifecycle, rules)
 
 
-def claim_breaks(claim_lifecycle: DataFrame) -> DataFrame:
-    """Orphan claims, duplicates and overpayments."""
-    return (
-        detect_overpayment(claim_lifecycle)
-        .unionByName(detect_orphan_claim(claim_lifecycle))
-        .unionByName(detect_duplicate_claim(claim_lifecycle))
+# What a row of the claim lifecycle counts towards: columns that tell groups apart, the
+# most selective first, and columns that are aggregated in each group.
+_GROUP = {
+    "id": "string", "rule": "string", "servicer": "string", "opened": "date", "claimed": MONEY, "copy": "bigint"
+}
+_SUMMED = {"any_servicer": "string", "first_filed": "date", "most_claimed": MONEY, "paid": MONEY}
+
+
+def _part(rule: str, **values: str) -> str:
+    """A struct of :data:`_GROUP` and :data:`_SUMMED`; what is not given is null."""
+    given = values | {"rule": text(rule)}
+    fields = [f"cast({given.get(c, 'null')} as {kind}) as {c}" for c, kind in (_GROUP | _SUMMED).items()]
+    return f"struct({', '.join(fields)})"
+
+
+_PARTS = {
+    "orphan_claim": (
+        "is_orphan_claim",
+        _part("orphan_claim", id="claim_id", servicer="claim_servicer_id", opened="claim_date", claimed="claim_amount"),
+    ),
+    # Each payment stands for itself, even if it is repeated.
+    "overpayment": (
+        "is_overpayment",
+        _part("overpayment", id="reimbursement_id", servicer="claim_servicer_id", opened="paid_date",
+              claimed="claim_amount", copy="copy", paid="paid_amount"),
+    ),
+    "duplicate_claim": (
+        "reimbursement_id is not null",
+        _part("duplicate_claim", id="claim_id", any_servicer="claim_servicer_id", first_filed="claim_date",
+              most_claimed="claim_amount", paid="paid_amount"),
+    ),
+    "coverage_exceeded": (
+        "reimbursement_id is not null and claim_contract_id is not null",
+        _part("coverage_exceeded", id="claim_contract_id", paid="coalesce(paid_amount, 0)"),
+    ),
+}
+
+
+def claim_breaks(claims: DataFrame, terms: DataFrame) -> DataFrame:
+    """Orphan claims, duplicates, overpayments and exceeded coverage from one read of the
+    claim lifecycle, or of :func:`paid_claims`, which has no orphans.
+
+    A row goes into the groups of the rules it counts for: its claim, its contract, itself
+    if it is an overpayment. All groups form in one shuffle, summed up before it, so a hot
+    claim or contract sends one row per task. The contracts' totals then meet ``terms``, the
+    contract lifecycle or :func:`contract_terms`; finished breaks pass that join without a
+    partner, under keys that spread them over its tasks.
+    """
+    parts = [part for rule, part in _PARTS.items() if rule != "orphan_claim" or part[0] in claims.columns]
+    counted = ", ".join(f"if({condition}, {part}, null)" for condition, part in parts)
+    groups = (
+        claims.selectExpr("*", "monotonically_increasing_id() as copy")
+        .selectExpr(f"inline(array_compact(array({counted})))")
+        .groupBy(*_GROUP)
+        .agg(
+            F.min("any_servicer").alias("any_servicer"),
+            F.min("first_filed").alias("first_filed"),
+            F.max("most_claimed").alias("most_claimed"),
+            F.sum("paid").cast(MONEY_TOTAL).alias("total_paid"),
+            F.count(F.lit(1)).alias("payments"),
+        )
+        .where("rule <> 'duplicate_claim' or payments > 1")
     )
+    # Under the names that the rules use.
+    found = groups.selectExpr(
+        "rule",
+        "id as claim_id",
+        "id as reimbursement_id",
+        "coalesce(servicer, any_servicer) as claim_servicer_id",
+        "coalesce(opened, first_filed) as claim_date",
+        "opened as paid_date",
+        "coalesce(claimed, most_claimed) as claim_amount",
+        "total_paid",
+        "payments",
+        "if(rule = 'coverage_exceeded', id, concat('\u0000', id)) as held_against",
+    )
+    held = terms.select("contract_id", "contract_merchant_id", "issued_date", "coverage_limit")
+    met = (F.col("held_against") == F.col("contract_id")) & (F.col("rule") == "coverage_exceeded")
+    one_payment = replace(
+        OVERPAYMENT, condition="true", amount="total_paid - claim_amount", measured=("total_paid", "claim_amount")
+    )
+    rules = [
+        replace(rule, condition=f"rule = {text(rule.break_type)} and {rule.condition}")
+        for rule in (replace(ORPHAN_CLAIM, condition="true"), one_payment, DUPLICATE_CLAIM, COVERAGE_EXCEEDED)
+    ]
+    return _one_pass(found.join(held, met, "left"), rules)
 
 
 def all_breaks(
@@ -251,13 +331,13 @@ def all_breaks(
     as_of: date,
     sla_days: int = SLA_DAYS,
     high_after_days: int = HIGH_AFTER_DAYS,
+    terms: DataFrame | None = None,
 ) -> DataFrame:
-    """Every break, unnumbered. Each lifecycle is read more than once, so pass
-    written tables rather than open joins where the inputs are large."""
-    return (
-        contract_breaks(contract_lifecycle, as_of, sla_days, high_after_days)
-        .unionByName(claim_breaks(claim_lifecycle))
-        .unionByName(detect_coverage_exceeded(contract_lifecycle, claim_lifecycle))
+    """Every break, unnumbered. The claim lifecycle is read once, the contract lifecycle
+    once for its own rules and once for the terms of the contracts, unless ``terms``
+    (:func:`contract_terms`) are given. Neither needs to be written before."""
+    return contract_breaks(contract_lifecycle, as_of, sla_days, high_after_days).unionByName(
+        claim_breaks(claim_lifecycle, contract_lifecycle if terms is None else terms)
     )
 
 

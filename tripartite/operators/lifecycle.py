@@ -113,7 +113,13 @@ def claim_lifecycle(
     tolerance: Decimal = TOLERANCE,
 ) -> DataFrame:
     """One row per claim and payment; a claim without payment keeps one row."""
-    filed = claims_with_contract(claims, contracts)
+    return claims_with_payments(claims_with_contract(claims, contracts), reimbursements, tolerance)
+
+
+def claims_with_payments(
+    filed: DataFrame, reimbursements: DataFrame, tolerance: Decimal = TOLERANCE
+) -> DataFrame:
+    """The claim lifecycle from :func:`claims_with_contract`, safe for hot claims."""
     payments = _payments(reimbursements)
     # One row per claim and map task goes into the shuffle, however hot the claim.
     paid_claims = payments.select("paid_claim_id").distinct()
@@ -125,7 +131,20 @@ def claim_lifecycle(
     paid = filed.join(payments, same_claim, "inner").drop("paid_claim_id")
     unpaid = filed.join(paid_claims, same_claim, "left_anti")
     nothing = [f"cast(null as {kind}) as {c}" for c, kind in payments.dtypes[1:]]
-    return paid.unionByName(unpaid.selectExpr("*", *nothing)).selectExpr(
+    return _with_flags(paid.unionByName(unpaid.selectExpr("*", *nothing)), tolerance)
+
+
+def claims_with_few_payments(
+    filed: DataFrame, reimbursements: DataFrame, tolerance: Decimal = TOLERANCE
+) -> DataFrame:
+    """The same as one left join, which keeps to a layout by claim: for tables in which
+    no claim has more payments than a task can take."""
+    same_claim = F.col("claim_id") == F.col("paid_claim_id")
+    return _with_flags(filed.join(_payments(reimbursements), same_claim, "left"), tolerance)
+
+
+def _with_flags(claims: DataFrame, tolerance: Decimal) -> DataFrame:
+    return claims.selectExpr(
         "claim_id",
         "claim_contract_id",
         "claim_servicer_id",

@@ -3,59 +3,65 @@
 ``row_number() over (order by ...)`` moves every row to one task. Numbering per
 ``opened_at`` instead would still funnel a busy day through one task. Here the
 rows are range-partitioned on the full sort key, which also splits a single hot
-day, each partition numbers its own rows, and the partitions' counts (one row per
-partition) give the offsets.
+day, and written in that order, a file or more per partition. A row's number is its
+place in its file, which the scan knows, and the rows of the files before, which
+their footers tell.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripartite.schemas import FACT_COLUMNS
-from tripartite.sources.scratch import write_through
+from tripartite.session import sized, tuned
+from tripartite.sources.scratch import folder_bytes, scratch_path
 
 # (break_type, entity_id) identifies a break, so the first three columns leave no
 # ties; the others keep the order fixed where the source keys repeat all the same.
 BREAK_ORDER = ["opened_at", "entity_id", "break_type", "amount_at_risk", "description"]
 
-# Layout of monotonically_increasing_id: partition number above bit 33, row below.
-_ROW_BITS = 33
+# A written file's name: the task's partition, then its number among that task's files.
+_PARTITION = r"^part-(\d+)-"
+_FILE = r"-c(\d+)[^/]*$"
 
 
 def number_rows(
-    df: DataFrame, order: list[str], number: str = "row_number", work: str | None = None
+    df: DataFrame, order: list[str | Column], number: str = "row_number", work: str | None = None
 ) -> DataFrame:
-    """``df`` with ``number`` = 1..n in the given order, nulls last.
+    """``df`` with ``number`` = 1..n in the given order; columns given by name ascend,
+    nulls last.
 
     Two tables are written below ``work`` (or in the shared folder). The rows as they
-    come: the sort reads its input twice, once to choose the ranges. And the sorted
-    rows with their places: counts and result then see the same partitioning, even if
-    tasks have to be repeated.
+    come: the sort reads its input twice, once to choose the ranges, and is sized by it.
+    And the sorted rows: their files stay as they are, even if tasks have to be repeated.
 
     Copies of one row cannot be told apart by ``order``; their position in the first
     table can, so a large group of copies is cut like any other range.
     """
-    stored = write_through(df, "unordered", f"{work}/unordered" if work else None)
-    ordered = (
-        stored.withColumn("_copy", F.monotonically_increasing_id())
-        .orderBy(*[F.col(c).asc_nulls_last() for c in order], "_copy")
-        .drop("_copy")
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    placed = write_through(ordered, "ordered", f"{work}/ordered" if work else None)
-    part = F.shiftright("_place", _ROW_BITS).alias("_part")
-    counts = placed.groupBy(part).agg(F.count("*").alias("_rows"))
-    # One row per partition of the sort: small enough for one task and for broadcast.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .selectExpr(
-            *[f"`{c}`" for c in df.columns],
-            f"_offset + (_place & {(1 << _ROW_BITS) - 1}L) + 1 as `{number}`",
+    spark = df.sparkSession
+    stored, ordered = (f"{work}/{n}" if work else scratch_path(spark, n) for n in ("unordered", "ordered"))
+    df.write.mode("overwrite").parquet(stored)
+    ascending = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
+    with tuned(spark, sized(spark, folder_bytes(spark, stored))):
+        (
+            spark.read.schema(df.schema).parquet(stored)
+            .withColumn("_copy", F.monotonically_increasing_id())
+            .orderBy(*ascending, "_copy")
+            .drop("_copy")
+            .write.mode("overwrite").parquet(ordered)
         )
+    placed = spark.read.schema(df.schema).parquet(ordered)
+    # No column is read here: the rows of a file without columns are counted in its footer.
+    counts = placed.groupBy(F.col("_metadata.file_name").alias("_name")).agg(F.count(F.lit(1)).alias("_rows"))
+    # One row per file: small enough for one task and for broadcast.
+    at = [F.regexp_extract("_name", pattern, 1).cast("int") for pattern in (_PARTITION, _FILE)]
+    before = Window.orderBy(*at).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_name", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    return (
+        placed.select("*", F.col("_metadata.file_name").alias("_name"), F.col("_metadata.row_index").alias("_place"))
+        .join(F.broadcast(offsets), "_name")
+        .selectExpr(*[f"`{c}`" for c in df.columns], f"_offset + _place + 1 as `{number}`")
     )
 
 

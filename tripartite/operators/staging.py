@@ -10,41 +10,48 @@ from tripartite.schemas import STAGED_TYPES
 STAGED_FEEDS = ["merchant_sales", "contracts", "claims", "servicer_reimbursements"]
 
 
-def _typed(feed: str) -> dict[str, str]:
-    """The cast of each column; text columns pass as they are, dates must be full days."""
+def typed(feed: str) -> dict[str, str]:
+    """The expression of each staged column over the raw feed; text columns pass as they
+    are, dates must be full days, but for the one dirty column."""
 
     def cast(column: str, kind: str) -> str:
         if kind == "string":
             return column
-        typed = strict_date(column) if kind == "date" else f"cast({column} as {kind})"
-        return f"{typed} as {column}"
+        if column == "remittance_date":
+            return parse_date(_GIVEN)
+        return strict_date(column) if kind == "date" else f"cast({column} as {kind})"
 
     return {column: cast(column, kind) for column, kind in STAGED_TYPES[feed].items()}
 
 
+_GIVEN = "nullif(remittance_date, '')"
+
+
+def _selected(feed: str) -> list[str]:
+    return [f"{expression} as {column}" for column, expression in typed(feed).items()]
+
+
 def stage_merchant_sales(raw: DataFrame) -> DataFrame:
     """A null ``remittance_date`` means the merchant has not paid yet.
 
     It is the one dirty column, so it is parsed, and also kept as it came.
     """
-    given = "nullif(remittance_date, '')"
-    columns = _typed("merchant_sales")
-    columns["remittance_date"] = f"{parse_date(given)} as remittance_date"
-    selected = list(columns.values())
-    selected.insert(list(columns).index("remittance_date"), f"{given} as remittance_date_raw")
+    columns = list(STAGED_TYPES["merchant_sales"])
+    selected = _selected("merchant_sales")
+    selected.insert(columns.index("remittance_date"), f"{_GIVEN} as remittance_date_raw")
     return raw.selectExpr(*selected)
 
 
 def stage_contracts(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(*_typed("contracts").values())
+    return raw.selectExpr(*_selected("contracts"))
 
 
 def stage_claims(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(*_typed("claims").values())
+    return raw.selectExpr(*_selected("claims"))
 
 
 def stage_servicer_reimbursements(raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(*_typed("servicer_reimbursements").values())
+    return raw.selectExpr(*_selected("servicer_reimbursements"))
 
 
 def stage_all(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -4,10 +4,14 @@ from tripartite.plans.pipeline import (
     PipelineRun,
     build_breaks,
     build_fact,
+    feed_counts,
+    land_feeds,
+    lay_out_feeds,
+    lifecycle_views,
     lifecycles,
     pipeline_summary,
     run_pipeline,
-    write_lifecycles,
+    stage_counted,
 )
 from tripartite.plans.quality import (
     QualityError,
@@ -15,6 +19,7 @@ from tripartite.plans.quality import (
     assert_quality,
     dq_summary,
     not_null,
+    over_coverage,
     relationships,
     reimbursement_within_coverage,
     run_checks,
@@ -24,8 +29,10 @@ from tripartite.plans.reports import (
     aging_report,
     break_aging,
     break_drilldown,
+    break_drilldown_pages,
     break_filter_values,
     break_report,
+    break_rollup,
     break_type_summary,
     contract_detail,
     detected_counts,
@@ -49,21 +56,28 @@ __all__ = [
     "assert_quality",
     "break_aging",
     "break_drilldown",
+    "break_drilldown_pages",
     "break_filter_values",
     "break_report",
+    "break_rollup",
     "break_type_summary",
     "build_breaks",
     "build_fact",
     "contract_detail",
     "detected_counts",
     "dq_summary",
+    "feed_counts",
     "kpi_summary",
+    "land_feeds",
+    "lay_out_feeds",
+    "lifecycle_views",
     "lifecycles",
     "merchant_breaks",
     "merchant_sales_range",
     "merchant_scorecard",
     "merchant_totals",
     "not_null",
+    "over_coverage",
     "pipeline_summary",
     "planted_counts",
     "reimbursement_within_coverage",
@@ -71,9 +85,9 @@ __all__ = [
     "run_checks",
     "run_pipeline",
     "servicer_claims",
+    "stage_counted",
     "truth_log_totals",
     "truth_regressions",
     "truth_validation",
     "unique",
-    "write_lifecycles",
 ]

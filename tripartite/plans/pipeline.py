@@ -4,32 +4,37 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tripartite.operators import (
     all_breaks,
+    claim_breaks,
     claim_lifecycle,
+    claims_with_contract,
+    contract_breaks,
     contract_lifecycle,
+    contract_terms,
+    detect_orphan_claim,
     finish_breaks,
+    paid_claims,
     stage_all,
     with_break_key,
 )
 from tripartite.operators.detect import HIGH_AFTER_DAYS, SLA_DAYS
+from tripartite.operators.lifecycle import claims_with_few_payments, claims_with_payments
+from tripartite.operators.staging import STAGED_FEEDS, typed
 from tripartite.plans import quality, reports
-from tripartite.session import together, tune
-from tripartite.sources.scratch import bytes_of, drop_folder, write_all, write_through
-from tripartite.sources.tables import (
-    read_fact,
-    read_snapshot,
-    snapshot_breaks,
-    snapshot_rows,
-    write_fact,
-)
+from tripartite.session import RUNTIME_CONF, sized, together, tuned, width
+from tripartite.sources.layout import Keyed, Landed, by_parts, hot_keys, land, lay_out
+from tripartite.sources.publish import Version, publish_table
+from tripartite.sources.scratch import drop_folder, source_bytes, write_through
+from tripartite.sources.tables import read_fact, read_snapshot, snapshot_breaks, stage_fact
 
 
 @dataclass
@@ -64,38 +69,129 @@ def lifecycles(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def write_lifecycles(staged: dict[str, DataFrame], work: str | None = None) -> dict[str, DataFrame]:
-    """Both lifecycles, joined once and written below ``work`` or in the shared folder.
-
-    The detectors read each lifecycle several times and different columns of it;
-    over open joins every one of them would repeat the joins.
-    """
-    return write_all(lifecycles(staged), work)
-
-
 def build_breaks(
-    lifecycle: dict[str, DataFrame],
+    staged: dict[str, DataFrame],
     as_of: date,
     sla_days: int = SLA_DAYS,
     high_after_days: int = HIGH_AFTER_DAYS,
 ) -> DataFrame:
-    """Every break with its age, not numbered. Lazy over the lifecycles given."""
-    found = all_breaks(
-        lifecycle["int_contract_lifecycle"], lifecycle["int_claim_lifecycle"],
-        as_of, sla_days, high_after_days,
+    """Every break with its age, not numbered. Lazy over the staged tables, in one plan.
+
+    Each group of rules has the join that it needs and no wider one: payments meet their
+    claims, claims their contracts, contracts their sales. No lifecycle is formed or written.
+    """
+    contracts, claims = staged["stg_contracts"], staged["stg_claims"]
+    sold = contract_lifecycle(contracts, staged["stg_merchant_sales"])
+    paid = paid_claims(claims, staged["stg_servicer_reimbursements"])
+    found = (
+        contract_breaks(sold, as_of, sla_days, high_after_days)
+        .unionByName(detect_orphan_claim(claims_with_contract(claims, contracts)))
+        .unionByName(claim_breaks(paid, contract_terms(contracts)))
     )
     return finish_breaks(found, as_of)
 
 
 def build_fact(
-    lifecycle: dict[str, DataFrame],
+    staged: dict[str, DataFrame],
     as_of: date,
     sla_days: int = SLA_DAYS,
     high_after_days: int = HIGH_AFTER_DAYS,
     work: str | None = None,
 ) -> DataFrame:
     """The numbered fact."""
-    return with_break_key(build_breaks(lifecycle, as_of, sla_days, high_after_days), work)
+    return with_break_key(build_breaks(staged, as_of, sla_days, high_after_days), work)
+
+
+# Columns on which feeds meet: the fewest copies of each feed that give every join between
+# them its layout. Claims meet contracts first; with their contract they meet payments.
+_JOIN_KEYS = {
+    "merchant_sales": ["sale_id"],
+    "contracts": ["sale_id", "contract_id"],
+    "claims": ["contract_id", "claim_id"],
+    "servicer_reimbursements": ["claim_id"],
+}
+
+
+def _counts(feed: str) -> dict[str, str]:
+    """What is counted while a feed is landed: its checks and those of its staged form."""
+    counts = quality.counted_while_writing(feed)
+    if feed in STAGED_FEEDS:
+        counts |= quality.counted_while_writing(f"stg_{feed}", typed(feed))
+    return counts
+
+
+def land_feeds(raw: dict[str, DataFrame], root: str) -> dict[str, Landed]:
+    """The feeds written once below ``root``, with the counts that checks and layout need."""
+    spark = raw["contracts"].sparkSession
+    size = source_bytes(*raw.values())
+    with tuned(spark, sized(spark, size)):
+        return land(raw, root, {feed: _counts(feed) for feed in raw}, _JOIN_KEYS, width(spark, size))
+
+
+def feed_counts(landed: dict[str, Landed]) -> dict[str, int]:
+    """Violating rows by check, as counted while the feeds were landed."""
+    return {check: n for feed in landed.values() for check, n in feed.counted.items()}
+
+
+def lay_out_feeds(
+    landed: dict[str, Landed], staged: dict[str, DataFrame], work: str
+) -> dict[str, dict[str, Keyed]]:
+    """The staged tables in buckets of the keys they meet on, by key and feed.
+
+    Every table is shuffled once for each of its keys, here. The joins of the lifecycles,
+    the unique checks and the coverage invariant then find their rows in place.
+    """
+    contracts, claims = staged["stg_contracts"], staged["stg_claims"]
+    sales, payments = staged["stg_merchant_sales"], staged["stg_servicer_reimbursements"]
+    terms = contracts.select("contract_id", "merchant_id", "issued_date", "coverage_limit")
+    groups = {
+        "sale_id": {"contracts": contracts, "merchant_sales": sales.drop("remittance_date_raw", "customer_email")},
+        "contract_id": {"contracts": terms, "claims": claims.drop("status")},
+        "claim_id": {"servicer_reimbursements": payments.drop("servicer_id")},
+    }
+
+    def write(key: str, tables: dict[str, DataFrame]) -> Callable[[], dict[str, Keyed]]:
+        return lambda: _lay_out(landed, key, tables, work)
+
+    laid = together(contracts.sparkSession, *[write(*group) for group in groups.items()])
+    return dict(zip(groups, laid, strict=True))
+
+
+def _lay_out(landed: dict[str, Landed], key: str, tables: dict[str, DataFrame], work: str) -> dict[str, Keyed]:
+    """Tables in buckets of ``key``, as many for all that meet on it."""
+    feeds = [feed for feed, keys in _JOIN_KEYS.items() if key in keys]
+    found = [(landed[feed].count, landed[feed].frequent[key]) for feed in feeds]
+    size = sum(landed[feed].size for feed in feeds)
+    keyed = {name: (df, key) for name, df in tables.items()}
+    return lay_out(keyed, size, partial(hot_keys, found), f"{work}/by_{key}")
+
+
+def lifecycle_views(
+    landed: dict[str, Landed], laid: dict[str, dict[str, Keyed]], work: str
+) -> dict[str, DataFrame]:
+    """Both lifecycles over tables laid out by key, without a shuffle in either. Claims with
+    their contract are laid out by claim for that, the one further table."""
+    by_sale, by_contract, by_claim = (laid[key] for key in ("sale_id", "contract_id", "claim_id"))
+    filed = by_parts(claims_with_contract, by_contract["claims"], by_contract["contracts"])
+    by_claim = by_claim | _lay_out(landed, "claim_id", {"filed": filed}, work)
+    return {
+        "int_contract_lifecycle": by_parts(contract_lifecycle, by_sale["contracts"], by_sale["merchant_sales"]),
+        "int_claim_lifecycle": by_parts(
+            claims_with_few_payments, by_claim["filed"], by_claim["servicer_reimbursements"],
+            hot_plan=claims_with_payments,
+        ),
+    }
+
+
+def _unique_parts(laid: dict[str, dict[str, Keyed]]) -> dict[str, list[DataFrame]]:
+    """Where a unique check finds equal keys together: the layout of a feed by its own key."""
+    return {
+        table: [part.select(key) for part in (keyed.even, keyed.hot) if part is not None]
+        for key, tables in laid.items()
+        for feed, keyed in tables.items()
+        for table in (feed, f"stg_{feed}")
+        if quality.UNIQUE[table] == key
+    }
 
 
 def run_pipeline(
@@ -109,69 +205,108 @@ def run_pipeline(
     gate: bool = True,
     truth: DataFrame | None = None,
 ) -> PipelineRun:
-    """Land, stage, check, detect, write, check, snapshot, report.
+    """Land, stage, check, lay out, detect, check, publish, report.
 
     Tables go below ``output``: ``fct_recon_breaks``, ``fct_daily_break_snapshot``,
-    ``break_aging``, ``merchant_scorecard``. The feeds are landed once, so text is parsed
-    once, below ``work/<run>``, which also holds the other intermediate tables of this run
-    and of no other; :meth:`PipelineRun.close` removes it.
+    ``break_aging``, ``merchant_scorecard``, each published at once; read them with
+    ``read_fact``, ``read_snapshot`` and ``read_table``. The feeds are landed once, so text
+    is parsed once, below ``work/<run>``, which also holds the other intermediate tables of
+    this run and of no other; :meth:`PipelineRun.close` removes it.
 
     With ``gate`` a failing check raises :class:`QualityError`: the checks of feeds and
-    staged tables and the coverage invariant before anything is published, those of the
-    fact before the day enters the history. Given a truth log, a type detected less often
+    staged tables before anything is built of them, the coverage invariant and the checks of
+    the fact before anything is published. Given a truth log, a type detected less often
     than planted fails the run as well. Without ``gate`` failures are only counted.
+
+    The session's settings are as before when it returns.
     """
     start = time.monotonic()
-    spark = tune(raw["contracts"].sparkSession, bytes_of(*raw.values()))
+    spark = raw["contracts"].sparkSession
     work = f"{output}/work/{uuid.uuid4().hex}"
     run = PipelineRun({}, False, work=work)
-    try:
-        raw = write_all(raw, f"{work}/feeds")
-        staged = stage_all(raw)
-        _check(run, quality.run_checks(raw | staged, invariant_on=staged), gate)
-
-        lifecycle = write_lifecycles(staged, work)
-        built = write_through(
-            build_fact(lifecycle, as_of, sla_days, high_after_days, work), "fact", f"{work}/fact"
-        )
-        day = {
-            "fct_recon_breaks": built,
-            "fct_daily_break_snapshot": snapshot_rows(built, snapshot_date or as_of),
+    pending: Version | None = None
+    with tuned(spark, RUNTIME_CONF):
+        try:
+            landed = land_feeds(raw, f"{work}/feeds")
+            with tuned(spark, sized(spark, sum(feed.size for feed in landed.values()))):
+                raw = {name: feed.rows for name, feed in landed.items()}
+                staged = stage_all(raw)
+                laid = lay_out_feeds(landed, staged, work)
+                checks = quality.run_checks(
+                    raw | staged, counted=feed_counts(landed), parts=_unique_parts(laid)
+                )
+                _check(run, checks, gate)
+
+                lifecycle = lifecycle_views(landed, laid, work)
+                terms = contract_terms(laid["contract_id"]["contracts"].rows())
+                found = all_breaks(
+                    lifecycle["int_contract_lifecycle"], lifecycle["int_claim_lifecycle"],
+                    as_of, sla_days, high_after_days, terms,
+                )
+                built = with_break_key(finish_breaks(found, as_of), work)
+                pending, counted = stage_counted(built, f"{output}/fct_recon_breaks", snapshot_date or as_of)
+                fact = pending.read()
+                rollup = write_through(reports.break_rollup(fact), "rollup", f"{work}/rollup")
+                day = {"fct_recon_breaks": fact, "fct_daily_break_snapshot": fact}
+                over = quality.over_coverage(lifecycle["int_claim_lifecycle"])
+                _check(run, quality.run_checks(day, counted=counted, over_coverage=over), gate)
+                if truth is not None:
+                    _check_truth(run, rollup, truth, gate)
+
+                pending.publish()
+                pending, fact = None, read_fact(spark, f"{output}/fct_recon_breaks")
+                history = f"{output}/fct_daily_break_snapshot"
+                scorecard = reports.merchant_scorecard(rollup, raw["merchants"], staged["stg_contracts"])
+                run.snapshot_written, aging, scorecard = together(
+                    spark,
+                    lambda: snapshot_breaks(fact, history, snapshot_date, full_refresh),
+                    lambda: publish_table(reports.break_aging(rollup), f"{output}/break_aging"),
+                    lambda: publish_table(scorecard, f"{output}/merchant_scorecard"),
+                )
+        except BaseException:
+            run.close(spark)
+            if pending is not None:
+                pending.discard()
+            raise
+        marts = {
+            "fct_recon_breaks": fact,
+            "fct_daily_break_snapshot": read_snapshot(spark, history),
+            "break_aging": aging,
+            "merchant_scorecard": scorecard,
         }
-        _check(run, quality.run_checks(day), gate)
-        if truth is not None:
-            run.regressions = reports.truth_regressions(built, truth).collect()  # a row a type
-            if gate and run.regressions:
-                lost = ", ".join(f"{r.break_type} ({r.detected} of {r.planted})" for r in run.regressions)
-                raise quality.QualityError(f"planted breaks were not detected: {lost}")
-
-        write_fact(built, f"{output}/fct_recon_breaks")
-        fact = read_fact(spark, f"{output}/fct_recon_breaks")
-        history = f"{output}/fct_daily_break_snapshot"
-        scorecard = reports.merchant_scorecard(built, raw["merchants"], staged["stg_contracts"])
-        analytics = {"break_aging": reports.break_aging(built), "merchant_scorecard": scorecard}
-        run.snapshot_written, analytics = together(
-            spark,
-            lambda: snapshot_breaks(built, history, snapshot_date, full_refresh),
-            lambda: write_all(analytics, output),
-        )
-    except BaseException:
-        run.close(spark)
-        raise
-    # All columns that some day of the history has.
-    marts = {"fct_recon_breaks": fact, "fct_daily_break_snapshot": read_snapshot(spark, history)}
-    run.tables = raw | staged | lifecycle | marts | analytics
+    run.tables = raw | staged | lifecycle | marts
     run.seconds = time.monotonic() - start
     return run
 
 
+def stage_counted(fact: DataFrame, path: str, day: date) -> tuple[Version, dict[str, int]]:
+    """Write a version of the fact and count on the way what violates its checks and those
+    of the day that will enter the history: the same rows under one date."""
+    counts = quality.counted_while_writing("fct_recon_breaks")
+    counts |= quality.counted_while_writing(
+        "fct_daily_break_snapshot", {"snapshot_date": f"date'{day.isoformat()}'"}
+    )
+    watch = Observation()
+    watched = [F.expr(f"count_if({condition})").alias(check) for check, condition in counts.items()]
+    version = stage_fact(fact.observe(watch, *watched), path)
+    seen = watch.get
+    return version, {check: seen.get(check, 0) for check in counts}
+
+
+def _check_truth(run: PipelineRun, rollup: DataFrame, truth: DataFrame, gate: bool) -> None:
+    run.regressions = reports.truth_regressions(rollup, truth).collect()  # a row a type
+    if gate and run.regressions:
+        lost = ", ".join(f"{r.break_type} ({r.detected} of {r.planted})" for r in run.regressions)
+        raise quality.QualityError(f"planted breaks were not detected: {lost}")
+
+
 def _check(run: PipelineRun, results: DataFrame, gate: bool) -> None:
-    found = quality.assert_quality(results) if gate else _counts(results)
+    found = quality.assert_quality(results) if gate else _statuses(results)
     for status, n in found.items():
         run.checks[status] = run.checks.get(status, 0) + n
 
 
-def _counts(results: DataFrame) -> dict[str, int]:
+def _statuses(results: DataFrame) -> dict[str, int]:
     return {r["status"]: r["checks"] for r in quality.dq_summary(results).collect()}
 
 

@@ -99,6 +99,7 @@ FACT_COLUMNS = list(FACT_FIELDS)
 
 # The history keeps the fact's columns under a date of its own.
 SNAPSHOT_COLUMNS = ["snapshot_date", *[c for c in FACT_COLUMNS if c != "as_of_date"]]
+SNAPSHOT_SCHEMA = ddl({"snapshot_date": "date"} | {c: k for c, k in FACT_FIELDS.items() if c in SNAPSHOT_COLUMNS})
 SNAPSHOT_KEY = ["snapshot_date", "break_key"]
 
 # The closed vocabularies the fact is checked against.

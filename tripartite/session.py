@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import copy_context
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -22,24 +24,53 @@ RUNTIME_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
-_TASK_BYTES = 1 << 30
-_MOST_PARTITIONS = 100_000
+_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_SCAN = "spark.sql.files.maxPartitionBytes"
+_TASK_BYTES = 256 << 20
+_MOST_PARTITIONS = 32_768
+_LARGEST_SPLIT = 1 << 30
 
 
 def tune(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
     """Apply :data:`RUNTIME_CONF` to the session; size its shuffles if the input is known.
+    The settings stay until the session ends; :func:`tuned` gives them back."""
+    for key, value in (RUNTIME_CONF | ({} if input_bytes is None else sized(spark, input_bytes))).items():
+        spark.conf.set(key, value)
+    return spark
+
+
+def width(spark: SparkSession, input_bytes: int) -> int:
+    """Partitions of a shuffle over ``input_bytes`` of files: some 256 MB each, one for
+    each core at least, and 32,768 at most (at 100 TB 3 GB each, which a sort spills)."""
+    wanted = max(spark.sparkContext.defaultParallelism, -(-input_bytes // _TASK_BYTES))
+    return min(wanted, _MOST_PARTITIONS)
+
 
-    A shuffle starts wide enough for tasks of about 1 GB and adaptive execution merges
-    what turns out small. 100 TB start with 100,000 partitions, which a driver can still
-    keep track of. The settings stay until the session ends.
+def sized(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Settings for jobs over ``input_bytes`` of files.
+
+    A shuffle starts :func:`width` wide and adaptive execution merges what turns out
+    small. Scans are cut larger as the input grows, up to 1 GB, so that the blocks of a
+    shuffle, map tasks times reduce tasks, stay within what a driver can keep track of.
     """
-    for key, value in RUNTIME_CONF.items():
+    split = min(max(128 << 20, input_bytes // _MOST_PARTITIONS), _LARGEST_SPLIT)
+    return {_WIDTH: str(width(spark, input_bytes)), _SCAN: str(split)}
+
+
+@contextmanager
+def tuned(spark: SparkSession, settings: dict[str, str] = RUNTIME_CONF) -> Iterator[None]:
+    """``settings`` for the length of a with block; what was set before comes back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
         spark.conf.set(key, value)
-    if input_bytes is not None:
-        wanted = max(spark.sparkContext.defaultParallelism, -(-input_bytes // _TASK_BYTES))
-        partitions = min(wanted, _MOST_PARTITIONS)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
-    return spark
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def together(spark: SparkSession, *actions: Callable[[], Any]) -> list[Any]:
@@ -49,5 +80,7 @@ def together(spark: SparkSession, *actions: Callable[[], Any]) -> list[Any]:
     another.
     """
     with ThreadPoolExecutor(len(actions)) as pool:
-        started = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+        started = [
+            pool.submit(copy_context().run, inheritable_thread_target(spark)(action)) for action in actions
+        ]
         return [action.result() for action in started]

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,8 @@ from tripartite.session import together
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
 
+_workspace: ContextVar[str | None] = ContextVar("workspace", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder named by the session; a temporary one in local mode only."""
@@ -29,7 +33,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/tripartite/{uuid.uuid4().hex}/{name}"
+    """A new folder for ``name``: in the open :func:`workspace`, or else in the shared folder."""
+    root = _workspace.get() or f"{shared_dir(spark)}/tripartite"
+    return f"{root}/{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """A folder for all intermediate tables written in a with block, removed at its end.
+
+    Results are lazy and read those tables, so write or collect them inside the block.
+    """
+    root = f"{shared_dir(spark)}/tripartite/{uuid.uuid4().hex}"
+    token = _workspace.set(root)
+    try:
+        yield root
+    finally:
+        _workspace.reset(token)
+        drop_folder(spark, root)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
@@ -38,10 +59,30 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def bytes_of(*tables: DataFrame) -> int:
-    """Size of the files behind some tables, as the optimizer knows it."""
-    sizes = [t._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() for t in tables]
-    return sum(int(str(size)) for size in sizes)
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Length of all files in a folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(where).getLength()
+
+
+def source_bytes(*tables: DataFrame) -> int:
+    """Length of the files that some tables read, each folder counted once.
+
+    The files behind the leaves of a plan, not the optimizer's estimate of its result,
+    which multiplies the sides of a join.
+    """
+    read: dict[str, int] = {}
+    for table in tables:
+        leaves = table._jdf.queryExecution().analyzed().collectLeaves()
+        for leaf in map(leaves.apply, range(leaves.size())):
+            relation = leaf.relation() if leaf.getClass().getSimpleName() == "LogicalRelation" else None
+            if relation is not None and relation.getClass().getSimpleName() == "HadoopFsRelation":
+                files = relation.location()
+                read[files.rootPaths().mkString("\n")] = files.sizeInBytes()
+            else:  # not files: what the source itself says
+                read[str(leaf.hashCode())] = int(str(leaf.stats().sizeInBytes()))
+    return sum(read.values())
 
 
 def write_through(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
