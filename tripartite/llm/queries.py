@@ -5,6 +5,7 @@ from __future__ import annotations
 from tripartite.llm import (
     decontaminate,
     exact_dedup,
+    fill_middle,
     html_text,
     jaccard_join,
     language_id,
@@ -13,6 +14,7 @@ from tripartite.llm import (
     quality,
     token_counts,
     toxicity,
+    vector_search,
 )
 
 QUERIES = {
@@ -26,10 +28,14 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_html_extraction": html_text.op9_html_extraction,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+    "op12_fill_middle": fill_middle.op12_fill_middle,
+    "op13_vector_search": vector_search.op13_vector_search,
 }
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op7_decontamination": decontaminate.ORACLE,
     "op10_jaccard_join": jaccard_join.ORACLE,
+    "op12_fill_middle": fill_middle.ORACLE,
+    "op13_vector_search": vector_search.ORACLE,
 }
