@@ -1,0 +1,201 @@
+import hashlib
+import heapq
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripartite.llm import conversation as cv
+from tripartite.llm import turn_lattice as tl
+
+SCHEMA = "conv_id long, turn long, role string, text string, `copy` int, there boolean, `key` string, piece long"
+SHAPE = re.compile(r"(s?(ua)+)?")
+
+
+def cheapest(rows):
+    """(cost, audit, repaired) by a search over whole edit sequences, least cost and then
+    least audit first: rows are (gone, truncated, role, text)."""
+    waiting = [(0, "", 0, "", ())]
+    done = set()
+    while waiting:
+        cost, audit, at, roles, made = heapq.heappop(waiting)
+        last = roles[-1:]
+        if (at, last, bool(roles)) in done:
+            continue
+        done.add((at, last, bool(roles)))
+        if at == len(rows) and SHAPE.fullmatch(roles):
+            return cost, audit, list(made)
+        nexts = {"": "su", "s": "u", "u": "a", "a": "u"}[last]
+        written = [("user", "u"), ("assistant", "a")]
+        for role, initial in written:
+            if initial in nexts:
+                heapq.heappush(waiting, (cost + 5, audit + "I", at, roles + initial, (*made, (role, ""))))
+        if at < len(rows):
+            gone, truncated, role, text = rows[at]
+            heapq.heappush(waiting, (cost + 2, audit + "D", at + 1, roles, made))
+            if not gone:
+                more = 5 if truncated else 0
+                if role[:1] and role[:1] in nexts:
+                    heapq.heappush(waiting, (cost + more, audit + "K", at + 1, roles + role[0], (*made, (role, text))))
+                for other, initial in written:
+                    if initial in nexts:
+                        heapq.heappush(waiting, (cost + 1 + more, audit + "R", at + 1, roles + initial, (*made, (other, text))))
+    raise AssertionError
+
+
+def expected(table, damage=True):
+    convs = defaultdict(list)
+    for conv, turn, role, text in table:
+        role, text = (" " if v is None else v for v in (role, text))
+        k = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20 if damage else 9
+        held = convs[conv]
+        if k == 0:
+            continue
+        text = "" if k == 1 else re.sub("[.!?]", "", text) if k == 2 else text
+        held += [(turn, "user" if k == 4 else role, text)] * (2 if k == 3 else 1)
+    found = []
+    for conv, rows in convs.items():
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        told, seen, faults = [], set(), {"blank": 0, "duplicate": 0, "truncated": 0}
+        for _, role, text in rows:
+            body = re.sub(r"[\x20\x09-\x0D]", "", text)
+            kind = "blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else None
+            seen.add((role, text))
+            if kind:
+                faults[kind] += 1
+            told.append((kind in ("blank", "duplicate"), kind == "truncated", role, text))
+        turns = {t for t, _, _ in rows if t is not None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+        cost, audit, made = cheapest(told)
+        digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in made).encode()).hexdigest()
+        found.append((conv, gaps, *faults.values(), illegal, cost, audit, digest))
+    return sorted(found, key=repr)
+
+
+COLUMNS = ["conv", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def collected(found):
+    return sorted((tuple(r) for r in found.select(*COLUMNS).collect()), key=repr)
+
+
+def random_rows(rng, n):
+    roles = ["system", "user", "assistant", "user", "assistant", "tool", "", "agent"]
+    return [
+        (rng.random() < 0.15, rng.random() < 0.2, rng.choice(roles[: rng.choice([3, 5, 8])]), f"t{k}")
+        for k in range(n)
+    ]
+
+
+def test_lattice_finds_the_cheapest_and_least_audit():
+    rng = random.Random(2)
+    for n in [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 14] * 60:
+        rows = random_rows(rng, n)
+        kinds = [tl.kind_of(role[:1], gone, truncated and not gone) for gone, truncated, role, _ in rows]
+        base, prices, layers = tl.solve(kinds)
+        state, audit = tl.NONE, ""
+        for made in layers:
+            audit += "I" * len(made.inserts[state]) + made.letter[state]
+            state = made.to[state]
+        cost, least, _ = cheapest([(g, t and not g, r, x) for g, t, r, x in rows])
+        assert (base + prices[tl.NONE], audit) == (cost, least)
+
+
+def test_prices_are_distances_to_the_end():
+    """Against plain relaxation of all arcs."""
+    rng = random.Random(4)
+    for _ in range(100):
+        kinds = [rng.choice(tl.KINDS) for _ in range(rng.randint(0, 12))]
+        distance = list(tl.AFTER_END)
+        for kind in [tl.END, *reversed(kinds)]:
+            now = [99] * 4
+            for _ in range(8):
+                for q in tl.STATES:
+                    for _, cost, (behind, to) in tl._arcs(kind, q):
+                        now[q] = min(now[q], cost + (distance if behind else now)[to])
+            distance = now
+        base, prices, _ = tl.solve(kinds)
+        assert [base + p for p in prices] == distance
+
+
+def test_pieces_do_what_whole_runs_do():
+    rng = random.Random(6)
+    made = tl.tables()
+    for _ in range(40):
+        kinds = [rng.choice(tl.KINDS) for _ in range(rng.randint(1, 30))]
+        before, added, leaves = tl.piece(kinds)
+        for v, behind in enumerate(made.vectors):
+            total, prices, layers = tl.solve(kinds, behind)
+            assert (total, prices) == (added[v], made.vectors[before[v]])
+            for q in tl.STATES:
+                state = q
+                for step in layers:
+                    state = step.to[state]
+                assert state == leaves[v][q]
+
+
+def table(rng, convs, turns=8):
+    words = ["yes.", "no!", "why?", "and so", "", " \t", "Été \U0001f600.", "a.\n", "b", "x" * 50 + "."]
+    rows = []
+    for conv in range(convs):
+        for turn in range(rng.randint(1, turns)):
+            role = rng.choice(["user", "assistant", "system", None, "tool"]) if rng.random() < 0.2 else ["user", "assistant"][turn % 2]
+            text = rng.choice([*words, None]) if rng.random() < 0.4 else f"text {conv} {turn}."
+            rows.append((conv, None if rng.random() < 0.05 else turn * rng.choice([1, 1, 1, 2]), role, text))
+    return rows
+
+
+AWKWARD = [
+    (None, None, None, None), (None, 1, "user", "hello."), (None, 1, "user", "hello."), (-1, None, "user", "a."),
+    (-1, None, None, "\x85."), (900, 5, "User", "a.\xa0"), (900, 5, "assistant", "b. \n\n"), (901, 1, "", ""),
+    (902, -3, "system", "s."), (902, 9_000_000_000, "user", "u."), (903, 0, "system", "only."),
+]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 3, False, "k", 9) for r in rows], SCHEMA).repartition(3)
+
+
+def test_conversations_as_by_brute_force(spark):
+    rows = table(random.Random(8), 150) + AWKWARD
+    found = cv.digests(cv.repair(cv.damaged(frame(spark, rows))))
+    assert collected(found) == expected(rows)
+    assert {r[0] for r in expected(rows)} == {r[0] for r in rows}
+    undamaged = cv.digests(cv.repair(cv.turns(frame(spark, rows))))
+    assert collected(undamaged) == expected(rows, damage=False)
+    assert cv.digests(cv.repair(cv.damaged(frame(spark, rows).where("false")))).isEmpty()
+
+
+@pytest.mark.parametrize("piece", [1, 3, 7])
+def test_long_conversations_in_pieces(spark, piece):
+    rng = random.Random(10)
+    # One with a third of all rows; copies in it; one without anything left; a null id.
+    rows = table(rng, 30) + [(5000, t, "user" if t % 2 else "assistant", f"w{t % 11}.") for t in range(60)] + AWKWARD
+    rows += [(None, t, "user", f"n{t}") for t in range(12)]
+    found = cv.repair(cv.damaged(frame(spark, rows)), most_rows=4, piece=piece)
+    assert collected(cv.digests(found)) == expected(rows)
+    by_chars = cv.repair(cv.damaged(frame(spark, rows)), most_chars=60, piece=piece)
+    assert collected(cv.digests(by_chars)) == expected(rows)
+
+
+def test_repaired_rows_have_the_shape(spark):
+    rows = table(random.Random(12), 60)
+    for r in cv.repair(cv.damaged(frame(spark, rows))).collect():
+        assert SHAPE.fullmatch("".join(t.role[0] for t in r.repaired))
+        assert len(r.audit.replace("D", "")) == len(r.repaired)
+
+
+def test_query(spark, tmp_path):
+    rows = table(random.Random(14), 40) + AWKWARD
+    frame(spark, rows).write.parquet(str(tmp_path / "conversations.parquet"))
+    found = cv.op11_conversation_repair(spark, str(tmp_path))
+    assert found.columns == ["conv_id", *COLUMNS[1:]]
+    assert collected(found.withColumnRenamed("conv_id", "conv")) == expected(rows)
+    assert all(kind == "bigint" for c, kind in found.dtypes if c not in ("audit", "repaired_sha256"))
+    real = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").select("conv_id", "turn", "role", "text")
+    again = cv.op11_conversation_repair(spark, "/root/testdata/sf0.001").withColumnRenamed("conv_id", "conv")
+    assert collected(again) == expected([tuple(r) for r in real.collect()])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tripartite.llm import (
+    conversation,
     decontaminate,
     exact_dedup,
     fill_middle,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_html_extraction": html_text.op9_html_extraction,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+    "op11_conversation_repair": conversation.op11_conversation_repair,
     "op12_fill_middle": fill_middle.op12_fill_middle,
     "op13_vector_search": vector_search.op13_vector_search,
 }
