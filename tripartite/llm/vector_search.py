@@ -32,7 +32,7 @@ TOP = 20
 SCALE = 64
 QUERY_EVERY = 20
 
-PAGE = 256  # entries of a page
+PAGE = 1_024  # entries of a page
 FANOUT = 16  # routing objects that a set of vectors is split by
 MOST_PIVOTS = 1024  # routing objects of the whole table; fitted on as many rows
 GROUP = 65_536  # vectors of a group, at most some
@@ -40,8 +40,9 @@ GROUPS_AT_LEAST, SMALL_GROUP = 24, 2_048  # small tables are dealt wider, in gro
 
 _COPIES = 8_192  # queries in a batch on their way to groups
 
-# Sums of products of 64-bit floats are exact up to here.
+# Sums of products of floats of 64 and 32 bits are exact up to here.
 _EXACT = float(1 << 53)
+_EXACT_SINGLE = float(1 << 24)
 # What rounding can take from a bound, relative to the sizes that go into it.
 _SLACK = 1e-9
 
@@ -105,6 +106,10 @@ class MTree:
     """A tree over the rows of a matrix, built top down."""
 
     def __init__(self, vectors: np.ndarray, page: int = PAGE, fanout: int = FANOUT):
+        # Half the bytes where single precision still holds every inner product exactly.
+        largest = (vectors * vectors).sum(1).max() if len(vectors) else 0.0
+        self.kind = np.float32 if largest * 4 < _EXACT_SINGLE else np.float64
+        self.largest = float(np.sqrt(largest))
         self.vectors, self.page, self.fanout = vectors, page, fanout
         self.center = vectors[len(vectors) // 2]
         self.root = self._grown(np.arange(len(vectors)), self.center)
@@ -113,7 +118,7 @@ class MTree:
         vectors = self.vectors[places]
         away = _distances(vectors, above)
         if len(places) <= self.page:
-            return Page(vectors, away, np.zeros(len(places)), None, places)
+            return Page(vectors.astype(self.kind), away, np.zeros(len(places)), None, places)
         # Routing objects spread over the distances to the one above: a fixed choice.
         order = np.argsort(away, kind="stable")
         wanted = min(self.fanout, -(-len(places) // self.page))
@@ -127,12 +132,14 @@ class MTree:
         routing = np.stack([self.vectors[s[len(s) // 2]] for s in sets])
         below = [self._grown(s, c) for s, c in zip(sets, routing, strict=True)]
         radii = np.array([p.away.max() if p.below is None else (p.away + p.radii).max() for p in below])
-        return Page(routing, _distances(routing, above), radii, below, None)
+        return Page(routing.astype(self.kind), _distances(routing, above), radii, below, None)
 
     def search(self, query: np.ndarray, heap: TopK) -> None:
         """Offer the tree's vectors to ``heap``, best page first, until no page left can
         hold one that the heap would take."""
         size = float(np.sqrt(query @ query))
+        exact = self.kind == np.float64 or size * self.largest < _EXACT_SINGLE
+        asked = query.astype(self.kind) if exact else query
         waiting: list[tuple[float, int, Page, float]] = [(-np.inf, 0, self.root, float(query @ self.center))]
         count = 0
         while waiting:
@@ -145,7 +152,10 @@ class MTree:
             open_ = np.flatnonzero(promised + _SLACK * (abs(score_above) + np.abs(promised)) >= least)
             if not len(open_):
                 continue
-            scores = page.objects[open_] @ query
+            if 2 * len(open_) > len(page.away):  # rows are not worth picking out
+                scores = (page.objects @ asked)[open_].astype(np.float64)
+            else:
+                scores = (page.objects[open_] @ asked).astype(np.float64)
             if page.below is None:
                 heap.offer(scores, page.places[open_])
                 continue
