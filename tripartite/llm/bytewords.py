@@ -8,6 +8,7 @@ about 2**-56 over the choice of the table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -56,6 +57,16 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[first:last], (offsets - first) if len(offsets) else np.zeros(1, np.int64)
 
 
+def slices(texts: pa.Array, most: int = 256 << 10) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of texts of some bytes in all, a longer text alone, and the place of the first."""
+    offsets = buffers(texts)[1]
+    at = 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        yield at, texts.slice(at, upto - at)
+        at = upto
+
+
 def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every word: a run of bytes that ``between`` does not mark."""
     inside = ~between[data]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +97,12 @@ def text_column(batch: pa.RecordBatch, name: str = "text") -> list[str | None]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
+def row_text(batch: pa.RecordBatch, place: int) -> pa.Array:
+    """A field of the struct ``row`` as text, null as empty: it need not be sent beside it."""
+    field = pc.struct_field(batch.column(batch.schema.get_field_index("row")), [place])
+    return pc.fill_null(pc.cast(field, pa.string()), "")
+
+
 def append(batch: pa.RecordBatch, keep: list[str], **added: pa.Array) -> pa.RecordBatch:
     """The named columns of ``batch`` unchanged, and new ones behind them."""
     kept = [batch.column(batch.schema.get_field_index(c)) for c in keep]
