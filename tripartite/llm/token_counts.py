@@ -12,7 +12,8 @@ one row from each task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -46,14 +47,15 @@ def _space_words(texts: pa.Array) -> np.ndarray:
 TOKENIZERS: dict[str, Counter] = {"byte_bpe_50k": _bpe, "space_words": _space_words}
 
 
-def counted(docs: DataFrame, tokenizers: dict[str, Counter] | None = None) -> DataFrame:
-    """(doc_id, source, lang, tokenizer, tokens), one row a document and tokenizer.
+def counted(docs: DataFrame, tokenizers: dict[str, Counter] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, source, lang, tokenizer, tokens) and the columns to ``keep``, one row a
+    document and tokenizer; a repeated row is a document of its own, whatever its id.
 
     The whole text is counted; null counts as empty, with 0 tokens.
     """
     versions = tokenizers or TOKENIZERS
-    picked = docs.select("doc_id", "source", "lang", text_of().alias("text"))
-    kept = ["doc_id", "source", "lang"]
+    kept = ["doc_id", "source", "lang", *keep]
+    picked = docs.select(*kept, text_of().alias("text"))
     schema = picked.select(*kept, F.array().cast("array<bigint>").alias("n")).schema
 
     def each():
@@ -85,13 +87,19 @@ def _summed(rows: DataFrame) -> DataFrame:
 
 
 def commit_batch(store: str, batch: str, rows: DataFrame) -> None:
-    """Write the sum of a batch's changes; the same batch again replaces it."""
-    _summed(rows).coalesce(1).write.mode("overwrite").parquet(f"{store}/deltas/batch={batch}")
+    """Write the sum of a batch's changes; the same batch again replaces it. Any text names
+    a batch, and ``01`` is another one than ``1``."""
+    folder = quote(batch, safe="")  # as Spark itself writes and reads such names
+    _summed(rows).coalesce(1).write.mode("overwrite").parquet(f"{store}/deltas/batch={folder}")
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+_SUMS = "source string, lang string, tokenizer string, documents long, tokens long"
+
+
+def _read_or_none(spark: SparkSession, path: str, more: str) -> DataFrame | None:
+    """With a schema, so that names of batches stay the text that they are."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(f"{_SUMS}, {more}").parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -100,10 +108,8 @@ def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 def _parts(spark: SparkSession, store: str) -> tuple[DataFrame | None, DataFrame | None]:
     """The newest snapshot, and the batches it does not hold."""
-    deltas = _read_or_none(spark, f"{store}/deltas")
-    snapshots = _read_or_none(spark, f"{store}/snapshots")
-    if deltas is not None:
-        deltas = deltas.withColumn("batch", F.col("batch").cast("string"))
+    deltas = _read_or_none(spark, f"{store}/deltas", "batch string")
+    snapshots = _read_or_none(spark, f"{store}/snapshots", "folded array<string>, version long")
     if snapshots is None:
         return None, deltas
     newest = snapshots.agg(F.max("version")).first()[0]
@@ -117,7 +123,7 @@ def totals(spark: SparkSession, store: str) -> DataFrame:
     """Documents and tokens by key over all committed batches; keys at zero are left out."""
     found = [p.select(*KEYS, *TOTALS) for p in _parts(spark, store) if p is not None]
     if not found:
-        return spark.createDataFrame([], "source string, lang string, tokenizer string, documents long, tokens long")
+        return spark.createDataFrame([], _SUMS)
     rows = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     return _summed(rows).where("documents <> 0 or tokens <> 0")
 
@@ -147,19 +153,19 @@ def op2_token_counts(spark: SparkSession, root: str) -> DataFrame:
     first batch is committed twice, to no effect.
     """
     store = scratch_path(spark, "token_rollup")
-    docs = read(spark, root, "documents").select("doc_id", "text", "source", "lang")
-    loaded = write_through(counted(docs), "token_counts")
+    docs = read(spark, root, "documents").select(
+        "doc_id", "text", "source", "lang", F.coalesce(F.col("text").rlike(MAIL), F.lit(False)).alias("mail")
+    )
+    loaded = write_through(counted(docs, keep=["mail"]), "token_counts")
     for _ in range(2):
         commit_batch(store, "load", changes(loaded, 1))
 
-    revised = docs.where(F.col("text").rlike(MAIL))
-    revised_ids = revised.select("doc_id").distinct()
-    before = loaded.join(revised_ids, "doc_id", "left_semi")
-    after = counted(revised.withColumn("text", F.regexp_replace("text", MAIL, "[mail]")))
-    current = write_through(after, "token_recounts")
-    commit_batch(store, "mask", revisions(before, current))
+    # Rows tell by themselves whether they are revised: ids may be shared or missing.
+    revised = docs.where("mail").withColumn("text", F.regexp_replace("text", MAIL, "[mail]"))
+    current = write_through(counted(revised), "token_recounts")
+    commit_batch(store, "mask", revisions(loaded.where("mail"), current))
 
     poor = read(spark, root, "labels").where("quality = 0").select("doc_id").distinct()
-    standing = loaded.join(revised_ids, "doc_id", "left_anti").unionByName(current)
+    standing = loaded.where("not mail").drop("mail").unionByName(current)
     commit_batch(store, "retract", changes(standing.join(poor, "doc_id", "left_semi"), -1))
     return totals(spark, store)
