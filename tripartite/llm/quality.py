@@ -217,7 +217,9 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     rate = min(1.0, SAMPLE / max(1.0, sizes.sum()))
     spark = docs.sparkSession
     drawn = docs.where(F.pmod(F.xxhash64(text_of(text)), F.lit(1 << 30)) < rate * (1 << 30))
-    drawn = write_through(voted(drawn, text).select("text", _pattern().alias("pattern")), "quality_sample")
+    # A text counts once, however often it was copied, so the sample keeps to its size.
+    once = drawn.select(text_of(text).alias(text)).distinct()
+    drawn = write_through(voted(once, text).select("text", _pattern().alias("pattern")), "quality_sample")
     shared = spark.sparkContext.broadcast(by_pattern)
     batches(spark)
 
