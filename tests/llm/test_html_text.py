@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from tripartite.llm import html_text as ht
@@ -62,6 +64,58 @@ def test_names_and_lists_take_no_article_text(page, text):
     assert ht.main_text(page) == text
 
 
+NOISE = "<p>First! I, for one, like, this, very, much, indeed, yes.</p>"
+
+
+@pytest.mark.parametrize(
+    "comments",
+    [
+        f"<section id='comments'>{NOISE}</section>", f"<div class='comment-list'>{NOISE}{NOISE}</div>",
+        f"<section id=comments><article class=comment>{NOISE}</article><article class='comment odd'>{NOISE}</article></section>",
+        f"<div id='disqus_thread'>{NOISE}</div>", "<div class='social-share'><a href=x>Share, it</a></div>",
+        "<div class='cookie-banner'><p>We, too, use cookies.</p></div>", f"<ol class='commentlist'><li>{NOISE}</ol>",
+    ],
+)
+def test_comments_go_inside_and_beside_the_article(comments):
+    body = f"<h1>Head</h1>{TEXT}{TEXT}{TEXT}"
+    want = "\n\n".join(["Head", PLAIN, PLAIN, PLAIN])
+    assert ht.main_text(f"<article>{body}{comments}</article>") == want
+    assert ht.main_text(f"<div id=content>{body}</div>{comments}") == want
+    assert ht.main_text(f"<main><div class='post'>{body}</div>{comments}</main>") == want
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<div class='has-comments'>{TEXT}{TEXT}</div><div class='comments'>{NOISE}</div>", f"{PLAIN}\n\n{PLAIN}"),
+        (f"<div id='social-network'><h1>On it</h1>{TEXT}</div>", f"On it\n\n{PLAIN}"),
+        (f"<div id='comment-page'><article>{TEXT}</article></div>", PLAIN),
+    ],
+)
+def test_names_spare_what_holds_the_article(page, text):
+    assert ht.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<script " * 120_000, "<!" * 400_000, "<a href='" * 100_000, "<script " * 120_000 + ">", "</p>" * 200_000,
+        "<div>x" * 50_000, "<div><p>a, b" * 50_000, "<article>" * 50_000 + "<p>x", "<div class=comment>a" * 30_000,
+        "<div>" * 30_000 + "<p>x</b></i>" * 30_000, "<svg x" * 100_000 + "<p>x</p>",
+    ],
+)
+def test_broken_and_deep_markup_takes_linear_time(page):
+    start = time.process_time()
+    ht.main_text(page)
+    assert time.process_time() - start < 4
+
+
+def test_text_behind_the_last_tag():
+    assert ht.main_text("<p>a</p>b <c d") == "a\n\nb"
+    assert ht.main_text("<p>a</p>b <!-- c <p> d") == "a\n\nb"
+    assert ht.main_text("x < y, z <1") == "x < y, z <1"
+
+
 def test_long_and_deep_pages():
     body = "".join(f"<p>Paragraph {i}, with words.</p>" for i in range(3000))
     assert ht.main_text(f"<article>{body}</article>").count("\n\n") == 2999

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -52,27 +53,36 @@ NO_ARTICLE_NAMES = frozenset(
     " subscription signup login popup modal overlay cookie cookies consent gdpr notice notices alert"
     " disclaimer skip hidden print copyright".split()
 )
+# Names that take an element out inside articles too: where a class or id begins with one,
+# and, unless the element has a third of the points, where one is a part of it.
+ASIDE_NAMES = frozenset(
+    "comment comments commentlist disqus respond replies share sharing social cookie cookies consent gdpr".split()
+)
 BASE = {"article": 30.0, "main": 20.0, "section": 5.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0,
         "ul": -3.0, "ol": -3.0, "dl": -3.0, "address": -3.0, "header": -5.0}
 NAME_MALUS = 5.0  # points that a name of no article, in part or as id, costs an element
 SCORED = frozenset("p pre td blockquote li dd figcaption div section article main body center".split())
+LEVELS = 32  # ancestors that a paragraph's points reach
 KEEP_ANYWAY = frozenset("html body main article".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?:svg|math)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?<=/)>"
-    r"|<(?P<raw>" + "|".join(sorted(RAW)) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(?:svg|math)(?=[\s/])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    r"|<(?P<raw>" + "|".join(sorted(RAW)) + r")(?=[\s/>])(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/<>]*+)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*>"
     r"|<[a-z][^<>]*>?",
     re.S | re.I,
 )
+# Behind the last ">" no tag ends: what looks like one there is left out up to the next.
+_UNENDED = re.compile(r"<!--.*|<[a-z!?/][^<]*", re.S | re.I)
 _ATTR = re.compile(r"""([a-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NAME_PARTS = re.compile(r"[^a-z0-9]+")
 
 
-NOT, NAMED, KEPT = 2, 1, 0  # no article by tag or role; by a class; neither
+# No article by tag or role; by how a name begins; by a part of a name; by a class; neither.
+NOT, ASIDE, PARTLY, NAMED, KEPT = 4, 3, 2, 1, 0
 
 
 def _no_article(tag: str, attrs: str, inside_article: bool) -> tuple[int, bool]:
@@ -87,17 +97,48 @@ def _no_article(tag: str, attrs: str, inside_article: bool) -> tuple[int, bool]:
     if _HIDDEN.search(found.get("style", "")) or re.search(r"(?:^|\s)hidden(?:\s|$)", _ATTR.sub("", attrs)):
         return NOT, False
     classes = found.get("class", "").lower()
-    parts = _NAME_PARTS.split(f"{classes} {found.get('id', '').lower()}")
-    named = not NO_ARTICLE_NAMES.isdisjoint(classes.split())
-    return NAMED if named else KEPT, not NO_ARTICLE_NAMES.isdisjoint(parts)
+    names = f"{classes} {found.get('id', '').lower()}".split()
+    parts = [part for name in names for part in _NAME_PARTS.split(name)]
+    less = not NO_ARTICLE_NAMES.isdisjoint(parts)
+    if tag == "article":  # may say of itself that it has comments; a comment has that name whole
+        begins, holds = classes.split(), []
+    else:
+        begins, holds = [_NAME_PARTS.split(name)[0] for name in names], parts
+    if not ASIDE_NAMES.isdisjoint(begins):
+        return ASIDE, less
+    if not ASIDE_NAMES.isdisjoint(holds):
+        return PARTLY, less
+    return KEPT if NO_ARTICLE_NAMES.isdisjoint(classes.split()) else NAMED, less
+
+
+TAKEN = (NAMED, PARTLY, ASIDE)
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "at", "score", "chars", "links", "dropped", "named", "malus", "holds", "points")
+    """An element; what its ancestors say about it is kept with it, so nobody walks up."""
+
+    __slots__ = (
+        "tag", "parent", "at", "depth", "holder", "in_article", "in_link", "score", "chars", "links", "dropped",
+        "kind", "malus", "holds", "heads", "points", "nearest",
+    )
 
-    def __init__(self, tag: str, parent: _Node | None, at: int, dropped: bool, named: bool = False, malus: float = 0.0):
-        self.tag, self.parent, self.at, self.dropped, self.named, self.malus = tag, parent, at, dropped, named, malus
-        self.score, self.chars, self.links, self.holds, self.points = 0.0, 0, 0, False, 0.0
+    def __init__(self, tag: str, parent: _Node | None, at: int, dropped: bool, kind: int = KEPT, malus: float = 0.0):
+        self.tag, self.parent, self.at, self.dropped, self.kind, self.malus = tag, parent, at, dropped, kind, malus
+        self.score, self.chars, self.links, self.points = 0.0, 0, 0, 0.0
+        self.holds = self.heads = False
+        self.nearest: _Node | None = None
+        self.depth = parent.depth + 1 if parent else 0
+        self.in_article = tag in ("article", "main") or (parent is not None and parent.in_article)
+        self.in_link = tag == "a" or (parent is not None and parent.in_link)
+        # The element that text inside belongs to.
+        self.holder: _Node = self if parent is None or kind in TAKEN or tag in BLOCK else parent.holder
+
+
+def _ended(token: re.Match) -> bool:
+    """Whether a comment or raw text has come to its own end."""
+    if token["raw"]:
+        return re.search(rf"</{token['raw']}\s*>\Z", token[0], re.I) is not None
+    return not token[0].startswith("<!--") or token[0].endswith("-->")
 
 
 class _Page:
@@ -106,6 +147,8 @@ class _Page:
     def __init__(self) -> None:
         self.root = _Node("#root", None, 0, False)
         self.stack = [self.root]
+        self.nodes = [self.root]  # parents before their children
+        self.open: Counter[str] = Counter()
         self.blocks: list[tuple[_Node, str]] = []
         self.linked_chars: list[int] = []
         self.named: list[_Node] = []  # outer ones first
@@ -117,17 +160,19 @@ class _Page:
         if self.text:
             block = " ".join("".join(self.text).split())
             if block:
-                holder = next(n for n in reversed(self.stack) if n.tag in BLOCK or n.named or n is self.root)
-                self.blocks.append((holder, block))
+                self.blocks.append((self.stack[-1].holder, block))
                 self.linked_chars.append(min(self.linked, len(block)))
         self.text, self.linked = [], 0
 
     def pop_to(self, depth: int) -> None:
-        if any(n.tag in BLOCK or n.dropped or n.named for n in self.stack[depth:]):
+        if any(n.tag in BLOCK or n.dropped or n.kind != KEPT for n in self.stack[depth:]):
             self.flush()
+        self.open.subtract(n.tag for n in self.stack[depth:])
         del self.stack[depth:]
 
     def close(self, tags: set[str] | frozenset[str], until: set[str] | frozenset[str]) -> None:
+        if not any(self.open[tag] for tag in tags):
+            return
         for depth in range(len(self.stack) - 1, 0, -1):
             tag = self.stack[depth].tag
             if tag in tags:
@@ -146,23 +191,38 @@ class _Page:
             if tag in ENDS_LIKE:
                 self.close(*ENDS_LIKE[tag])
         top = self.stack[-1]
-        dropped, named, less = top.dropped, False, False
+        dropped, kind, less = top.dropped, KEPT, False
         if not dropped:
-            kind, less = _no_article(tag, attrs, any(n.tag in ("article", "main") for n in self.stack))
-            dropped, named = kind == NOT, kind == NAMED
-        if tag in BLOCK or named or (dropped and not top.dropped):
+            kind, less = _no_article(tag, attrs, top.in_article)
+            dropped = kind == NOT
+        if tag in BLOCK or kind in TAKEN or (dropped and not top.dropped):
             self.flush()
-        if tag not in VOID and not attrs.endswith("/"):
-            if tag in ("article", "main") and not dropped:
-                for node in self.stack:
-                    node.holds = True
-            self.stack.append(_Node(tag, top, len(self.blocks), dropped, named, NAME_MALUS if less else 0.0))
-            if named:
-                self.named.append(self.stack[-1])
+        if tag in VOID or attrs.endswith("/"):
+            return
+        node = _Node(tag, top, len(self.blocks), dropped, kind, NAME_MALUS if less else 0.0)
+        if not dropped:
+            if tag in ("article", "main") and kind != ASIDE:
+                self.mark("holds")
+            elif tag == "h1":
+                self.mark("heads")
+        self.stack.append(node)
+        self.nodes.append(node)
+        self.open[tag] += 1
+        if kind in TAKEN:
+            self.named.append(node)
+
+    def mark(self, flag: str) -> None:
+        """Tell the open elements what they hold; the ancestors of one that knows know it."""
+        for node in reversed(self.stack):
+            if getattr(node, flag):
+                return
+            setattr(node, flag, True)
 
     def end(self, tag: str) -> None:
         if tag == "br":
             self.text.append(" ")
+        if not self.open[tag]:
+            return
         inline = tag not in BLOCK and tag not in NO_TEXT
         for depth in range(len(self.stack) - 1, 0, -1):
             open_tag = self.stack[depth].tag
@@ -176,43 +236,50 @@ class _Page:
         if text and not self.stack[-1].dropped:
             text = html.unescape(text) if "&" in text else text
             self.text.append(text)
-            if any(n.tag == "a" for n in self.stack):
+            if self.stack[-1].in_link:
                 self.linked += len(text.strip())
 
     def read(self, page: str) -> None:
-        at = 0
-        for token in _TOKEN.finditer(page):
+        at, upto, token = 0, page.rfind(">") + 1, None
+        for token in _TOKEN.finditer(page, 0, upto):
             self.words(page[at : token.start()])
             at = token.end()
             tag = token["tag"]
-            if tag:
-                (self.end if token["end"] else lambda t, a=token["attrs"]: self.start(t, a))(tag.lower())
-        self.words(page[at:])
+            if tag and token["end"]:
+                self.end(tag.lower())
+            elif tag:
+                self.start(tag.lower(), token["attrs"])
+        self.words(page[at:upto])
+        if token is None or token.end() < upto or _ended(token):
+            self.words(_UNENDED.sub("", page[upto:]))
         self.flush()
         self.settle()
 
     def settle(self) -> None:
-        """Take out the elements that their class names, and add up the text of the others."""
+        """Take out the elements that their names name, and add up the text of the others."""
         total = 0.0
         for holder, block in self.blocks if self.named else ():
-            points = _points(block)
-            total += points
-            node: _Node | None = holder
-            while node is not None:
-                node.points += points
-                node = node.parent
+            holder.points += _points(block)
+            total += _points(block)
+        for node in reversed(self.nodes if self.named else []):
+            if node.parent is not None:
+                node.parent.points += node.points
         for node in self.named:
-            node.dropped = not node.holds and 2 * node.points <= total
+            most = {NAMED: 0.5, PARTLY: 1 / 3, ASIDE: 0.9}[node.kind] * total
+            spared = node.holds or (node.heads and node.kind != NAMED)
+            node.dropped = not spared and node.points <= most
+        for node in self.nodes:
+            node.dropped = node.dropped or (node.parent is not None and node.parent.dropped)
         left = []
         for (holder, block), links in zip(self.blocks, self.linked_chars, strict=True):
-            above = [holder]
-            while above[-1].parent is not None:
-                above.append(above[-1].parent)
-            if not any(n.dropped for n in above):
+            if not holder.dropped:
                 left.append((holder, block))
-                for node in above:
-                    node.chars += len(block)
-                    node.links += links
+                holder.chars += len(block)
+                holder.links += links
+        for node in reversed(self.nodes):
+            if node.parent is not None:
+                node.parent.chars += node.chars
+                node.parent.links += node.links
         self.blocks = left
 
 
@@ -229,7 +296,7 @@ def _score(page: _Page) -> dict[int, _Node]:
         node, share, level = (holder.parent if paragraph else holder), 1.0, 0
         if holder.tag not in SCORED:
             points *= 0.25
-        while node is not None and node is not page.root:
+        while node is not None and node is not page.root and level < LEVELS:
             node.score += points * share
             candidates[id(node)] = node
             level += 1
@@ -256,7 +323,7 @@ def main_text(page: str | None) -> str:
     if not candidates:
         return "\n\n".join(block for _, block in tree.blocks)
     # Ties go to the element that begins first, then to the inner one.
-    best = max(candidates.values(), key=lambda n: (_final(n), -n.at, _depth(n)))
+    best = max(candidates.values(), key=lambda n: (_final(n), -n.at, n.depth))
     node = best
     while node is not None:
         if node.tag in ("article", "main"):
@@ -274,11 +341,11 @@ def main_text(page: str | None) -> str:
                 kept.add(id(holder))
             elif holder.parent is best.parent and holder.tag in ("h1", "h2") and density == 0:
                 kept.add(id(holder))
+    for node in tree.nodes:
+        node.nearest = node if id(node) in kept else node.parent and node.parent.nearest
     out = []
     for holder, block in tree.blocks:
-        node = holder
-        while node is not None and id(node) not in kept:
-            node = node.parent
+        node = holder.nearest
         # The container's own lists stay, unless it is the whole page.
         inside = node is best and best.tag not in ("body", "html")
         if node is not None and (inside or not (holder.tag in ("ul", "ol", "li") and _mostly_links(holder))):
@@ -286,13 +353,6 @@ def main_text(page: str | None) -> str:
     return "\n\n".join(out)
 
 
-def _depth(node: _Node) -> int:
-    depth = 0
-    while node.parent is not None:
-        node, depth = node.parent, depth + 1
-    return depth
-
-
 def _mostly_links(item: _Node) -> bool:
     """Whether the whole list that an item belongs to is links, as a menu without a name is."""
     group = item.parent if item.tag == "li" and item.parent is not None else item
