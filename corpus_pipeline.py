@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tripartite.llm import decontaminate, exact_dedup, jaccard_join, packing, toxicity
 from tripartite.llm.common import fold, read
-from tripartite.sources.scratch import write_through
+from tripartite.sources.scratch import drop_folder, scratch_path, workspace, write_through
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +60,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """Rows of the last stage. What a stage writes on the way goes when its rows have been
+    written, and its rows when the next stage's have."""
+    docs, former = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = write_through(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with workspace(spark):
+            docs = write_through(stage(spark, docs, sf_dir), name, path)
+        if former:
+            drop_folder(spark, former)
+        former = path
     return docs
