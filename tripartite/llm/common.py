@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -110,17 +109,6 @@ def append(batch: pa.RecordBatch, keep: list[str], **added: pa.Array) -> pa.Reco
     return pa.RecordBatch.from_arrays([*kept, *added.values()], names=[*keep, *added])
 
 
-_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-
-
-def release() -> None:
-    """Give the system back what Arrow and the allocator keep: a Python worker lives on, for
-    other tasks and stages, beside the executor's own memory."""
-    pa.default_memory_pool().release_unused()
-    if _trim is not None:
-        _trim(0)
-
-
 def map_batches(
     df: DataFrame, each: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: StructType | str
 ) -> DataFrame:
@@ -128,10 +116,8 @@ def map_batches(
     batches(df.sparkSession)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work, part = each(), None
+        work = each()
         for part in parts:
             yield work(part)
-        work = part = None
-        release()
 
     return df.mapInArrow(run, schema)
