@@ -13,7 +13,6 @@ benchmark words, one end id. Repeated rows are copies. Columns of any name are k
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripartite.llm import decontaminate, exact_dedup, jaccard_join, packing, toxicity
 from tripartite.llm.common import fold, read

@@ -6,7 +6,6 @@ import zlib
 from collections import defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from tripartite.llm import conversation as cv
 from tripartite.llm import turn_lattice as tl
