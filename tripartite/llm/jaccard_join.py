@@ -13,7 +13,7 @@ components; there all pairs across components are counted, and those with enough
 verified. No class is lost, as a pair left out lies within one component already. Where the
 links themselves are wanted, :func:`linked` then counts all pairs within components as well.
 
-A pair is verified in two steps. Parity bitmaps give a lower bound on how much two sets
+A pair is verified in steps. Parity bitmaps, folded to 256 bits where entries meet and then whole, give a lower bound on how much two sets
 differ and turn most unlinked pairs away; the texts of the others are compared in full.
 Copies with one set are one node from the beginning. Everything that is broadcast has a
 fixed size: the list of frequent shingles and two bitmaps that save shuffles but decide
@@ -31,7 +31,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from tripartite.llm.bitmaps import bitmap, has, slot
 from tripartite.llm.common import batches, most_frequent, packed, read, text_of, unpacked
 from tripartite.llm.components import components
-from tripartite.llm.shingles import common, fingerprint, least_difference, parity, shingle_sets
+from tripartite.llm.shingles import common, fingerprint, least_difference, parity, shingle_sets, sketch
 from tripartite.sources.scratch import write_through
 
 PERCENT = 85
@@ -39,6 +39,7 @@ MOST_MATCHES = 4
 FREQUENT = 200_000  # shingles whose frequency is known to the order
 FREQUENT_IN_BATCH = 3
 MEMBERS = 256  # of an entry and component that one salt pairs with all others
+SKETCH = ("s0", "s1", "s2", "s3")  # columns of a node's folded bitmap
 PAIR_COST = 20  # of looking at one candidate, in prefix entries
 
 
@@ -128,7 +129,7 @@ def prefix(shingles: np.ndarray, known: np.ndarray, counts: np.ndarray) -> tuple
 
 
 def _nodes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """One row for each distinct set: id, fp, n, matches, prefix, bitmap, least key."""
+    """One row for each distinct set: id, fp, n, matches, prefix, bitmap, sketch, least key."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(parts):
@@ -152,6 +153,8 @@ def _nodes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFram
                 rows.append(k)
                 least.append(keys[k])
             found = [prefix(sets[k], known, counts) for k in rows]
+            bitmaps = [parity(sets[k]) for k in rows]
+            sketches = np.array([sketch(b, len(SKETCH)) for b in bitmaps], np.int64).reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(list(kept), pa.binary()),
@@ -159,16 +162,18 @@ def _nodes(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFram
                     pa.array([len(sets[k]) for k in rows], pa.int64()),
                     pa.array([m for _, m in found], pa.int64()),
                     pa.array([p.tobytes() for p, _ in found], pa.binary()),
-                    pa.array([parity(sets[k]) for k in rows], pa.binary()),
+                    pa.array(bitmaps, pa.binary()),
+                    *[pa.array(np.ascontiguousarray(part)) for part in sketches.T],
                 ],
-                names=["fp", "key", "n", "matches", "prefix", "bitmap"],
+                names=["fp", "key", "n", "matches", "prefix", "bitmap", *SKETCH],
             )
 
     kind = dict(docs.dtypes)["key"]
-    each = docs.mapInArrow(run, f"fp binary, key {kind}, n long, matches long, prefix binary, bitmap binary")
+    schema = f"fp binary, key {kind}, n long, matches long, prefix binary, bitmap binary"
+    each = docs.mapInArrow(run, schema + "".join(f", {c} long" for c in SKETCH))
     once = each.groupBy("fp").agg(
         F.min("key").alias("key"),
-        *[F.first(c).alias(c) for c in ("n", "matches", "prefix", "bitmap")],
+        *[F.first(c).alias(c) for c in ("n", "matches", "prefix", "bitmap", *SKETCH)],
     )
     # The ids are fixed by being written.
     return write_through(once.withColumn("id", F.monotonically_increasing_id()), "sets")
@@ -229,16 +234,23 @@ def _hub_pairs(entries: DataFrame) -> DataFrame:
     return paired.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
 
 
-def _remaining_pairs(entries: DataFrame, found: DataFrame) -> DataFrame:
-    """All pairs across components with as many matches as the lesser l of the two asks for."""
-    labelled = entries.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def _remaining_pairs(entries: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """All pairs across components with as many matches as the lesser l of the two asks for.
+
+    Most of the others share their place in a family of near copies, and with it matches of
+    any number; sketches that travel with the entries turn pairs away where they meet.
+    """
+    known = nodes.select("id", *SKETCH).join(found, "id", "left")
+    labelled = entries.join(known.withColumn("component", F.coalesce("component", "id")), "id")
     labelled = write_through(labelled, "labelled_entries")
     mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     labelled = labelled.join(mixed.where("low < high").select("token"), "token", "left_semi")
-    side = labelled.select("token", "component", "id", "n", "matches", "pos")
+    side = labelled.select("token", "component", "id", "n", "matches", "pos", *SKETCH)
     a = side.select("token", *[F.col(c).alias(f"{c}_a") for c in side.columns[1:]])
     b = side.select("token", *[F.col(c).alias(f"{c}_b") for c in side.columns[1:]])
-    return _enough(a.join(b, "token").where("id_a < id_b and component_a <> component_b"))
+    met = a.join(b, "token").where("id_a < id_b and component_a <> component_b")
+    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
+    return _enough(met.where(differ * (100 + PERCENT) <= (F.col("n_a") + F.col("n_b")) * (100 - PERCENT)))
 
 
 def _pairs_within(entries: DataFrame, found: DataFrame) -> DataFrame:
@@ -359,7 +371,7 @@ class _Joined:
         self.entries = _shared_entries(self.nodes)
         first = _links(self.source, self.nodes, write_through(_hub_pairs(self.entries), "hub_pairs"))
         self.found = write_through(components(first), "first_components")
-        pairs = write_through(_remaining_pairs(self.entries, self.found), "remaining_pairs")
+        pairs = write_through(_remaining_pairs(self.entries, self.nodes, self.found), "remaining_pairs")
         if not pairs.isEmpty():
             self.found = components(first.unionByName(_links(self.source, self.nodes, pairs)))
 

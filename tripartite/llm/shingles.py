@@ -65,6 +65,14 @@ def parity(shingles: np.ndarray, least_bits: int = 256, most_bits: int = 1 << 16
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def sketch(bitmap: bytes, words: int = 4) -> np.ndarray:
+    """A bitmap of :func:`parity` folded to ``words`` 64-bit numbers; its bound holds for it too."""
+    x = np.frombuffer(bitmap, np.int64)
+    while len(x) > words:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
 def least_difference(a: bytes, b: bytes) -> int:
     """A lower bound on the size of the symmetric difference."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
