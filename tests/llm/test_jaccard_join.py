@@ -3,9 +3,11 @@ import random
 import numpy as np
 import pytest
 from cases import awkward, empty
+from pyspark.sql import functions as F
 
 from tripartite.llm import components as cc
 from tripartite.llm import jaccard_join as jj
+from tripartite.llm.shingles import parity, sketch
 from test_bytes import brute_set
 
 
@@ -61,6 +63,51 @@ def test_families_against_all_pairs(spark, seed):
     assert got(df) == brute(rows)
 
 
+def test_families_below_the_bound(spark):
+    """Pairs at similarities of about 0.6 to 0.84, some links among them, edits shared or not."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(150)]
+    shared = [(rng.randrange(150), f"s{k}") for k in range(12)]
+    texts = []
+    for k in range(120):
+        own = list(base)
+        for at, word in rng.sample(shared, rng.randint(2, 6)):
+            own[at] = word
+        for _ in range(rng.randint(0, 3) if k % 2 else 0):
+            own[rng.randrange(150)] = f"e{rng.randint(0, 10**6)}"
+        texts.append(" ".join(own))
+    sets = [brute_set(t) for t in texts]
+    between = [len(x & y) / len(x | y) for x in sets for y in sets if x is not y]
+    assert min(between) < 0.65 and sum(0.6 <= j < 0.85 for j in between) > len(between) / 2
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(df) == brute(rows)
+    # Links are not lost to the sketches, and most other pairs go there.
+    joined = jj._Joined(df, "doc_id", "text")
+    nobody = joined.nodes.select("id", F.col("id").alias("component")).where("false")
+    fp = {r.id: r.key for r in joined.nodes.collect()}
+    kept = {tuple(sorted((fp[a], fp[b]))) for a, b in jj._remaining_pairs(joined.entries, joined.nodes, nobody).collect()}
+    nodes = sorted(fp.values())
+    links = {
+        (a, b)
+        for a in nodes
+        for b in nodes
+        if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    }
+    assert links and links <= kept
+    assert len(kept - links) < (len(nodes) * (len(nodes) - 1) / 2 - len(links)) / 3
+
+
+def test_a_sketch_bounds_the_difference():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 40, 700, 5000):
+        one = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        other = np.unique(np.concatenate([one[n // 5 :], rng.integers(0, 1 << 62, n // 6).astype(np.uint64)]))
+        x, y = (sketch(parity(s)) for s in (one, other))
+        assert len(x) == len(y) == len(jj.SKETCH)
+        assert int(np.bitwise_count((x ^ y).view(np.uint64)).sum()) <= len(np.setxor1d(one, other))
+
+
 @pytest.mark.parametrize("members", [jj.MEMBERS, 7])
 def test_every_link_is_found_and_counted(spark, monkeypatch, members):
     monkeypatch.setattr(jj, "MEMBERS", members)
