@@ -58,6 +58,21 @@ def test_held_out_texts(spark):
     assert all(e % 4 != 2 for r in rows for e in r.examples) and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_every_term_tied_to_the_label_is_kept(spark):
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(rng.choice(letters) for _ in range(9)) for _ in range(800)]
+    rows = [(i, " ".join(rng.sample(words, 800)), "en", "s", None, None, None, None) for i in range(20)]
+    plain = lambda: " ".join("".join(rng.choice(letters) for _ in range(3)) for _ in range(30))
+    rows += [(i, plain(), "en", "s", None, None, None, None) for i in range(20, 80)]
+    labels = spark.createDataFrame([(i, None, int(i < 20)) for i in range(80)], LABELS)
+    model = tx.fit(spark.createDataFrame(rows, SCHEMA), labels)
+    data, starts, ends, _ = tx._text_words(pa.array([" ".join(words)]))
+    _, found = tx.terms(data, starts, ends)
+    assert (model.vocabulary.find(found[: len(words)]) >= 0).all()
+    assert len(model.vocabulary.key) > 3 * len(words)
+
+
 def test_awkward_rows(spark):
     docs, labels = corpus(spark, 200)
     model = tx.fit(docs, labels)

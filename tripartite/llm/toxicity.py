@@ -8,7 +8,7 @@ hold a nearer example. The examples vote, weighted by distance, and an isotonic
 sample turns votes into probabilities. The examples that voted are the evidence.
 
 The model is fitted on a bounded sample of labelled rows, so index, vocabulary and
-calibration have a fixed size and are broadcast. Scoring is a narrow map over all texts.
+calibration are bounded by it and are broadcast. Scoring is a narrow map over all texts.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from tripartite.sources.scratch import write_through
 
 TOXIC_SAMPLE, OTHER_SAMPLE = 3000, 6000  # rows the model is fitted on, on average
 TOXIC_EXAMPLES, OTHER_EXAMPLES = 1500, 1500  # of those, rows in the index
-TERMS = 2048  # terms of the vocabulary
 LEAST_TEXTS, LEAST_CHI2, LEAST_LIFT = 3, 30.0, 25.0  # what a term needs in the sample
 BANDS = 6  # of two minima of shingle hashes: texts that share a band count as one text
 GRAMS = (4, 5, 6)  # bytes of the letter sequences, a space counting at a word's begin
@@ -326,13 +325,11 @@ def _select(sample: DataFrame, n_toxic: int, n_other: int) -> Vocabulary:
     total = float(n_toxic + n_other)
     lean = a * total - n * n_toxic
     chi2 = lean * lean * total / (n * (total - n) * n_toxic * n_other)
-    # Ties are cut by the hash, so the vocabulary is the same in every run.
+    # Every term that passes: the sample is bounded, and with it the vocabulary.
     kept = (
         found.where((n >= LEAST_TEXTS) & (n < total) & (lean > 0))
         .withColumn("chi2", chi2)
         .where((F.col("chi2") >= LEAST_CHI2) & (a * n_other >= LEAST_LIFT * n_toxic * (n - a)))
-        .orderBy(F.desc("chi2"), "h")
-        .limit(TERMS)
         .select("h", "n")
         .collect()
     )
