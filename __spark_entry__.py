@@ -87,6 +87,10 @@ def _fact(spark: SparkSession, root: str, as_of: date = AS_OF) -> DataFrame:
     return plans.build_fact(_staged(spark, root, *FOR_BREAKS), as_of)
 
 
+def _facts(spark: SparkSession, root: str, *days: date) -> list[DataFrame]:
+    return plans.build_facts(_staged(spark, root, *FOR_BREAKS), days)
+
+
 def _truth(spark: SparkSession, root: str) -> DataFrame:
     return tpch.planted_breaks(tune(spark), root)
 
@@ -142,7 +146,7 @@ def _materialize_breaks(spark: SparkSession, root: str) -> DataFrame:
 def _snapshot_incremental(spark: SparkSession, root: str) -> DataFrame:
     """Two days, and the first of them captured again to no effect."""
     path = scratch_path(spark, "fct_daily_break_snapshot")
-    earlier, fact = (_fact(spark, root, day) for day in (DAY_BEFORE, AS_OF))
+    earlier, fact = _facts(spark, root, DAY_BEFORE, AS_OF)
     sources.snapshot_breaks(earlier, path, DAY_BEFORE)
     sources.snapshot_breaks(fact, path, DAY_BEFORE)
     sources.snapshot_breaks(fact, path, AS_OF)
@@ -170,7 +174,7 @@ def _snapshot_evolution(spark: SparkSession, root: str) -> DataFrame:
 
 def _delete_insert(spark: SparkSession, root: str) -> DataFrame:
     """Day one's high breaks corrected and day two added, by (snapshot_date, break_key)."""
-    earlier, fact = (_fact(spark, root, day) for day in (DAY_BEFORE, AS_OF))
+    earlier, fact = _facts(spark, root, DAY_BEFORE, AS_OF)
     first = sources.snapshot_rows(earlier, DAY_BEFORE)
     corrected = first.where(F.col("severity") == "high").withColumn(
         "description", F.lit("rechecked")
@@ -182,7 +186,7 @@ def _delete_insert(spark: SparkSession, root: str) -> DataFrame:
 def _snapshot_correct(spark: SparkSession, root: str) -> DataFrame:
     """The same on the stored history: day one is rewritten, day two is new."""
     path = scratch_path(spark, "fct_daily_break_snapshot")
-    earlier, fact = (_fact(spark, root, day) for day in (DAY_BEFORE, AS_OF))
+    earlier, fact = _facts(spark, root, DAY_BEFORE, AS_OF)
     sources.snapshot_breaks(earlier, path, DAY_BEFORE)
     first = sources.read_snapshot(spark, path)
     corrected = first.where(F.col("severity") == "high").withColumn(

@@ -171,6 +171,37 @@ def test_one_read_of_the_claims_finds_what_the_rules_find(spark):
     )
 
 
+def test_claims_that_lie_by_claim_give_the_same_breaks(spark):
+    """Repeated and null ids, copies of payments, claims and terms, payments on a contract
+    under several claims."""
+    held = contracts(
+        spark,
+        *[("C1", "S1", "M1", "2025-01-01", "50.00", "100.00")] * 2, ("C2", "S2", "M1", "2025-01-01", "50.00", None),
+        ("C3", "S3", "M2", "2025-01-01", "50.00", "10.00"), ("C3", "S4", "M3", "2025-01-02", "50.00", "20.00"),
+        (None, "S5", "M1", "2025-01-01", "50.00", "1.00"),
+    )
+    filed = claims(
+        spark,
+        ("K1", "C1", "V1", "2025-03-01", "80.00"), ("K1", "C3", "V0", "2025-03-02", "81.00"),
+        *[("K2", "C404", "V1", "2025-03-01", "80.00")] * 2, ("K3", "C3", None, None, None),
+        ("K4", None, "V1", "2025-03-01", "5.00"), (None, "C1", "V1", "2025-03-01", "5.00"),
+        ("K5", "C1", "V1", "2025-03-01", "5.00"), ("K6", "C2", "V2", "2025-03-01", "5.00"),
+    )
+    made = payments(
+        spark,
+        ("R1", "K1", "V9", "2025-03-20", "60.00"), *[("R2", "K1", "V9", "2025-03-20", "90.00")] * 2,
+        ("R3", "K2", "V9", "2025-03-20", "80.02"), ("R4", "K3", "V9", "2025-03-20", "30.00"),
+        ("R5", "K4", "V9", "2025-03-20", None), ("R6", None, "V9", "2025-03-20", "30.00"),
+        ("R7", "K5", "V9", None, "50.00"), ("R8", "K6", "V9", "2025-03-20", None), ("R9", "K6", "V9", None, None),
+    )
+    terms = op.contract_terms(held)
+    for read in (op.paid_claims(filed, made), op.claim_lifecycle(filed, made, held)):
+        found = op.claim_breaks(read, terms, dealt=True)
+        assert found.schema == op.claim_breaks(read, terms).schema
+        assert rows(found) == rows(op.claim_breaks(read, terms))
+        assert len(rows(found.where("break_type = 'coverage_exceeded'"))) == 4
+
+
 def test_orphan_claim_needs_no_payments(spark):
     filed = claims(spark, ("K1", "C404", "V1", "2025-03-01", "80.00"), ("K2", None, "V1", "2025-03-01", "5.00"))
     held = contracts(spark, ("C1", "S1", "M1", "2025-01-01", "50.00", "500.00"))

@@ -191,6 +191,29 @@ def test_rules_on_payments_join_what_they_use(spark, tmp_path, staged, name, joi
         assert len(re.findall(r"(?:SortMerge|Hash)Join", plan_of(df))) == joins
 
 
+def test_claims_that_lie_by_claim_travel_once_more(spark, tmp_path, staged):
+    """Two shuffles meet payments and claims, two what they found and the terms."""
+    read = {}
+    for feed, df in staged.items():
+        df.write.parquet(f"{tmp_path}/{feed}")
+        read[feed] = spark.read.parquet(f"{tmp_path}/{feed}")
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        paid = op.paid_claims(read["stg_claims"], read["stg_servicer_reimbursements"])
+        found = op.claim_breaks(paid, op.contract_terms(read["stg_contracts"]), dealt=True)
+        assert plan_of(found).count("Exchange hashpartitioning") == 4
+
+
+def test_facts_of_several_days_find_the_breaks_of_claims_once(spark, tmp_path, staged, monkeypatch):
+    days = [driver.DAY_BEFORE, driver.AS_OF]
+    written = []
+    real = plans.pipeline.write_through
+    monkeypatch.setattr(plans.pipeline, "write_through", lambda df, name: written.append(name) or real(df, name))
+    facts = plans.build_facts(staged, days)
+    assert written == ["claim_breaks"]
+    for day, fact in zip(days, facts, strict=True):
+        assert rows(fact) == rows(plans.build_fact(staged, day))
+
+
 def test_contract_detail_does_not_shuffle_all_sales(spark, tmp_path, staged):
     for feed in ("stg_contracts", "stg_merchant_sales"):
         staged[feed].write.parquet(f"{tmp_path}/{feed}")

@@ -4,6 +4,7 @@ from tripartite.plans.pipeline import (
     PipelineRun,
     build_breaks,
     build_fact,
+    build_facts,
     feed_counts,
     land_feeds,
     lay_out_feeds,
@@ -63,6 +64,7 @@ __all__ = [
     "break_type_summary",
     "build_breaks",
     "build_fact",
+    "build_facts",
     "contract_detail",
     "detected_counts",
     "dq_summary",
