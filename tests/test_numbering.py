@@ -1,6 +1,9 @@
+import re
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tripartite.operators import numbering
 from tripartite.operators.detect import finish_breaks
 from tripartite.operators.numbering import BREAK_ORDER, number_rows, with_break_key
 from tripartite.schemas import FACT_COLUMNS
@@ -80,3 +83,8 @@ def test_offsets_come_from_footers(spark, tmp_path):
 def test_numbering_an_empty_table(spark):
     empty = spark.range(0).withColumnRenamed("id", "x")
     assert number_rows(empty, ["x"]).count() == 0
+
+
+def test_number_of_a_file_is_not_read_from_the_id_of_its_job():
+    name = "part-00003-0b1e2f3a-1111-4c22-8d33-c65741488001-c012.zstd.parquet"
+    assert re.search(numbering._FILE, name).group(1) == "012"

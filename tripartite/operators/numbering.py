@@ -23,7 +23,7 @@ BREAK_ORDER = ["opened_at", "entity_id", "break_type", "amount_at_risk", "descri
 
 # A written file's name: the task's partition, then its number among that task's files.
 _PARTITION = r"^part-(\d+)-"
-_FILE = r"-c(\d+)[^/]*$"
+_FILE = r"-c(\d+)[^/-]*$"  # no dash behind it: the job's id before it may hold "-c1" too
 
 
 def number_rows(
