@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from cases import awkward, empty, written
+from conftest import conf
 
 from tripartite.llm import bit_mixer
 from tripartite.llm import lm_scoring as lm
@@ -111,6 +112,37 @@ def test_counts_of_all_texts_are_summed(spark, monkeypatch, held):
     assert found.sum() == 8 * 6 * sum(len(spelt(t)) for t in texts)
 
 
+def test_gates_and_refinement_learn_from_every_byte_in_any_tasks(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LEARNT", 1 << 10)
+    monkeypatch.setattr(lm, "PIECE", 1 << 8)
+    rng = np.random.default_rng(2)
+    texts = [*["the same text again"] * 50, *[" ".join(rng.choice(["bab", "abba", "cab"], 30)) for _ in range(200)]]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    with_files = {"spark.sql.files.openCostInBytes": "1", "spark.sql.files.maxPartitionBytes": "20000"}
+    with conf(spark, with_files):
+        mixer = lm._mixer(df)
+    bits = 8 * sum(len(spelt(t)) for t in texts)
+    for every, met in zip(mixer.fine_all, mixer.met, strict=True):
+        assert every.sum() - bit_mixer.PRIOR * every.size == pytest.approx(bits)
+        assert met.sum() == bits
+    new = pa.array(texts[-20:])
+    plain = TextScorer(small_mixer(texts, learn=False))(new)[0].sum()
+    assert TextScorer(mixer)(new)[0].sum() > plain
+    # Parts put together: sums of refinements, means of weights by bits.
+    counts, halves = BitCounts(), np.array_split(all_keys(texts), 2)
+    counts.add(*np.unique(all_keys(texts), return_counts=True))
+    two = [BitMixer(counts.bits), BitMixer(counts.bits)]
+    for one, keys in zip(two, halves, strict=True):
+        one.learn(*np.unique(keys, return_counts=True))
+    whole = BitMixer(counts.bits)
+    whole.take([a + b for a, b in zip(*(x.learnt() for x in two), strict=True)])
+    met = [x.met[0][:, None] for x in two]
+    mean = (two[0].weights[0] * met[0] + two[1].weights[0] * met[1]) / np.maximum(met[0] + met[1], 1)
+    there = (met[0] + met[1])[:, 0] > 0
+    assert whole.weights[0][there] == pytest.approx(mean[there]) and (whole.weights[0][~there] == 0.35).all()
+    assert whole.fine_all[0].sum() == sum(x.fine_all[0].sum() for x in two) - whole._start[2].sum()
+
+
 def tokens(text):
     return (text or "").encode().translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))).split() + [None]
 

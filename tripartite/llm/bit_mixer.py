@@ -12,8 +12,9 @@ resulting chances are mixed within each text with weights that follow how well e
 far in that text; every block of bytes moves them.
 
 The counts are sums over bytes of texts, so they may be gathered apart and added up
-(:class:`BitCounts`). Weights and refinement are learnt online from texts in small groups,
-each byte predicted without its own occurrence. The chances of a byte then depend on nothing
+(:class:`BitCounts`). Weights and refinement are learnt online from bytes in small groups,
+each byte predicted without its own occurrence, equal bytes at once; several mixers may learn
+from a part each, and what they learnt is put together (:meth:`BitMixer.take`). The chances of a byte then depend on nothing
 but the six bytes before it and its place in the word, which are one 64-bit number with the
 byte itself, so they are remembered by that number in a table of fixed size.
 """
@@ -167,10 +168,24 @@ class BitMixer:
         centre = _squash((np.arange(BUCKETS) + 0.5) / BUCKETS * 16 - 8)
         self.fine_ones = [np.tile(PRIOR * centre, (256, 1)) for _ in self.weights]
         self.fine_all = [np.full((256, BUCKETS), PRIOR) for _ in self.weights]
+        self.met = [np.zeros(len(w)) for w in self.weights]  # bits that each gate has learnt from
+        self._start = [x.copy() for x in (*self.fine_ones, *self.fine_all)]
 
     def learnt(self) -> list[np.ndarray]:
-        """What :meth:`learn` moves, besides counts."""
-        return [*self.weights, *self.fine_ones, *self.fine_all]
+        """What :meth:`learn` has found, in a form that is added up over mixers."""
+        weighed = [w * met[:, None] for w, met in zip(self.weights, self.met, strict=True)]
+        fine = [x - start for x, start in zip((*self.fine_ones, *self.fine_all), self._start, strict=True)]
+        return [*weighed, *self.met, *fine]
+
+    def take(self, learnt: list[np.ndarray]) -> None:
+        """Sums of :meth:`learnt` over mixers that began as this one: refinements are added
+        up, each gate's weights are the mean by the bits that it has learnt from."""
+        n = len(self.weights)
+        for own, weighed, met in zip(self.weights, learnt[:n], learnt[n : 2 * n], strict=True):
+            own[met > 0] = weighed[met > 0] / met[met > 0, None]
+        for own, start, more in zip((*self.fine_ones, *self.fine_all), self._start, learnt[2 * n :], strict=True):
+            own[:] = start + more
+        self.met = list(learnt[n : 2 * n])
 
     def _inputs(self, slots: np.ndarray, truth: np.ndarray) -> np.ndarray:
         """Log odds of a one; while learning, without the one occurrence of ``truth``."""
@@ -203,23 +218,29 @@ class BitMixer:
                 found.append((gate, mixed, previous * BUCKETS + ((mixed + 8) * (BUCKETS / 16)).astype(np.int64)))
             yield truth, x, found
 
-    def learn(self, key: np.ndarray) -> None:
-        """One online pass over bytes that the counts hold, by their keys."""
+    def learn(self, key: np.ndarray, times: np.ndarray | None = None) -> None:
+        """One online pass over bytes that the counts hold, by their keys; each stands for
+        ``times`` equal ones."""
         for at in range(0, len(key), GROUP):
-            for truth, x, found in self._bits(key[at : at + GROUP]):
+            part = key[at : at + GROUP]
+            n = np.ones(len(part)) if times is None else times[at : at + GROUP].astype(float)
+            for truth, x, found in self._bits(part):
                 for m, (gate, mixed, cell) in enumerate(found):
                     weights = self.weights[m]
-                    error = truth - _squash(mixed)
-                    count = np.maximum(np.bincount(gate, minlength=len(weights)), 1)
+                    error = (truth - _squash(mixed)) * n
+                    met = np.bincount(gate, n, len(weights))
+                    self.met[m] += met
+                    count = np.maximum(met, 1)
                     for k in range(len(PREDICTORS)):
                         weights[:, k] += RATE * np.bincount(gate, error * x[k], len(weights)) / count
                     ones, every = self.fine_ones[m], self.fine_all[m]
-                    ones += np.bincount(cell, truth, ones.size).reshape(ones.shape)
-                    every += np.bincount(cell, minlength=every.size).reshape(every.shape)
+                    ones += np.bincount(cell, truth * n, ones.size).reshape(ones.shape)
+                    every += np.bincount(cell, n, every.size).reshape(every.shape)
 
     def end_learning(self) -> None:
         self.odds = np.log((self.bits[1::2] + 0.4) / (self.bits[::2] + 0.4)).astype(np.float16)
         self.bits = self.bits[:0]
+        self._start = []
         self.weights = [w.astype(np.float32) for w in self.weights]
         both = zip(self.fine_ones, self.fine_all, strict=True)
         self.fine = [(ones / every).ravel().astype(np.float32) for ones, every in both]

@@ -7,8 +7,9 @@ scores whole, over the borders of words (see ``bit_mixer``). What it learns:
   Tasks gather how often each byte stands behind its context, Spark deals these numbers out
   by the nearest bytes, and counts of equal slots are summed. The driver gets one table of
   fixed size.
-* Gate weights and refinement, online in one task, from a bounded sample of training texts,
-  each byte predicted without its own occurrence.
+* Gate weights and refinement, online in tasks, from the same numbers: every byte of every
+  training text, predicted without its own occurrence, equal ones at once. What the tasks
+  have learnt is put together by how much each learnt from.
 
 Within a text the mixers' weights follow how well each has done in it so far.
 
@@ -34,7 +35,8 @@ from tripartite.llm.common import batches, fold, most_frequent, read, text_of
 from tripartite.sources.scratch import write_through
 
 FREQUENT = 1 << 17  # words whose numbers are broadcast
-SAMPLE_BYTES = 2_000_000  # of training texts that gates and refinement are learnt from, on average
+LEARNT = 1 << 21  # distinct numbers of bytes that a task learns gates and refinement from, on average
+PIECE = 1 << 16  # distinct numbers of bytes that are kept in one row
 HELD = 1 << 22  # distinct numbers of bytes that a task gathers before it sends them
 BUCKETS = 2048  # by the nearest bytes
 SEGMENT = 1 << 15  # counts that travel in one row
@@ -92,11 +94,9 @@ def _packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(at), pa.py_buffer(values)])
 
 
-def _bit_counts(docs: DataFrame) -> np.ndarray:
-    """Counts of zeros and ones in each slot over all bytes of all texts, summed by Spark.
-
-    The driver gets one table of fixed size, whatever the corpus.
-    """
+def _byte_counts(docs: DataFrame) -> DataFrame:
+    """(size, key, n): the numbers of all bytes of all texts and how often each occurs, many
+    in a row, written. Equal ones are merged, up to what a task can hold."""
 
     def sent(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         near = ((key >> np.uint64(8)) & np.uint64(0xFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
@@ -119,15 +119,49 @@ def _bit_counts(docs: DataFrame) -> np.ndarray:
         if held.size:
             yield from sent(*held.take())
 
-    def summed(parts):
-        forget()
-        own, held = BitCounts(), _Held()
+    def pieces(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        # Each from all over the numbers, so that a row is a fair share of what there is.
+        step = -(-len(key) // PIECE)
+        for k in range(step):
+            part = [[len(key[k::step])], [key[k::step].tobytes()], [n[k::step].astype(np.int64).tobytes()]]
+            kinds = [pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, kind) for c, kind in zip(part, kinds, strict=True)], names=["size", "key", "n"]
+            )
+
+    def merged(parts):
+        held = _Held()
         for batch in parts:
-            key, n = (np.frombuffer(buffers(c)[0].tobytes(), np.dtype(kind)) for c, kind in zip(batch.columns, ("u8", "i8"), strict=True))
+            key, n = _unpacked(*batch.columns)
             if len(key) and held.add(key, n):
-                own.add(*held.take())
+                yield from pieces(*held.take())
         if held.size:
-            own.add(*held.take())
+            yield from pieces(*held.take())
+
+    # Equal bytes before go to one task, so that few tasks hold counts of one slot.
+    dealt = docs.mapInArrow(gathered, "bucket int, key binary, n binary").repartition("bucket")
+    return write_through(dealt.select("key", "n").mapInArrow(merged, "size long, key binary, n binary"), "byte_counts")
+
+
+def _unpacked(key: pa.Array, n: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(buffers(key)[0].tobytes(), np.uint64), np.frombuffer(buffers(n)[0].tobytes(), np.int64)
+
+
+def _bit_counts(docs: DataFrame) -> np.ndarray:
+    """Counts of zeros and ones in each slot over all bytes of all texts."""
+    return _slot_counts(_byte_counts(docs))
+
+
+def _slot_counts(counted: DataFrame) -> np.ndarray:
+    """Counts of zeros and ones in each slot of :func:`_byte_counts`, summed by Spark.
+
+    The driver gets one table of fixed size, whatever the corpus.
+    """
+
+    def summed(parts):
+        own = BitCounts()
+        for batch in parts:
+            own.add(*_unpacked(*batch.columns))
         for segment in range(0, len(own.bits), SEGMENT):
             part = own.bits[segment : segment + SEGMENT]
             at = np.flatnonzero(part)
@@ -146,9 +180,7 @@ def _bit_counts(docs: DataFrame) -> np.ndarray:
         whole = out.astype(np.float32).tobytes()
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([whole], pa.binary())], names=["segment", "n"])
 
-    # Equal bytes before go to one task, so that few tasks hold counts of one slot.
-    dealt = docs.mapInArrow(gathered, "bucket int, key binary, n binary").repartition("bucket")
-    parts = dealt.select("key", "n").mapInArrow(summed, "segment int, at binary, n binary")
+    parts = counted.select("key", "n").mapInArrow(summed, "segment int, at binary, n binary")
 
     out = np.zeros(2 * SLOTS, np.float32)
     for batch in parts.groupBy("segment").applyInArrow(added, "segment int, n binary").toArrow().to_batches():
@@ -159,29 +191,35 @@ def _bit_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def _mixer(texts: DataFrame, size: int) -> BitMixer:
-    """The mixer of the training texts, ``size`` bytes in all: counts of all of them; gate
-    weights and refinement learnt in one task from a bounded sample, equal texts once."""
-    bits = _bit_counts(texts)
+def _mixer(texts: DataFrame) -> BitMixer:
+    """The mixer of the training texts: counts, gate weights and refinement of all of them.
+
+    Each task learns from :data:`LEARNT` numbers of bytes or so, in an order of their hashes;
+    Spark adds up what the tasks have found, arrays of fixed size.
+    """
+    counted = _byte_counts(texts)
+    bits = _slot_counts(counted)
     mixer = BitMixer(bits)
-    rate = min(1.0, SAMPLE_BYTES / max(1, size))
-    h = F.xxhash64("text")
-    drawn = texts.select("text", h.alias("h")).where(F.pmod("h", F.lit(1 << 30)) < rate * (1 << 30))
-    drawn = write_through(drawn.groupBy("h").agg(F.first("text").alias("text")), "mixer_sample")
+    distinct = counted.agg(F.sum("size")).first()[0] or 0
     shared = texts.sparkSession.sparkContext.broadcast(bits)
-    names = [f"x_{k}" for k in range(len(mixer.learnt()))]
 
     def run(parts):
         mixer = BitMixer(shared.value)
-        rows = sorted((h, t) for b in parts for h, t in zip(*(x.to_pylist() for x in b.columns), strict=True))
-        for _, text in rows:
-            for key, *_ in text_bytes(*stream(pa.array([text]))):
-                mixer.learn(key)
-        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in mixer.learnt()], names=names)
-
-    found = drawn.coalesce(1).mapInArrow(run, ", ".join(f"{c} binary" for c in names)).first()
-    for own, learnt in zip(mixer.learnt(), found or (), strict=found is not None):
-        own[:] = np.frombuffer(learnt).reshape(own.shape)
+        for batch in parts:
+            key, n = _unpacked(*batch.columns)
+            order = np.argsort(key * np.uint64(0x9E3779B97F4A7C15))
+            mixer.learn(key[order], n[order])
+        found = [x.tobytes() for x in mixer.learnt()]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(found)), pa.int32()), pa.array(found, pa.binary())], names=["part", "found"])
+
+    def added(key: tuple[pa.Scalar, ...], parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = sum(np.frombuffer(x, np.float64) for part in parts for x in part.column("found").to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([whole.tobytes()], pa.binary())], names=["part", "found"])
+
+    shares = counted.select("key", "n").coalesce(max(1, distinct // LEARNT)).mapInArrow(run, "part int, found binary")
+    found = dict(shares.groupBy("part").applyInArrow(added, "part int, found binary").collect())  # a row an array
+    if found:
+        mixer.take([np.frombuffer(found[k]).reshape(x.shape) for k, x in enumerate(mixer.learnt())])
     shared.destroy()
     mixer.end_learning()
     return mixer
@@ -248,7 +286,7 @@ def score(docs: DataFrame, trained: str, key: str = "doc_id", text: str = "text"
     learnt = source.where("trained").select("text")
     counted = write_through(_word_counts(learnt), "word_counts")
     words_all, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    texts, size = learnt.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    texts = learnt.count()
     train_tokens = words_all + texts
     kinds = distinct + (1 if texts else 0)
     bottom = train_tokens + 0.5 * (kinds + 1)
@@ -256,7 +294,7 @@ def score(docs: DataFrame, trained: str, key: str = "doc_id", text: str = "text"
     def base_of(c: Column):
         return F.log10((c + F.lit(0.5)) / F.lit(bottom))
 
-    mixer = _mixer(learnt, size)
+    mixer = _mixer(learnt)
     table = most_frequent(counted, "c", FREQUENT).toArrow()
     hashed = table.column(0).to_numpy().view(np.uint64)
     order = np.argsort(hashed)
