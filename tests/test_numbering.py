@@ -88,3 +88,14 @@ def test_numbering_an_empty_table(spark):
 def test_number_of_a_file_is_not_read_from_the_id_of_its_job():
     name = "part-00003-0b1e2f3a-1111-4c22-8d33-c65741488001-c012.zstd.parquet"
     assert re.search(numbering._FILE, name).group(1) == "012"
+
+
+def test_rows_that_are_written_already_are_not_written_again(spark, tmp_path):
+    finished = finish_breaks(breaks(spark, 3000), AS_OF)
+    held = F.expr("break_type = 'amount_break'")
+    finished.where(held).repartition(3).write.parquet(str(tmp_path / "held"))
+    beside = spark.read.schema(finished.schema).parquet(str(tmp_path / "held"))
+    fact = with_break_key(finished.where(~held), str(tmp_path), beside)
+    assert spark.read.parquet(str(tmp_path / "unordered")).count() == 1500
+    whole = with_break_key(finished, str(tmp_path / "whole"))
+    assert fact.exceptAll(whole).isEmpty() and fact.count() == 3000

@@ -155,3 +155,9 @@ def test_workspace_goes_at_its_end(spark, tmp_path, monkeypatch):
         assert [df.count() for df in kept.values()] == [3, 4]
         assert all(root in df.inputFiles()[0] for df in kept.values())
     assert not list((tmp_path / "tripartite").iterdir())
+
+
+def test_versions_are_packed(spark, tmp_path):
+    publish.publish_table(spark.range(3).toDF("x"), str(tmp_path / "t"))
+    files = list(tmp_path.glob("t/data/*/part-*"))
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)

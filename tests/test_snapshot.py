@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from tripartite import sources
 from tripartite.schemas import FACT_SCHEMA, SNAPSHOT_COLUMNS, SNAPSHOT_KEY
 from tripartite.sources import (
     delete_insert,
@@ -100,3 +101,17 @@ def test_delete_insert_replaces_by_both_keys(spark, extra):
     ]
     if extra:
         assert merged.where("owner is null").count() == 1
+
+
+def test_few_values_are_written_where_their_rows_are(spark, tmp_path):
+    """Neither the fact by type nor a correction of few days is shuffled to be written."""
+    fact = spark.range(400).selectExpr("id as break_key", "if(id % 2 = 0, 'a', 'b') as break_type").repartition(3)
+    sources.write_fact(fact, str(tmp_path / "fact"))
+    assert len(list(tmp_path.glob("fact/data/*/break_type=a/part-*"))) == 3
+    history = str(tmp_path / "history")
+    dated = "date_add(date'2025-01-01', cast(id % {} as int)) as snapshot_date"
+    for days, files in ((2, 3), (20, 1)):
+        new = spark.range(400).selectExpr("id as break_key", dated.format(days)).repartition(3)
+        sources.correct_snapshot(spark, f"{history}{days}", new, ["snapshot_date", "break_key"])
+        assert len(list(tmp_path.glob(f"history{days}/data/*/snapshot_date=2025-01-01/part-*"))) == files
+        assert sources.read_snapshot(spark, f"{history}{days}").count() == 400
