@@ -98,6 +98,24 @@ def test_families_below_the_bound(spark):
     assert len(kept - links) < (len(nodes) * (len(nodes) - 1) / 2 - len(links)) / 3
 
 
+def test_a_family_is_joined_by_its_middle(spark):
+    """Copies with few edits each, most pairs of which lie below the bound: what hubs leave does
+    not grow with the square of the family."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for k in range(600):
+        own = list(base)
+        for at in rng.sample(range(150), 1 + k % 6):
+            own[at] = f"e{rng.randint(0, 10**6)}"
+        texts.append(" ".join(own))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    joined = jj._Joined(df, "doc_id", "text")
+    found = cc.components(jj._links(joined.source, joined.nodes, jj._hub_pairs(joined.entries)))
+    assert jj._remaining_pairs(joined.entries, joined.nodes, found).count() <= len(texts)
+    assert got(df) == brute(list(enumerate(texts)))
+
+
 def test_a_sketch_bounds_the_difference():
     rng = np.random.default_rng(4)
     for n in (0, 1, 40, 700, 5000):

@@ -7,7 +7,7 @@ matches asked of its prefix, grows with the estimated cost of its candidates: a
 prefix costs one more entry a step, and asks for one more match before a pair is looked at.
 
 For classes of links no group of near copies is expanded into all its
-pairs at first: in every prefix entry the members are paired with two hubs. The verified
+pairs at first: in every prefix entry the members are paired with three hubs. The verified
 links join documents into components. What remains are entries that hold several
 components; there all pairs across components are counted, and those with enough matches
 verified. No class is lost, as a pair left out lies within one component already. Where the
@@ -219,16 +219,19 @@ def _shared_entries(nodes: DataFrame) -> DataFrame:
 
 
 def _hub_pairs(entries: DataFrame) -> DataFrame:
-    """Each member of an entry with two of its members: the first by one order of all
-    nodes, which gives near copies the same hub again and again, and the first by an order
-    of the entry's own, which gives them many."""
+    """Each member of an entry with three of its members: the first by one order of all
+    nodes, which gives near copies the same hub again and again, the first by an order
+    of the entry's own, which gives them many, and the one that has the fewest rarer shingles
+    before the entry. Rare shingles are what edits bring in, so that member lies in the middle of a
+    family and links with most of it, where members at the rim link with few."""
     member = F.struct("id", "n", "pos")
     hubs = entries.groupBy("token").agg(
         F.count(F.lit(1)).alias("size"),
         F.min_by(member, F.xxhash64("id")).alias("always"),
         F.min_by(member, F.xxhash64("id", "token")).alias("own"),
+        F.min_by(member, F.struct("pos", F.xxhash64("id"))).alias("middle"),
     )
-    hubs = hubs.where("size > 1").select("token", F.explode(F.array("always", "own")).alias("hub"))
+    hubs = hubs.where("size > 1").select("token", F.explode(F.array("always", "own", "middle")).alias("hub"))
     near = within("pos", "n", "hub.n", F.lit(1)) & within("hub.pos", "hub.n", "n", F.lit(1))
     paired = entries.join(hubs, "token").where("hub.id <> id").where(may_link("n", "hub.n") & near)
     return paired.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
