@@ -190,7 +190,7 @@ class BitMixer:
     def _inputs(self, slots: np.ndarray, truth: np.ndarray) -> np.ndarray:
         """Log odds of a one; while learning, without the one occurrence of ``truth``."""
         if self.odds is not None:
-            return self.odds[slots].astype(np.float32)
+            return self.odds.take(slots).astype(np.float32)
         zeros = np.maximum(self.bits[2 * slots] - (1 - truth), 0)
         ones = np.maximum(self.bits[2 * slots + 1] - truth, 0)
         return np.log((ones + 0.4) / (zeros + 0.4))
@@ -202,7 +202,7 @@ class BitMixer:
         return level * 8 + bit, previous * 8 + bit
 
     def _mix(self, x: np.ndarray, weights: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("nk,kn->n", weights[gate], x), -8 + 1e-5, 8 - 1e-5)
+        return np.clip(np.einsum("nk,kn->n", weights.take(gate, 0), x), -8 + 1e-5, 8 - 1e-5)
 
     def _bits(self, key: np.ndarray):
         """For each bit: its truth, the predictors' odds, and of each mixer the gate, the
@@ -254,7 +254,7 @@ class BitMixer:
                 one = truth == 1
                 for m, (_, mixed, cell) in enumerate(found):
                     plain = _squash(np.where(one, mixed, -mixed))
-                    fine = self.fine[m][cell]
+                    fine = self.fine[m].take(cell)
                     part[2 * m] *= plain
                     part[2 * m + 1] *= 0.5 * plain + 0.5 * np.where(one, fine, 1 - fine)
         return np.log(out).T

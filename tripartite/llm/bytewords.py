@@ -143,12 +143,12 @@ class Slots:
     def look(self, h: np.ndarray, fill) -> np.ndarray:
         """One row of values for each hash; ``fill(positions)`` gives the rows of new words."""
         slot = (h >> self.shift).astype(np.int64)
-        out = self.value[slot]
-        new = np.flatnonzero((self.key[slot] != h) | (h == 0))
+        out = self.value.take(slot, 0)
+        new = np.flatnonzero((self.key.take(slot) != h) | (h == 0))
         if len(new):
             distinct, first, back = np.unique(h[new], return_index=True, return_inverse=True)
             rows = fill(new[first])
-            out[new] = rows[back]
+            out[new] = rows.take(back, 0)
             self.key[slot[new[first]]] = distinct
             self.value[slot[new[first]]] = rows
             # Where two new words share a slot, the key that is left decides whose row stays.
