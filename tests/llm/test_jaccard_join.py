@@ -116,6 +116,33 @@ def test_a_family_is_joined_by_its_middle(spark):
     assert got(df) == brute(list(enumerate(texts)))
 
 
+def test_long_texts_below_the_bound_meet_once(spark, monkeypatch):
+    """Pairs of a family of long texts that share most shingles, yet too few to link: they do not
+    meet anew in each of their common entries."""
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(1500)]
+    texts = []
+    for k in range(24):
+        own = list(base)
+        for at in rng.sample(range(1500), 40 if k % 6 else 5):
+            own[at] = f"e{rng.randint(0, 10**6)}"
+        texts.append(" ".join(own))
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    met = []
+    enough = jj._enough
+    monkeypatch.setattr(jj, "_enough", lambda rows, *more: met.append(rows) or enough(rows, *more))
+    joined = jj._Joined(df, "doc_id", "text")
+    nobody = joined.nodes.select("id", F.col("id").alias("component")).where("false")
+    pairs = sorted(jj._remaining_pairs(joined.entries, joined.nodes, nobody).collect())
+    assert met[-1].count() <= len(texts) * (len(texts) - 1)
+    assert got(df) == brute(rows)
+    # The lists spare rows and decide nothing.
+    for first in (3, 0):
+        monkeypatch.setattr(jj, "FIRST", first)
+        assert pairs == sorted(jj._remaining_pairs(joined.entries, joined.nodes, nobody).collect())
+
+
 def test_a_sketch_bounds_the_difference():
     rng = np.random.default_rng(4)
     for n in (0, 1, 40, 700, 5000):

@@ -40,6 +40,7 @@ FREQUENT = 200_000  # shingles whose frequency is known to the order
 FREQUENT_IN_BATCH = 3
 MEMBERS = 256  # of an entry and component that one salt pairs with all others
 SKETCH = ("s0", "s1", "s2", "s3")  # columns of a node's folded bitmap
+FIRST = 12  # entries of a node that each of its entries knows
 PAIR_COST = 20  # of looking at one candidate, in prefix entries
 
 
@@ -241,19 +242,29 @@ def _remaining_pairs(entries: DataFrame, nodes: DataFrame, found: DataFrame) ->
     """All pairs across components with as many matches as the lesser l of the two asks for.
 
     Most of the others share their place in a family of near copies, and with it matches of
-    any number; sketches that travel with the entries turn pairs away where they meet.
+    any number; sketches that travel with the entries turn pairs away where they meet. Long
+    texts of a family meet in hundreds of entries. So an entry also knows the first few of its
+    node: a pair that needs l matches and has them in these lists is kept only where the l-th is.
     """
-    known = nodes.select("id", *SKETCH).join(found, "id", "left")
-    labelled = entries.join(known.withColumn("component", F.coalesce("component", "id")), "id")
+    labelled = entries.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     labelled = write_through(labelled, "labelled_entries")
     mixed = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    labelled = labelled.join(mixed.where("low < high").select("token"), "token", "left_semi")
-    side = labelled.select("token", "component", "id", "n", "matches", "pos", *SKETCH)
+    mixed = labelled.join(mixed.where("low < high").select("token"), "token", "left_semi")
+    mixed = write_through(mixed, "mixed_entries")
+    in_order = F.array_sort(F.collect_list(F.struct("pos", "token")))
+    first = mixed.groupBy("id").agg(F.slice(in_order, 1, FIRST)["token"].alias("first"))
+    side = mixed.join(nodes.select("id", *SKETCH).join(first, "id"), "id")
+    side = side.select("token", "component", "id", "n", "matches", "pos", "first", *SKETCH)
     a = side.select("token", *[F.col(c).alias(f"{c}_a") for c in side.columns[1:]])
     b = side.select("token", *[F.col(c).alias(f"{c}_b") for c in side.columns[1:]])
     met = a.join(b, "token").where("id_a < id_b and component_a <> component_b")
     differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
-    return _enough(met.where(differ * (100 + PERCENT) <= (F.col("n_a") + F.col("n_b")) * (100 - PERCENT)))
+    met = met.where(differ * (100 + PERCENT) <= (F.col("n_a") + F.col("n_b")) * (100 - PERCENT))
+    # Entries of all nodes are in one order, so these are the first that both have. Where the
+    # l-th lies outside their prefixes, fewer than l lie within.
+    asked = F.least("matches_a", "matches_b").cast("int")
+    last = F.get(F.array_intersect("first_a", "first_b"), asked - 1)
+    return _enough(met.where(F.col("token") == F.coalesce(last, "token")), last.isNotNull())
 
 
 def _pairs_within(entries: DataFrame, found: DataFrame) -> DataFrame:
@@ -273,14 +284,15 @@ def _pairs_within(entries: DataFrame, found: DataFrame) -> DataFrame:
     return _enough(a.join(b, by).where("id_a < id_b"))
 
 
-def _enough(met: DataFrame) -> DataFrame:
-    """Of pairs that met in entries those with sizes and matches that allow a link."""
+def _enough(met: DataFrame, once: Column | bool = False) -> DataFrame:
+    """Of pairs that met in entries those with sizes and matches that allow a link. Pairs that
+    are there ``once`` have as many matches as they need."""
     matches = F.least("matches_a", "matches_b")
     met = met.where(may_link("n_a", "n_b"))
     # Only entries within both prefixes of that l count.
     met = met.where(within("pos_a", "n_a", "n_b", matches) & within("pos_b", "n_b", "n_a", matches))
     counted = met.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("met"), F.first(matches).alias("asked")
+        F.count(F.lit(1)).alias("met"), F.first(F.when(F.lit(once), 1).otherwise(matches)).alias("asked")
     )
     return counted.where("met >= asked").select("a", "b")
 
