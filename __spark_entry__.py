@@ -240,8 +240,10 @@ def _detect_coverage_exceeded(spark: SparkSession, root: str) -> DataFrame:
 
 def _all_breaks(spark: SparkSession, root: str) -> DataFrame:
     """Over the lifecycles, each a view that is read as often as it says."""
-    both = plans.lifecycles(_staged(spark, root, *FOR_BREAKS))
-    return op.all_breaks(both["int_contract_lifecycle"], both["int_claim_lifecycle"], AS_OF)
+    both = plans.lifecycles(_staged(spark, root, *FOR_BREAKS), grouped=True)
+    return op.all_breaks(
+        both["int_contract_lifecycle"], both["int_claim_lifecycle"], AS_OF, dealt=op.BY_CLAIM
+    )
 
 
 # ---- reports and checks ----------------------------------------------------------------

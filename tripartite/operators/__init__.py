@@ -15,6 +15,7 @@ from tripartite.operators.detect import (
     finish_breaks,
 )
 from tripartite.operators.lifecycle import (
+    BY_CLAIM,
     claim_lifecycle,
     claims_with_contract,
     contract_lifecycle,
@@ -31,6 +32,7 @@ from tripartite.operators.staging import (
 )
 
 __all__ = [
+    "BY_CLAIM",
     "all_breaks",
     "claim_breaks",
     "claim_lifecycle",

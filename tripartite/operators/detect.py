@@ -248,6 +248,9 @@ def contract_breaks(
     return _one_pass(contract_lifecycle, rules)
 
 
+# Whether rows lie by claim already, or the expressions of the claim by which they do.
+Dealt = bool | tuple[str, ...]
+
 # What a row of the claim lifecycle counts towards: columns that tell groups apart, the
 # most selective first, and columns that are aggregated in each group.
 _GROUP = {
@@ -302,11 +305,15 @@ _FOUND = [
 ]
 
 
-def _claim_groups(claims: DataFrame, dealt: bool) -> DataFrame:
+def _lies_by(dealt: Dealt) -> tuple[str, ...]:
+    return ("claim_id",) if dealt is True else tuple(dealt or ())
+
+
+def _claim_groups(claims: DataFrame, dealt: Dealt) -> DataFrame:
     """The groups that the rows of :func:`claim_breaks` count for, summed up."""
     parts = [part for rule, part in _PARTS.items() if rule != "orphan_claim" or part[0] in claims.columns]
     counted = ", ".join(f"if({condition}, {part}, null)" for condition, part in parts)
-    where = {"claim_id": "lies_by"} if dealt else {}
+    where = {e: f"lies_by_{i}" for i, e in enumerate(_lies_by(dealt))}
     return (
         claims.selectExpr("*", "monotonically_increasing_id() as copy")
         .selectExpr(*[f"{c} as {name}" for c, name in where.items()], f"inline(array_compact(array({counted})))")
@@ -322,7 +329,7 @@ def _claim_groups(claims: DataFrame, dealt: bool) -> DataFrame:
     )
 
 
-def claim_breaks(claims: DataFrame, terms: DataFrame, dealt: bool = False) -> DataFrame:
+def claim_breaks(claims: DataFrame, terms: DataFrame, dealt: Dealt = False) -> DataFrame:
     """Orphan claims, duplicates, overpayments and exceeded coverage from one read of the
     claim lifecycle, or of :func:`paid_claims`, which has no orphans.
 
@@ -332,7 +339,8 @@ def claim_breaks(claims: DataFrame, terms: DataFrame, dealt: bool = False) -> Da
     contract lifecycle or :func:`contract_terms`; finished breaks pass that join without a
     partner, under keys that spread them over its tasks.
 
-    ``dealt`` says that the rows lie by claim already, as a join on the claim leaves them.
+    ``dealt`` says that the rows lie by claim already, as a join on the claim leaves them, or
+    by expressions of it (``BY_CLAIM`` for a claim lifecycle made to be ``grouped``).
     Groups are then formed where the rows are, a claim at a time, without that shuffle; what
     was paid on a contract is added up behind the join with the terms, which adaptive
     execution splits if the contract is hot.
@@ -386,7 +394,7 @@ def all_breaks(
     sla_days: int = SLA_DAYS,
     high_after_days: int = HIGH_AFTER_DAYS,
     terms: DataFrame | None = None,
-    dealt: bool = False,
+    dealt: Dealt = False,
 ) -> DataFrame:
     """Every break, unnumbered. The claim lifecycle is read once, the contract lifecycle
     once for its own rules and once for the terms of the contracts, unless ``terms``

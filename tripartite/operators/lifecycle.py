@@ -18,6 +18,10 @@ from tripartite.functions import holds
 
 TOLERANCE = Decimal("0.01")
 
+# What claims and payments meet on where rows are grouped by claim behind it: equal claim ids,
+# or none on either side.
+BY_CLAIM = ("coalesce(claim_id, '')", "claim_id is null")
+
 
 def contract_lifecycle(
     contracts: DataFrame, sales: DataFrame, tolerance: Decimal = TOLERANCE
@@ -111,13 +115,15 @@ def claim_lifecycle(
     reimbursements: DataFrame,
     contracts: DataFrame,
     tolerance: Decimal = TOLERANCE,
+    grouped: bool = False,
 ) -> DataFrame:
-    """One row per claim and payment; a claim without payment keeps one row."""
-    return claims_with_payments(claims_with_contract(claims, contracts), reimbursements, tolerance)
+    """One row per claim and payment; a claim without payment keeps one row. ``grouped`` says
+    that rows will be grouped by claim (:data:`BY_CLAIM`), which then takes no shuffle."""
+    return claims_with_payments(claims_with_contract(claims, contracts), reimbursements, tolerance, grouped)
 
 
 def claims_with_payments(
-    filed: DataFrame, reimbursements: DataFrame, tolerance: Decimal = TOLERANCE
+    filed: DataFrame, reimbursements: DataFrame, tolerance: Decimal = TOLERANCE, grouped: bool = False
 ) -> DataFrame:
     """The claim lifecycle from :func:`claims_with_contract`, safe for hot claims."""
     payments = _payments(reimbursements)
@@ -128,7 +134,11 @@ def claims_with_payments(
     # both joins then read the same shuffle of them. Payments without a claim are gone
     # already, so a null claim id still meets nothing.
     same_claim = F.col("claim_id").eqNullSafe(F.col("paid_claim_id"))
-    paid = filed.join(payments, same_claim, "inner").drop("paid_claim_id")
+    if grouped:  # the same in expressions that a grouping can name
+        same_claim = F.expr(" and ".join(f"({e}) = ({e.replace('claim_id', 'paid_claim_id')})" for e in BY_CLAIM))
+    # Under new names, as what a union puts out is not tidied below it: the claims of the
+    # first join would differ from those of the second and travel twice.
+    paid = filed.join(payments, same_claim).selectExpr(*[f"{c} as {c}" for c in filed.columns + payments.columns[1:]])
     unpaid = filed.join(paid_claims, same_claim, "left_anti")
     nothing = [f"cast(null as {kind}) as {c}" for c, kind in payments.dtypes[1:]]
     return _with_flags(paid.unionByName(unpaid.selectExpr("*", *nothing)), tolerance)

@@ -65,14 +65,14 @@ class PipelineRun:
         drop_folder(spark, self.work)
 
 
-def lifecycles(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Both lifecycle views, lazy."""
+def lifecycles(staged: dict[str, DataFrame], grouped: bool = False) -> dict[str, DataFrame]:
+    """Both lifecycle views, lazy; ``grouped`` as in :func:`claim_lifecycle`."""
     return {
         "int_contract_lifecycle": contract_lifecycle(
             staged["stg_contracts"], staged["stg_merchant_sales"]
         ),
         "int_claim_lifecycle": claim_lifecycle(
-            staged["stg_claims"], staged["stg_servicer_reimbursements"], staged["stg_contracts"]
+            staged["stg_claims"], staged["stg_servicer_reimbursements"], staged["stg_contracts"], grouped=grouped
         ),
     }
 
