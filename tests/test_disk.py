@@ -1,15 +1,19 @@
 """What queries over the breaks put on disk: rows that travel once, and files that go when read."""
 
 import re
+import time
 
 import pytest
-from pyspark.sql import functions as F
 
 from tripartite import operators as op
-from tripartite import plans
-from tripartite.sources import tpch
+from tripartite import plans, sources
+from tripartite.session import UNFOLDED, freed, together, width
+from tripartite.sources import layout, tpch
 
-from conftest import SF_DIR, claims, conf, contracts, payments, rows, sales
+import feeds
+from conftest import AS_OF, SF_DIR, claims, conf, contracts, payments, rows, sales
+
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +109,101 @@ def test_hot_claims_are_split_where_groups_form_by_claim(spark):
         plan = (found.collect(), found._jdf.queryExecution().executedPlan().toString())[1]
         assert re.search(r"skew=true\) \[(coalesce\()?claim_id.*Inner", plan.split("== Initial Plan ==")[0])
         assert rows(found) == rows(breaks_of(feeds, False))
+
+
+# ---- files that go when they have been read ----------------------------------------------
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def gone(spark, before):
+    """Whether no shuffle file is there that was not before; they are removed in the background."""
+    for _ in range(50):
+        if shuffle_files(spark) <= before:
+            return True
+        time.sleep(0.2)
+    return False
+
+
+def shuffled(spark):
+    return spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count()
+
+
+def test_shuffles_of_what_is_written_go_at_once(spark, tmp_path):
+    before = shuffle_files(spark)
+    kept = shuffled(spark)
+    kept.collect()
+    assert shuffle_files(spark) > before  # Spark itself keeps them
+    before = shuffle_files(spark)
+    written = sources.write_through(shuffled(spark), "t", str(tmp_path / "t"))
+    sources.publish_table(shuffled(spark), str(tmp_path / "p"))
+    landed = layout.land({"t": shuffled(spark)}, str(tmp_path / "l"), {}, {"t": ["k"]}, 4)
+    numbered = op.numbering.number_rows(shuffled(spark), ["k"], "n", str(tmp_path / "n"))
+    assert landed["t"].count == 7
+    assert gone(spark, before)
+    assert rows(numbered, "k", "n") == [(k, k + 1) for k in range(7)]
+    assert written.count() == 7
+
+
+def test_blocks_that_free_may_overlap_and_leave_the_setting(spark):
+    for given in (None, "false"):
+        with conf(spark, {FREED: "false"}):
+            if given is None:
+                spark.conf.unset(FREED)
+
+            def block(seconds):
+                with freed(spark):
+                    time.sleep(seconds)
+                    return spark.conf.get(FREED)
+
+            assert together(spark, *[lambda s=s: block(s) for s in (0.1, 0.5, 0.3)]) == ["true"] * 3
+            assert spark.conf.get(FREED, None) == given
+
+
+def test_a_run_keeps_no_table_that_nothing_reads(spark, tmp_path):
+    raw = sources.read_raw_sources(spark, feeds.write(tmp_path))
+    run = plans.run_pipeline(raw, str(tmp_path / "out"), AS_OF, snapshot_date=AS_OF)
+    (work,) = (tmp_path / "out/work").iterdir()
+    assert not {"claim_breaks", "unordered", "ordered"} & {p.name for p in work.iterdir()}
+    assert {p.name for p in (work / "by_contract_id").iterdir()} == {"contracts"}
+    # What is left is all that its tables need.
+    assert dict(rows(plans.pipeline_summary(run)))["fct_recon_breaks"] == sum(feeds.EXPECTED.values())
+    for table in run.tables.values():
+        table.collect()
+    assert spark.conf.get(FREED, None) is None
+
+
+def test_a_run_sorts_marks_not_told_breaks(spark, tmp_path, monkeypatch):
+    """And its fact is that of breaks that travel whole."""
+    sorted_by = []
+    real = op.numbering.number_rows
+    monkeypatch.setattr(op.numbering, "number_rows", lambda df, *rest: sorted_by.append(df.columns) or real(df, *rest))
+    raw = sources.read_raw_sources(spark, feeds.write(tmp_path))
+    run = plans.run_pipeline(raw, str(tmp_path / "out"), AS_OF, snapshot_date=AS_OF)
+    assert sorted_by == [["rule", "id", "party", "opened", "held", "total", "payments"]]
+    whole = op.with_break_key(plans.build_breaks(op.stage_all(raw), AS_OF))
+    assert rows(run.tables["fct_recon_breaks"]) == rows(whole)
+
+
+def test_rows_without_work_folder_are_not_kept_twice(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(op.numbering, "scratch_path", lambda session, name: str(tmp_path / name))
+    numbered = op.numbering.number_rows(shuffled(spark), ["k"], "n")
+    assert [p.name for p in tmp_path.iterdir()] == ["ordered"]
+    assert numbered.count() == 7
+
+
+def test_buckets_are_as_many_as_their_rows_ask_for(spark, tmp_path):
+    asked, size = [], 1 << 33
+    rows_of = {"t": (spark.range(10).selectExpr("cast(id as string) as k"), "k")}
+
+    def hot(buckets):
+        asked.append(buckets)
+        raise InterruptedError
+
+    with pytest.raises(InterruptedError):
+        layout.lay_out(rows_of, size, hot, str(tmp_path))
+    assert asked == [width(spark, size * UNFOLDED)] and asked[0] >= 8 * (size >> 28)
