@@ -2,13 +2,14 @@
 
 import re
 import time
+from datetime import date
 
 import pytest
 
 from tripartite import operators as op
 from tripartite import plans, sources
 from tripartite.session import UNFOLDED, freed, together, width
-from tripartite.sources import layout, tpch
+from tripartite.sources import layout, tables, tpch
 
 import feeds
 from conftest import AS_OF, SF_DIR, claims, conf, contracts, payments, rows, sales
@@ -207,3 +208,26 @@ def test_buckets_are_as_many_as_their_rows_ask_for(spark, tmp_path):
     with pytest.raises(InterruptedError):
         layout.lay_out(rows_of, size, hot, str(tmp_path))
     assert asked == [width(spark, size * UNFOLDED)] and asked[0] >= 8 * (size >> 28)
+
+
+# ---- corrections --------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("key", [["snapshot_date", "break_key"], ["break_key"]])
+def test_only_rows_of_held_days_can_replace(spark, tmp_path, monkeypatch, key):
+    def on(*given):
+        schema = "snapshot_date date, break_key bigint, description string"
+        return spark.createDataFrame([(date.fromisoformat(d) if d else None, k, t) for d, k, t in given], schema)
+
+    path = str(tmp_path / "history")
+    first = on(*[("2025-07-01", k, "found") for k in range(4)])
+    sources.correct_snapshot(spark, path, first, key)
+    asked = []
+    real = tables._without
+    monkeypatch.setattr(tables, "_without", lambda held, new, by: asked.append(new) or real(held, new, by))
+    new = on(("2025-07-01", 1, "again"), ("2025-07-02", 2, "next"), (None, 3, "undated"))
+    sources.correct_snapshot(spark, path, new, key)
+    by_day = len(key) == 2
+    assert rows(asked[0], "break_key") == ([(1,)] if by_day else [(1,), (2,), (3,)])
+    left = [(0, "found"), (1, "again"), *([(2, "found"), (2, "next"), (3, "found")] if by_day else [(2, "next")]), (3, "undated")]
+    assert rows(sources.read_snapshot(spark, path), "break_key", "description") == left
